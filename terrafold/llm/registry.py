@@ -2,13 +2,18 @@
 
 from __future__ import annotations
 
-from terrafold.llm import decontaminate, langid
+from terrafold.llm import decontaminate, langid, mixing, sharding, substring_dedup
 
 QUERIES = {
     "op3_decontaminate": decontaminate.query,
+    "op4_substring_dedup": substring_dedup.query,
+    "op5_shard": sharding.query,
+    "op6_mix": mixing.query,
     "op10_language_id": langid.query,
 }
 
 ORACLES = {
     "op3_decontaminate": decontaminate.ORACLE,
+    "op4_substring_dedup": substring_dedup.ORACLE,
+    "op6_mix": mixing.ORACLE,
 }

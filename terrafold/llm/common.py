@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 import numpy as np
 import pyarrow as pa
@@ -178,3 +179,39 @@ def bounded(df: DataFrame, limit: int, what: str) -> list:
     if len(rows) > limit:
         raise ValueError(f"{what}: more than {limit} rows; this side is held in memory by every task")
     return rows
+
+
+def keep(df: DataFrame) -> DataFrame:
+    """Like `cut`, for wide tables: compressed Parquet in the shared checkpoint folder."""
+    at = f"{checkpoint_root(df.sparkSession)}/kept-{uuid.uuid4().hex}"
+    df.write.option("compression", "zstd").parquet(at)
+    return df.sparkSession.read.parquet(at)
+
+
+def components(edges: DataFrame) -> DataFrame:
+    """node, component (the smallest node reachable) for the nodes of `edges` (u, v longs).
+
+    Alternates large-star and small-star steps until the edges, then stars around the smallest nodes,
+    stay as they are. Edges live in the cluster; the driver sees a count and a checksum."""
+
+    def tidy(df: DataFrame) -> DataFrame:
+        return cut(df.select(F.greatest("u", "v").alias("a"), F.least("u", "v").alias("b")).where("a > b").distinct())
+
+    def mark(df: DataFrame) -> tuple:
+        return tuple(df.agg(F.count(F.lit(1)), F.sum(F.xxhash64("a", "b").cast("decimal(20,0)"))).first())
+
+    e = tidy(edges)
+    seen = mark(e)
+    while seen[0]:
+        both = e.select(F.col("a").alias("u"), F.col("b").alias("v")).unionByName(e.select(F.col("b").alias("u"), F.col("a").alias("v")))
+        least = both.groupBy("u").agg(F.min("v").alias("_m")).select("u", F.least("u", "_m").alias("_m"))
+        large = both.join(least, "u").where("v > u").select(F.col("v").alias("a"), F.col("_m").alias("b")).distinct()
+        root = large.groupBy("a").agg(F.min("b").alias("_m"))
+        joined = large.join(root, "a")
+        small = joined.select(F.col("b").alias("u"), F.col("_m").alias("v")).unionByName(joined.select(F.col("a").alias("u"), F.col("_m").alias("v")))
+        e = tidy(small)
+        now = mark(e)
+        if now == seen:
+            break
+        seen = now
+    return e.select(F.col("a").alias("node"), F.col("b").alias("component")).unionByName(e.select(F.col("b").alias("node"), F.col("b").alias("component")).distinct())

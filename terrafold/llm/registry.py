@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from terrafold.llm import decontaminate, langid, mixing, sharding, substring_dedup
+from terrafold.llm import decontaminate, langid, mixing, near_join, sharding, substring_dedup
 
 QUERIES = {
     "op3_decontaminate": decontaminate.query,
     "op4_substring_dedup": substring_dedup.query,
     "op5_shard": sharding.query,
     "op6_mix": mixing.query,
+    "op9_ngram_join": near_join.query,
     "op10_language_id": langid.query,
 }
 

@@ -25,7 +25,7 @@ from terrafold.llm.common import cut
 
 SHARDS = 24
 CELLS = 8192
-WEIGHTS = (8.0, 1.0, 1.0)
+WEIGHTS = (64.0, 1.0, 1.0)
 SUB_ROWS = 50_000
 _WORD = r"[^\x20\x09-\x0D]+"
 

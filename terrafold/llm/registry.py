@@ -2,13 +2,17 @@
 
 from __future__ import annotations
 
-from terrafold.llm import decontaminate, langid, mixing, near_join, sharding, substring_dedup
+from terrafold.llm import cross_polytope, decontaminate, html_density, langid, licenses, mixing, near_join, sharding, substring_dedup, toxicity
 
 QUERIES = {
+    "op1_license_scan": licenses.query,
+    "op2_cross_polytope": cross_polytope.query,
     "op3_decontaminate": decontaminate.query,
     "op4_substring_dedup": substring_dedup.query,
     "op5_shard": sharding.query,
     "op6_mix": mixing.query,
+    "op7_html_density": html_density.query,
+    "op8_toxicity": toxicity.query,
     "op9_ngram_join": near_join.query,
     "op10_language_id": langid.query,
 }

@@ -21,13 +21,13 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from terrafold.llm.common import U64, Words, byte_lists
 
 VOCABULARY = os.environ.get("TERRAFOLD_PIECES", "/opt/tokenizers/piece_bpe_32k.model")
-SAMPLE_ROWS = 1500
+SAMPLE_ROWS = 1000
 EM_ROUNDS = 2
 FLOOR = 1e-9
 _MARK = "▁"
@@ -190,15 +190,10 @@ def has_letter(text: str) -> bool:
 
 def train(docs: DataFrame, vocabulary: str, sample_rows: int, em_rounds: int) -> tuple[list[str], list[str], np.ndarray]:
     """Word counts of at most `sample_rows` rows a language, in the order of a hash of their id, then EM."""
-    from pyspark.sql import Window
-
-    w = Window.partitionBy("lang").orderBy("_h", "doc_id", "text")
-    chosen = (
-        docs.where("lang is not null and text is not null")
-        .withColumn("_h", F.xxhash64(F.col("doc_id").cast("string")))
-        .withColumn("_r", F.row_number().over(w))
-        .where(F.col("_r") <= sample_rows)
-    )
+    w = Window.partitionBy("lang").orderBy("_h", "doc_id")
+    usable = docs.where("lang is not null and text is not null and doc_id is not null")
+    first = usable.select("lang", "doc_id").distinct().withColumn("_h", F.xxhash64(F.col("doc_id").cast("string"))).withColumn("_r", F.row_number().over(w)).where(F.col("_r") <= sample_rows)
+    chosen = usable.join(F.broadcast(first.select("lang", "doc_id")), ["lang", "doc_id"])  # sample_rows ids a language
     words = chosen.select("lang", F.explode(F.split(F.lower("text"), r"[\x20\x09-\x0D]+")).alias("word")).where("word <> ''").groupBy("lang", "word").count()
     samples: dict[str, dict[str, int]] = {}
     for row in words.toLocalIterator():

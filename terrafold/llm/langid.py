@@ -16,7 +16,6 @@ gets an answer, and repeated rows the same one. Prediction reads the text only.
 from __future__ import annotations
 
 import os
-import unicodedata
 from collections.abc import Iterator
 
 import numpy as np
@@ -185,7 +184,7 @@ class Scorer:
 
 
 def has_letter(text: str) -> bool:
-    return any(unicodedata.category(c)[0] == "L" for c in text[:200]) or any(c.isalpha() for c in text[200:])
+    return any(map(str.isalpha, text))
 
 
 def train(docs: DataFrame, vocabulary: str, sample_rows: int, em_rounds: int) -> tuple[list[str], list[str], np.ndarray]:

@@ -57,19 +57,17 @@ def albers(lon: str, lat: str, x: str = "x", y: str = "y") -> Steps:
 
 
 def albers_inverse(x: str, y: str, lon: str = "lon", lat: str = "lat") -> Steps:
-    """Degrees from equal-area metres; four Newton steps, below a millimetre."""
+    """Degrees from equal-area metres, by the series of the authalic latitude (about a millimetre)."""
     n, c, rho0 = _albers_constants()
-    steps = [
-        ("_rho", f"sqrt({x} * {x} + ({d(rho0)} - {y}) * ({d(rho0)} - {y}))"),
-        ("_q", f"({d(c)} - _rho * _rho * {d(n * n / A / A)}) / {d(n)}"),
-        ("_p0", "asin(_q / 2)"),
-    ]
-    for i in range(4):
-        p = f"_p{i}"
-        w = f"(1 - {d(E2)} * sin({p}) * sin({p}))"
-        steps.append((f"_p{i + 1}", f"{p} + {w} * {w} / (2 * cos({p})) * (_q / {d(1 - E2)} - sin({p}) / {w} + ln((1 - {d(E)} * sin({p})) / (1 + {d(E)} * sin({p}))) / {d(2 * E)})"))
+    e4, e6 = E2**2, E2**3
+    series = ((2, E2 / 3 + 31 * e4 / 180 + 517 * e6 / 5040), (4, 23 * e4 / 360 + 251 * e6 / 3780), (6, 761 * e6 / 45360))
     sign = "-" if n < 0 else ""
-    return [*steps, (lon, f"{d(ALBERS['lon0'])} + degrees(atan2({sign}{x}, {sign}({d(rho0)} - {y})) / {d(n)})"), (lat, "degrees(_p4)")]
+    return [
+        ("_q", f"({d(c)} - ({x} * {x} + ({d(rho0)} - {y}) * ({d(rho0)} - {y})) * {d(n * n / A / A)}) / {d(n * _q(math.pi / 2))}"),
+        ("_b", "asin(_q)"),
+        (lon, f"{d(ALBERS['lon0'])} + degrees(atan2({sign}{x}, {sign}({d(rho0)} - {y})) / {d(n)})"),
+        (lat, "degrees(_b + " + " + ".join(f"{d(v)} * sin({k} * _b)" for k, v in series) + ")"),
+    ]
 
 
 _N = FLAT / (2 - FLAT)
@@ -105,27 +103,28 @@ _BETA = (
 )
 
 
+_DELTA = (
+    2 * _N - 2 * _N**2 / 3 - 2 * _N**3 + 116 * _N**4 / 45,
+    7 * _N**2 / 3 - 8 * _N**3 / 5 - 227 * _N**4 / 45,
+    56 * _N**3 / 15 - 136 * _N**4 / 35,
+    4279 * _N**4 / 630,
+)
+
+
 def utm_inverse(x: str, y: str, zone: int | str, south: bool = True, lon: str = "lon", lat: str = "lat") -> Steps:
     """Degrees from UTM metres."""
     k = d(0.9996 * _RADIUS)
     xi = " - ".join(["_xi", *(f"{d(b)} * sin({2 * j} * _xi) * cosh({2 * j} * _eta)" for j, b in enumerate(_BETA, 1))])
     eta = " - ".join(["_eta", *(f"{d(b)} * cos({2 * j} * _xi) * sinh({2 * j} * _eta)" for j, b in enumerate(_BETA, 1))])
-    steps = [
+    return [
         ("_xi", f"({y} - {10000000 if south else 0}) / {k}"),
         ("_eta", f"({x} - 500000) / {k}"),
         ("_a", xi),
         ("_b", eta),
-        ("_c", "sin(_a) / sqrt(sinh(_b) * sinh(_b) + cos(_a) * cos(_a))"),
-        ("_t0", "_c"),
+        ("_c", "asin(sin(_a) / cosh(_b))"),
+        (lat, "degrees(_c + " + " + ".join(f"{d(v)} * sin({2 * j} * _c)" for j, v in enumerate(_DELTA, 1)) + ")"),
+        (lon, f"(6 * ({zone}) - 183) + degrees(atan2(sinh(_b), cos(_a)))"),
     ]
-    for i in range(4):  # the geographic from the conformal latitude, by Newton's steps on its tangent
-        t = f"_t{i}"
-        steps += [
-            ("_g", f"sinh({d(E)} * atanh({d(E)} * {t} / sqrt(1 + {t} * {t})))"),
-            ("_v", f"{t} * sqrt(1 + _g * _g) - _g * sqrt(1 + {t} * {t})"),
-            (f"_t{i + 1}", f"{t} + (_c - _v) / sqrt(1 + _v * _v) * (1 + {d(1 - E2)} * {t} * {t}) / ({d(1 - E2)} * sqrt(1 + {t} * {t}))"),
-        ]
-    return [*steps, (lat, "degrees(atan(_t4))"), (lon, f"(6 * ({zone}) - 183) + degrees(atan2(sinh(_b), cos(_a)))")]
 
 
 def offset(lon: str, lat: str, azimuth: str, metres: str, lon2: str = "lon2", lat2: str = "lat2") -> Steps:

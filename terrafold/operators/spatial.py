@@ -45,14 +45,15 @@ def grid(spark: SparkSession, ring: list[tuple[float, float]], km: float, min_sh
 
     kept = cells.mapInPandas(share, "ix int, iy int, share double").where(F.col("share") > min_share)
     numbered = kept.withColumn("block_id", (F.row_number().over(Window.orderBy("ix", "iy")) - 1).cast("int"))
-    for name, base, cell, plus in (("minx", x0, "ix", 0), ("miny", y0, "iy", 0), ("maxx", x0, "ix", 1), ("maxy", y0, "iy", 1)):
-        numbered = numbered.withColumn(name, F.lit(base) + (F.col(cell) + plus) * F.lit(step))
-    corners = []
-    for k, (x, y) in enumerate((("minx", "miny"), ("maxx", "miny"), ("maxx", "maxy"), ("minx", "maxy"))):
-        numbered = geo.apply(numbered, geo.albers_inverse(x, y, f"lon{k}_", f"lat{k}_"))
-        corners.append(F.struct(F.col(f"lon{k}_").alias("x"), F.col(f"lat{k}_").alias("y")))
-    numbered = numbered.withColumn("ring", F.array(*corners, corners[0]))
-    return numbered.drop(*[f"{n}{k}_" for n in ("lon", "lat") for k in range(4)])
+    corner = F.explode(F.array(*[F.struct(F.lit(k).alias("k"), F.lit(dx).alias("dx"), F.lit(dy).alias("dy")) for k, (dx, dy) in enumerate(((0, 0), (1, 0), (1, 1), (0, 1)))]))
+    corners = numbered.withColumn("_c", corner).withColumns({"cx_": F.lit(x0) + (F.col("ix") + F.col("_c.dx")) * F.lit(step), "cy_": F.lit(y0) + (F.col("iy") + F.col("_c.dy")) * F.lit(step)})
+    corners = geo.apply(corners, geo.albers_inverse("cx_", "cy_", "clon_", "clat_"))
+    rings = corners.groupBy("block_id", "ix", "iy", "share").agg(
+        *[f(c).alias(n) for n, f, c in (("minx", F.min, "cx_"), ("miny", F.min, "cy_"), ("maxx", F.max, "cx_"), ("maxy", F.max, "cy_"))],
+        F.array_sort(F.collect_list(F.struct(F.col("_c.k").alias("k"), F.col("clon_").alias("x"), F.col("clat_").alias("y")))).alias("_r"),
+    )
+    vertices = F.transform("_r", lambda v: F.struct(v["x"].alias("x"), v["y"].alias("y")))
+    return rings.withColumn("ring", F.concat(vertices, F.slice(vertices, 1, 1))).drop("_r")
 
 
 def assign_blocks(points: DataFrame, blocks: DataFrame, km: float, slack: float = 2.0) -> DataFrame:

@@ -30,5 +30,8 @@ OBSERVATION_COLUMNS: tuple[tuple[str, T.DataType, bool], ...] = (
 OBSERVATION = T.StructType([T.StructField(n, t, True) for n, t, _ in OBSERVATION_COLUMNS])
 REQUIRED = tuple(n for n, _, must in OBSERVATION_COLUMNS if must)
 
-MANIFEST = T.StructType.fromDDL("obs_id string, species string, month_label string, chip_uri string, year int, block_id int, lon double, lat double, valid_frac double")
+_S, _D, _I = T.StringType(), T.DoubleType(), T.IntegerType()
+MANIFEST = T.StructType(
+    [T.StructField(n, t) for n, t in (("obs_id", _S), ("species", _S), ("month_label", _S), ("chip_uri", _S), ("year", _I), ("block_id", _I), ("lon", _D), ("lat", _D), ("valid_frac", _D))]
+)
 MANIFEST_KEY = ("obs_id", "month_label", "year")

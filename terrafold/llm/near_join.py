@@ -13,9 +13,12 @@ has once meet nothing and aren't indexed; most documents then have no index entr
    packed, and gets back a byte each: 0 for one document, else the scaled logarithm of how many.
 2. Equal sets are one class, which its smallest doc_id represents. Only representatives are joined.
 3. Under each indexed shingle one pivot, with the fewest rare shingles, meets the others: as many
-   pairs as index rows. Verified pairs link, and links make components.
-4. What is left are pairs that share shingles but are in different components. They are counted, held
-   against min(l, l'), and verified. So a group of near copies costs its size, not its square.
+   pairs as index rows. Those that share min(l, l') are verified; links make components.
+4. What is left are pairs under one pivot in different components. A pivot's members are dealt to chunks,
+   large components to chunks of their own, and chunks meet in blocks, except two chunks of one component.
+   In a block one matrix product counts shared prefix shingles, pairs that have min(l, l') are verified
+   by another, and only links between components leave it. So near copies that are linked already cost
+   their number, and no pair of them is made.
 
 Defined cases: a null or word-less text has no shingles and links with nothing; rows that repeat a
 doc_id are each judged by their own text; rows without an id take no part and get no component; every row
@@ -36,6 +39,8 @@ from terrafold.llm.common import LOWER_ASCII, U64, Words, bucket_bits, byte_list
 SHINGLE, PERCENT, MOST_MATCHES, VERIFY_COST = 5, 80, 6, 16.0
 GROUP_BYTES = 8 << 20
 BUCKET_BYTES = 16 << 20
+CHUNK = 384
+BLOCK_ROWS = 1024
 _PACKET = "grp int, bucket int, data binary"
 _ACTIVE = "doc_id bigint, n bigint, f1 bigint, f2 bigint, matches int, rare int, prefix array<bigint>, text string"
 
@@ -161,10 +166,12 @@ def candidates(docs: DataFrame, percent: int, group_bytes: int, bucket_bytes: in
     return docs.groupBy("grp").cogroup(told.groupBy("grp")).applyInArrow(describe, _ACTIVE)
 
 
-def verify(pairs: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
-    """Those of the pairs (u, v) whose sets link."""
-    first, second = texts.select(F.col("doc_id").alias("u"), F.col("text").alias("tu")), texts.select(F.col("doc_id").alias("v"), F.col("text").alias("tv"))
-    both = pairs.join(second, "v").join(first, "u").select("u", "v", "tu", "tv")
+def verify(pairs: DataFrame, reps: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
+    """Those of the pairs (u, v) that share enough of their prefixes and whose sets link."""
+    index = reps.select("doc_id", "prefix", "matches")
+    both = pairs.join(index.toDF("v", "pv", "mv"), "v").join(index.toDF("u", "pu", "mu"), "u")
+    both = both.where(F.size(F.array_intersect("pu", "pv")) >= F.least("mu", "mv")).select("u", "v").distinct()
+    both = both.join(texts.toDF("v", "tv"), "v").join(texts.toDF("u", "tu"), "u").select("u", "v", "tu", "tv")
 
     def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
@@ -179,6 +186,92 @@ def verify(pairs: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
     return both.mapInArrow(check, "u bigint, v bigint").distinct()
 
 
+def overlaps(token: np.ndarray, owner: np.ndarray, rows: np.ndarray, cols: np.ndarray, width: int = 4096) -> np.ndarray:
+    """How many tokens each of `rows` shares with each of `cols` (owners), by products of blocks of columns."""
+    _, inverse, count = np.unique(token, return_inverse=True, return_counts=True)
+    often = np.cumsum(count > 1) - 1  # tokens of one owner meet nothing
+    keep = count[inverse] > 1
+    column, owner = often[inverse[keep]], owner[keep]
+    out = np.zeros((len(rows), len(cols)), np.float32)
+    place = np.full(int(max(rows.max(), cols.max())) + 1, -1)
+    for at in range(0, int((count > 1).sum()), width):
+        here = (column >= at) & (column < at + width)
+        sides = []
+        for side in (rows, cols):
+            place[:] = -1
+            place[side] = np.arange(len(side))
+            mine = here & (owner < len(place))
+            mine[mine] = place[owner[mine]] >= 0
+            m = np.zeros((len(side), width), np.float32)
+            m[place[owner[mine]], column[mine] - at] = 1
+            sides.append(m)
+        out += sides[0] @ sides[1].T
+    return out
+
+
+def link_block(table: pa.Table, percent: int) -> list[tuple[int, int]]:
+    """Links of a block that join different components: rows of side 0 with rows of side 1, side 2 within itself."""
+    side, n, matches, comp, ids = (table[c].to_numpy() for c in ("side", "n", "matches", "c", "doc_id"))
+    rows, cols = np.flatnonzero(side != 1), np.flatnonzero(side != 0)
+    prefix = table["prefix"].combine_chunks()
+    owner = np.repeat(np.arange(len(ids)), prefix.value_lengths().to_numpy())
+    enough = overlaps(prefix.flatten().to_numpy(), owner, rows, cols) >= np.minimum(matches[rows][:, None], matches[cols][None, :])
+    low, high = np.minimum(n[rows][:, None], n[cols][None, :]), np.maximum(n[rows][:, None], n[cols][None, :])
+    enough &= (100 * low >= percent * high) & (comp[rows][:, None] != comp[cols][None, :])
+    if side[0] == 2:
+        enough &= ids[rows][:, None] < ids[cols][None, :]
+    if not enough.any():
+        return []
+    rows, cols, enough = rows[enough.any(axis=1)], cols[enough.any(axis=0)], enough[enough.any(axis=1)][:, enough.any(axis=0)]
+    used = np.unique(np.concatenate([rows, cols]))
+    sets = Sets(byte_lists(table["text"].take(pa.array(used))))
+    common = overlaps(sets.token, sets.doc, np.searchsorted(used, rows), np.searchsorted(used, cols))
+    enough &= 100 * common >= percent * (n[rows][:, None] + n[cols][None, :] - common)
+    root: dict[int, int] = {}
+
+    def find(x: int) -> int:
+        while root.get(x, x) != x:
+            x = root[x]
+        return x
+
+    out = []
+    for i, j in np.argwhere(enough):
+        a, b = find(int(comp[rows[i]])), find(int(comp[cols[j]]))
+        if a != b:
+            root[max(a, b)] = min(a, b)
+            out.append((int(ids[rows[i]]), int(ids[cols[j]])))
+    return out
+
+
+def link_across(placed: DataFrame, pivots: DataFrame, reps: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
+    """Links (u, v) between components (column c) among the documents that meet under one pivot."""
+    mixed = placed.groupBy("token").agg(F.min("c").alias("lo"), F.max("c").alias("hi")).where("lo < hi").select("token")
+    members = placed.join(mixed.join(pivots, "token").select("token", F.col("u").alias("p")), "token").select("p", "doc_id", "c").distinct()
+    sizes = cut(members.groupBy("p", "c").agg(F.count(F.lit(1)).alias("k")))
+    loose = F.when(F.col("k") < CHUNK, F.col("k"))
+    totals = sizes.groupBy("p").agg(F.count(F.lit(1)).alias("comps"), F.sum(loose).alias("small")).where("comps > 1").drop("comps")
+    chunk = F.when(F.col("k") >= CHUNK, F.concat_ws("-", F.col("c").cast("string"), F.pmod(F.xxhash64("doc_id"), F.ceil(F.col("k") / CHUNK)).cast("string")))
+    chunk = F.coalesce(chunk, F.concat(F.lit("small-"), F.pmod(F.xxhash64("c"), F.ceil(F.col("small") / CHUNK)).cast("string")))
+    dealt = cut(members.join(sizes, ["p", "c"]).join(totals, "p").select("p", "doc_id", "c", chunk.alias("chunk"), F.when(F.col("k") >= CHUNK, F.col("c")).alias("pure")))
+    chunks = dealt.select("p", "chunk", "pure").distinct()
+    other = chunks.toDF("p", "chunk2", "pure2")
+    blocks = chunks.join(other, "p").where((F.col("chunk") <= F.col("chunk2")) & (F.col("pure").isNull() | F.col("pure2").isNull() | (F.col("pure") != F.col("pure2"))))
+    sides = F.when(F.col("chunk") == F.col("chunk2"), F.array(F.struct("chunk", F.lit(2).alias("side")))).otherwise(F.array(F.struct("chunk", F.lit(0).alias("side")), F.struct(F.col("chunk2").alias("chunk"), F.lit(1).alias("side"))))
+    blocks = blocks.select("p", F.xxhash64("p", "chunk", "chunk2").alias("block"), F.explode(sides).alias("s")).select("p", "block", "s.chunk", "s.side")
+    rows = cut(blocks.join(dealt.drop("pure"), ["p", "chunk"]).select("block", "side", "doc_id", "c"))
+    groups = group_count(rows.count(), BLOCK_ROWS)
+    rows = rows.join(reps.select("doc_id", "n", "matches", "prefix"), "doc_id").join(texts, "doc_id").withColumn("bucket", F.pmod("block", F.lit(groups)).cast("int"))
+
+    def link(table: pa.Table) -> pa.Table:
+        block = table["block"].to_numpy()
+        order = np.argsort(block, kind="stable")
+        bounds = np.flatnonzero(np.concatenate([[True], block[order][1:] != block[order][:-1], [True]]))
+        out = [x for a, b in zip(bounds[:-1], bounds[1:], strict=True) for x in link_block(table.take(pa.array(order[a:b])), percent)]
+        return pa.table({"u": pa.array([u for u, _ in out], pa.int64()), "v": pa.array([v for _, v in out], pa.int64())})
+
+    return rows.groupBy("bucket").applyInArrow(link, "u bigint, v bigint")
+
+
 def near_join(docs: DataFrame, percent: int = PERCENT, group_bytes: int = GROUP_BYTES, bucket_bytes: int = BUCKET_BYTES) -> DataFrame:
     """doc_id, n_shingles, component_id."""
     known = keep(candidates(docs, percent, group_bytes, bucket_bytes))
@@ -186,24 +279,17 @@ def near_join(docs: DataFrame, percent: int = PERCENT, group_bytes: int = GROUP_
     ours = known.where("prefix is not null and doc_id is not null")
     reps = cut(ours.drop("text").join(classes, ["f1", "f2"]).where("doc_id = rep").select("doc_id", "n", "matches", "rare", "prefix").distinct())
     texts = ours.join(reps.select("doc_id").distinct(), "doc_id", "left_semi").select("doc_id", "text").distinct()
-    postings = reps.select("doc_id", "n", "matches", "rare", F.explode("prefix").alias("token"))
-    near = F.least("n", "n2") * 100 >= F.greatest("n", "n2") * percent
+    postings = reps.select("doc_id", "n", "rare", F.explode("prefix").alias("token"))
 
     pivots = postings.groupBy("token").agg(F.min(F.struct("rare", "doc_id", "n")).alias("p"), F.count(F.lit(1)).alias("c")).where("c > 1")
     pivots = pivots.select("token", F.col("p.doc_id").alias("u"), F.col("p.n").alias("n2"))
+    near = F.least("n", "n2") * 100 >= F.greatest("n", "n2") * percent
     star = postings.join(pivots, "token").where((F.col("doc_id") != F.col("u")) & near)
-    tested = cut(star.select(F.least("u", "doc_id").alias("u"), F.greatest("u", "doc_id").alias("v")).distinct())
-    links = cut(verify(tested, texts, percent))
-    found = components(links)
+    tested = star.select(F.least("u", "doc_id").alias("u"), F.greatest("u", "doc_id").alias("v")).distinct()
+    found = components(verify(tested, reps, texts, percent))
 
-    placed = postings.join(found.withColumnRenamed("node", "doc_id"), "doc_id", "left").withColumn("c", F.coalesce("component", "doc_id")).drop("component", "rare")
-    mixed = placed.groupBy("token").agg(F.min("c").alias("lo"), F.max("c").alias("hi")).where("lo < hi").select("token")
-    left = cut(placed.join(mixed, "token", "left_semi"))
-    right = left.select("token", F.col("doc_id").alias("d2"), F.col("n").alias("n2"), F.col("matches").alias("m2"), F.col("c").alias("c2"))
-    pairs = left.join(right, "token").where((F.col("c") < F.col("c2")) & near)
-    pairs = pairs.groupBy(F.least("doc_id", "d2").alias("u"), F.greatest("doc_id", "d2").alias("v")).agg(F.count(F.lit(1)).alias("k"), F.min(F.least("matches", "m2")).alias("need"))
-    pairs = pairs.where("k >= need").select("u", "v").join(tested, ["u", "v"], "left_anti")
-    more = verify(pairs, texts, percent)
+    placed = cut(postings.join(found.withColumnRenamed("node", "doc_id"), "doc_id", "left").select("token", "doc_id", F.coalesce("component", "doc_id").alias("c")))
+    more = link_across(placed, pivots, reps, texts, percent)
     stars = found.where("node <> component").select(F.col("node").alias("u"), F.col("component").alias("v"))
     final = components(stars.unionByName(more))
 

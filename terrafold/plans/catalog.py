@@ -86,8 +86,11 @@ def obs_upsert_merge(spark, d):
 _DATES = "(event_date IS NULL OR CAST(event_date AS TIMESTAMP) >= TIMESTAMP '2018-01-01')"
 
 
+_SCANNED = "(SELECT * FROM again WHERE source IN ('click', 'view', 'signup'))"
+
+
 @query(
-    f"SELECT obs_id, event_id, species_normalized, lon, lat FROM ({LATEST.format('(SELECT * FROM again WHERE source IN (' + chr(39) + 'click' + chr(39) + ', ' + chr(39) + 'view' + chr(39) + ', ' + chr(39) + 'signup' + chr(39) + '))')}) "
+    f"SELECT obs_id, event_id, species_normalized, lon, lat FROM ({LATEST.format(_SCANNED)}) "
     f"WHERE {_DATES} AND CAST(event_date AS TIMESTAMP) <= TIMESTAMP '2023-12-31' AND (coord_uncertainty_m IS NULL OR coord_uncertainty_m <= 500) AND geom_type = 'point' AND weight >= 0.5 "
     "AND (species_normalized LIKE '%mearnsii%' OR species_normalized LIKE '%Pinus%')"
 )
@@ -260,7 +263,13 @@ def raw_names(spark: SparkSession, d: str) -> DataFrame:
     return spark.sql(_RAW.replace("FROM events", f"FROM parquet.`{d}/events.parquet`"))
 
 
-@query(f"SELECT event_id, CASE WHEN s IN ('NA', '') OR s LIKE '(%' OR s LIKE '[%' OR s NOT LIKE '% %' THEN NULL ELSE s END AS name, CASE WHEN upper(t) = 'C' THEN 0 ELSE CAST(t AS DOUBLE) - 5 END AS off FROM (SELECT event_id, trim(regexp_replace(raw, '\\s*[×x]\\s*', ' ', 'g')) AS s, CASE WHEN upper(rtrim(mark, 'LR')) = 'C' THEN 'C' ELSE rtrim(mark, 'LR') END AS t, mark FROM ({_RAW}))".replace("THEN 0 ELSE CAST(t AS DOUBLE) - 5", "THEN 0e0 ELSE TRY_CAST(t AS DOUBLE) - 5"))
+_CLEAN = f"SELECT event_id, trim(regexp_replace(raw, '\\s*[×x]\\s*', ' ', 'g')) AS s, rtrim(mark, 'LR') AS t FROM ({_RAW})"
+
+
+@query(
+    f"SELECT event_id, CASE WHEN s IN ('NA', '') OR s LIKE '(%' OR s LIKE '[%' OR s NOT LIKE '% %' THEN NULL ELSE s END AS name, "
+    f"CASE WHEN upper(t) = 'C' THEN 0e0 ELSE TRY_CAST(t AS DOUBLE) - 5 END AS off FROM ({_CLEAN})"
+)
 def normalize_names(spark, d):
     return raw_names(spark, d).select("event_id", S.normalize_name("raw").alias("name"), S.mark_offset("mark").alias("off"))
 
@@ -407,7 +416,10 @@ def zone_windows(spark, d):
 # ---- manifest
 
 
-@query("SELECT obs_id, month_label, year, seq, chip_uri FROM (SELECT *, row_number() OVER (PARTITION BY obs_id, month_label, year ORDER BY CASE WHEN seq % 4 = 0 THEN -1 ELSE seq END DESC, chip_uri) AS rn FROM manifest WHERE seq % 4 <> 0 OR seq IN (SELECT min(seq) FROM manifest WHERE seq % 4 = 0 GROUP BY obs_id, month_label, year)) WHERE rn = 1".replace("seq, chip_uri FROM", "CASE WHEN seq % 4 = 0 THEN -1 ELSE seq END AS seq, chip_uri FROM"))
+_OLD_OR_NEW = "SELECT *, CASE WHEN seq % 4 = 0 THEN -1 ELSE seq END AS place FROM manifest WHERE seq % 4 <> 0 OR seq IN (SELECT min(seq) FROM manifest WHERE seq % 4 = 0 GROUP BY obs_id, month_label, year)"
+
+
+@query(f"SELECT obs_id, month_label, year, place AS seq, chip_uri FROM (SELECT *, row_number() OVER (PARTITION BY obs_id, month_label, year ORDER BY place DESC, chip_uri) AS rn FROM ({_OLD_OR_NEW})) WHERE rn = 1")
 def manifest_consolidate(spark, d):
     rows = view(spark, d, "manifest")
     old = dedup.one_per(rows.where("seq % 4 = 0"), ["obs_id", "month_label", "year"], [F.col("seq")]).drop("seq")
@@ -447,7 +459,7 @@ def reconcile_stale(spark, d):
     return manifest.reconcile(rows, rows.where("seq % 10 <> 0"), view(spark, d, "expected")).select("chip_uri", "stale")
 
 
-_DOY_SQL = choose("month_label", ()).replace(" END", " " + " ".join(f"WHEN '{m}' THEN {n}" for m, n in zip(MONTHS, DOY, strict=True)) + " END")
+_DOY_SQL = "CASE month_label " + " ".join(f"WHEN '{m}' THEN {n}" for m, n in zip(MONTHS, DOY, strict=True)) + " END"
 
 
 @query(f"WITH l AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY obs_id, month_label ORDER BY seq DESC) AS rn FROM manifest) WHERE rn = 1), o AS (SELECT *, {_DOY_SQL} AS doy, row_number() OVER (PARTITION BY obs_id ORDER BY {_DOY_SQL}) AS k, count(*) OVER (PARTITION BY obs_id) AS n FROM l) SELECT obs_id, string_agg(concat(CAST(doy AS VARCHAR), '=', chip_uri), ',' ORDER BY doy) AS chips FROM o WHERE n >= 3 AND k <= 3 GROUP BY obs_id")
@@ -592,10 +604,10 @@ def drop_reasons(spark, d):
 
 @query(
     "WITH s AS (SELECT chip, month_no, band, coalesce(avg(CASE WHEN NOT isnan(value) THEN value END), 0) AS m, coalesce(stddev_pop(CASE WHEN NOT isnan(value) THEN value END), 0) AS s FROM pixels GROUP BY chip, month_no, band), "
-    "v AS (SELECT chip, month_no, 0 AS k, band, m AS v FROM s UNION ALL SELECT chip, month_no, 1, band, s FROM s) SELECT chip, CAST(row_number() OVER (PARTITION BY chip ORDER BY month_no, k, band) - 1 AS INT) AS pos, round(v, 2) AS v FROM v"
+    "v AS (SELECT chip, month_no, 0 AS k, band, m AS v FROM s UNION ALL SELECT chip, month_no, 1, band, s FROM s) SELECT chip, CAST(row_number() OVER (PARTITION BY chip ORDER BY month_no, k, band) - 1 AS INT) AS pos, round(v + 1e-7, 4) AS v FROM v"
 )
 def rawstats(spark, d):
-    return raster.raw_stats(view(spark, d, "pixels"), ["chip"], "month_no", "band").select("chip", F.posexplode("emb").alias("pos", "v")).withColumn("v", F.round("v", 2))
+    return raster.raw_stats(view(spark, d, "pixels"), ["chip"], "month_no", "band").select("chip", F.posexplode("emb").alias("pos", "v")).withColumn("v", F.round(F.col("v") + 1e-7, 4))  # off the ties that means of cents fall on
 
 
 @query("WITH n AS (SELECT p_partkey, 64 + p_size * 5 AS h FROM part), a AS (SELECT p_partkey, h, unnest(list_distinct(list_append(generate_series(0, h - 64, 48), h - 64))) AS r0 FROM n) SELECT p_partkey, CAST(r0 AS INT) AS r0 FROM a")

@@ -155,14 +155,12 @@ def parse(page: str) -> Node:
 def measure(root: Node) -> list[Node]:
     """Sets counts and densities; gives the nodes that aren't cut, parents first."""
     order, stack = [], [(root, False)]
-    in_link: dict[int, bool] = {}
     while stack:
         node, link = stack.pop()
         if node.cut:
             continue
         order.append(node)
         link = link or node.tag == "a"
-        in_link[id(node)] = link
         for child in node.children:
             if isinstance(child, Node):
                 stack.append((child, link))

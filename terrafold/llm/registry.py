@@ -21,4 +21,5 @@ ORACLES = {
     "op3_decontaminate": decontaminate.ORACLE,
     "op4_substring_dedup": substring_dedup.ORACLE,
     "op6_mix": mixing.ORACLE,
+    "op9_ngram_join": near_join.ORACLE,
 }

@@ -31,7 +31,8 @@ EM_ROUNDS = 2
 FLOOR = 1e-9
 _MARK = "▁"
 _LONGEST_PIECE = 16
-_LONGEST_WORD = 64
+_LONGEST_WORD = 32
+_LIFT = 1e4
 _CACHE_WORDS = 1 << 20
 
 
@@ -54,6 +55,8 @@ class Lattice:
         order = np.argsort(key)
         self.keys, self.ids = key[order], order.astype(np.int32)
         self.longest = max((len(p) for p in pieces), default=1)
+        self.sieve = np.zeros(1 << 20, bool)  # most spans are no piece; this tells most of those at once
+        self.sieve[self._slot(key)] = True
 
     def _key(self, piece: str) -> int:
         h = 0
@@ -61,72 +64,82 @@ class Lattice:
             h = (h * int(self.mult) + ord(c) + 1) & 0xFFFFFFFFFFFFFFFF
         return h
 
-    def spans(self, words: list[str]) -> tuple[np.ndarray, list[list[np.ndarray]]]:
-        """Lengths with the mark, and ids[end][length - 1] of the span of that length that ends there."""
+    def _slot(self, h: np.ndarray) -> np.ndarray:
+        return (h * U64(0xD6E8FEB86659FD93) >> U64(44)).astype(np.int64)
+
+    def _pieces(self, h: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Rows whose hash is a piece's, and the pieces."""
+        rows = np.flatnonzero(self.sieve[self._slot(h)])
+        if not len(rows):
+            return rows, rows
+        at = np.minimum(np.searchsorted(self.keys, h[rows]), len(self.keys) - 1)
+        hit = self.keys[at] == h[rows]
+        return rows[hit], self.ids[at[hit]]
+
+    def spans(self, words: list[str]) -> tuple[np.ndarray, list[list[tuple[int, np.ndarray, np.ndarray]]]]:
+        """Lengths with the mark; and for each end the (length, rows, pieces) of the spans that end there."""
         marked = [_MARK + w for w in words]
         lens = np.fromiter((len(w) for w in marked), np.int64, len(marked))
         width = int(lens.max(initial=1))
-        codes = np.zeros((len(words), width), U64)
+        codes = np.zeros((width, len(words)), U64)
         flat = np.frombuffer("".join(marked).encode("utf-32-le"), np.uint32)
-        row = np.repeat(np.arange(len(words)), lens)
-        codes[row, np.arange(len(flat)) - np.repeat(np.cumsum(lens) - lens, lens)] = flat + 1
+        codes[np.arange(len(flat)) - np.repeat(np.cumsum(lens) - lens, lens), np.repeat(np.arange(len(words)), lens)] = flat + 1
         hashes: list[np.ndarray] = []
-        ids: list[list[np.ndarray]] = []
+        ends = []
         for end in range(width):
-            hashes = [h * self.mult + codes[:, end] for h in hashes[-self.longest + 1 :]] + [codes[:, end].copy()]
-            found = []
-            for h in reversed(hashes):
-                at = np.searchsorted(self.keys, h)
-                at[at == len(self.keys)] = 0
-                found.append(np.where(self.keys[at] == h, self.ids[at], -1))
-            ids.append(found)
-        return lens, ids
+            hashes = [h * self.mult + codes[end] for h in hashes[-self.longest + 1 :]] + [codes[end].copy()]
+            ends.append([(length, *self._pieces(h)) for length, h in enumerate(reversed(hashes), 1)])
+        return lens, ends
+
+    def _single(self, found: tuple[int, np.ndarray, np.ndarray], prob: np.ndarray, n: int) -> np.ndarray:
+        """Probability of each row's last character as a piece, with the floor."""
+        out = np.full((n, *prob.shape[1:]), FLOOR)
+        out[found[1]] = np.maximum(prob[found[2]], FLOOR)
+        return out
 
     def forward(self, words: list[str], prob: np.ndarray) -> np.ndarray:
         """log P(word) for each word (rows) and language (columns); prob is pieces x languages."""
         if not words:
             return np.zeros((0, prob.shape[1]))
-        lens, ids = self.spans(words)
-        table = np.concatenate([prob, np.zeros((1, prob.shape[1]))])
-        alpha = [np.ones((len(words), prob.shape[1]))]
+        lens, ends = self.spans(words)
+        alpha = [np.ones((len(words), prob.shape[1]))]  # times _LIFT to the power of the end, so that nothing underflows
         out = np.zeros((len(words), prob.shape[1]))
-        scale = np.zeros(len(words))
-        for end, found in enumerate(ids):
-            total = np.zeros_like(out)
-            for length, piece in enumerate(found, 1):
-                p = table[piece]
-                if length == 1:
-                    p = np.maximum(p, FLOOR)
-                total += alpha[-length] * p
-            peak = total.max(axis=1, keepdims=True)
-            peak[peak == 0] = 1
-            alpha = [a / peak for a in alpha[-self.longest + 1 :]] + [total / peak]
-            scale += np.log(peak[:, 0])
+        for end, found in enumerate(ends):
+            total = alpha[-1] * self._single(found[0], prob, len(words))
+            total *= _LIFT
+            for length, rows, pieces in found[1:]:
+                if len(rows):
+                    total[rows] += alpha[-length][rows] * (prob[pieces] * _LIFT**length)
+            alpha = [*alpha[-self.longest + 1 :], total]
             done = lens == end + 1
-            out[done] = np.log(np.maximum(alpha[-1][done], 1e-300)) + scale[done, None]
+            out[done] = np.log(total[done]) - (end + 1) * np.log(_LIFT)
         return out
 
     def expected(self, words: list[str], weight: np.ndarray, prob: np.ndarray) -> np.ndarray:
         """Expected piece counts over all segmentations of the weighted words (one language)."""
-        lens, ids = self.spans(words)
-        width, table = len(ids), np.append(prob, 0.0)
-        p = [[np.maximum(table[x], FLOOR) if k == 0 else table[x] for k, x in enumerate(found)] for found in ids]
-        alpha = np.zeros((width + 1, len(words)))
+        lens, ends = self.spans(words)
+        n, width, every = len(words), len(ends), np.arange(len(words))
+        single = [self._single(found[0], prob, n) for found in ends]
+        alpha = np.zeros((width + 1, n))
         alpha[0] = 1
-        for end in range(width):
-            for k in range(len(p[end])):
-                alpha[end + 1] += alpha[end - k] * p[end][k]
-        beta = np.zeros((width + 1, len(words)))
-        beta[lens, np.arange(len(words))] = 1
-        count = np.zeros(self.size + 1)
-        total = np.maximum(alpha[lens, np.arange(len(words))], 1e-300)
+        for end, found in enumerate(ends):
+            alpha[end + 1] = alpha[end] * single[end]
+            for length, rows, pieces in found[1:]:
+                alpha[end + 1, rows] += alpha[end + 1 - length, rows] * prob[pieces]
+        beta = np.zeros((width + 1, n))
+        beta[lens, every] = 1
+        share = weight / np.maximum(alpha[lens, every], 1e-300)
+        count = np.zeros(self.size)
         for end in range(width - 1, -1, -1):
-            for k, x in enumerate(ids[end]):
-                gain = p[end][k] * beta[end + 1]
-                share = alpha[end - k] * gain / total * weight
-                count += np.bincount(np.where(x >= 0, x, self.size), share, self.size + 1)
-                beta[end - k] += np.where(lens > end, gain, 0)
-        return count[:-1]
+            gain = single[end] * beta[end + 1]
+            rows, pieces = ends[end][0][1:]
+            count += np.bincount(pieces, (alpha[end] * gain * share)[rows], self.size)
+            beta[end] += gain
+            for length, rows, pieces in ends[end][1:]:
+                gain = prob[pieces] * beta[end + 1, rows]
+                count += np.bincount(pieces, alpha[end + 1 - length, rows] * gain * share[rows], self.size)
+                beta[end + 1 - length, rows] += gain
+        return count
 
 
 def fit(lattice: Lattice, samples: dict[str, dict[str, int]], em_rounds: int = EM_ROUNDS) -> tuple[list[str], np.ndarray]:

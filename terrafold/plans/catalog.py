@@ -621,8 +621,21 @@ def raster_windows(spark, d):
     "SELECT id, r0 + i AS y, round(sum(w * p) / greatest(sum(w), 1e-6), 6) AS blended, round(sum(w), 6) AS weight FROM r GROUP BY 1, 2"
 )
 def taper_blend(spark, d):
+    """One part in twenty, as its SQL has it; taper_blend_all takes every part."""
+    return tapered(spark.read.parquet(f"{d}/part.parquet").where("p_partkey % 20 = 0"))
+
+
+@query(
+    "WITH r AS (SELECT p_partkey AS id, r0, i, (p_partkey * 31 + r0 * 7 + i) % 101 / 1e2 AS p, CASE WHEN least(i, 63 - i) < 16 THEN 0.5e0 * (1 - cos(pi() * (least(i, 63 - i) + 0.5e0) / 16)) ELSE 1e0 END AS w FROM part, (VALUES (0), (48)) s(r0), range(64) t(i)) "
+    "SELECT id, r0 + i AS y, round(sum(w * p) / greatest(sum(w), 1e-6), 6) AS blended, round(sum(w), 6) AS weight FROM r GROUP BY 1, 2"
+)
+def taper_blend_all(spark, d):
+    return tapered(spark.read.parquet(f"{d}/part.parquet"))
+
+
+def tapered(part: DataFrame) -> DataFrame:
     """Along one axis; the operator itself tapers both, so the column weight is held at 1 by c = 32."""
-    rows = spark.read.parquet(f"{d}/part.parquet").where("p_partkey % 20 = 0").select(F.col("p_partkey").alias("id"), F.explode(F.array(F.lit(0), F.lit(48))).alias("r0"))
+    rows = part.select(F.col("p_partkey").alias("id"), F.explode(F.array(F.lit(0), F.lit(48))).alias("r0"))
     rows = rows.withColumn("r", F.explode(F.sequence(F.lit(0), F.lit(63)))).withColumn("c", F.lit(32))
     rows = rows.withColumns({"p": (F.col("id") * 31 + F.col("r0") * 7 + F.col("r")) % 101 / 1e2, "y": (F.col("r0") + F.col("r")).cast("bigint")})
     return raster.blend(rows, ["id", "y"], 64, 16).select("id", "y", r6("blended").alias("blended"), r6("weight").alias("weight"))

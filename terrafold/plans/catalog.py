@@ -230,6 +230,10 @@ def biome_left_join(spark, d):
     return rows.select("obs_id", F.col("T_BIOME").alias("biome"), S.lookup("T_BIOME", adapters.BIOMES).alias("cls"))
 
 
+#: Sources whose rows are the known points; all other rows are held against them.
+_KNOWN = "('click', 'error', 'purchase')"
+
+
 @query(
     f"WITH p AS ({geo.render('SELECT * FROM obs', _UTM)}), a AS (SELECT * FROM p WHERE event_id % 3 = 0), b AS (SELECT * FROM p WHERE event_id % 3 = 1) "
     "SELECT a.obs_id FROM a WHERE NOT EXISTS (SELECT 1 FROM b WHERE b.tx BETWEEN a.tx - 4000 AND a.tx + 4000 AND (a.tx - b.tx) * (a.tx - b.tx) + (a.ty - b.ty) * (a.ty - b.ty) < 16000000)"
@@ -240,6 +244,16 @@ def iap_anti_distance(spark, d):
     return spatial.away_from(rows.where("event_id % 3 = 0"), rows.where("event_id % 3 = 1"), 4000.0).select("obs_id")
 
 
+@query(
+    f"WITH p AS ({geo.render('SELECT * FROM obs', _UTM)}), a AS (SELECT * FROM p WHERE coalesce(source, '') NOT IN {_KNOWN}), b AS (SELECT * FROM p WHERE coalesce(source, '') IN {_KNOWN}) "
+    "SELECT a.obs_id FROM a WHERE NOT EXISTS (SELECT 1 FROM b WHERE b.tx BETWEEN a.tx - 4000 AND a.tx + 4000 AND (a.tx - b.tx) * (a.tx - b.tx) + (a.ty - b.ty) * (a.ty - b.ty) < 16000000)"
+)
+def iap_anti_distance_all(spark, d):
+    """Every row has a side, by its source; iap_anti_distance leaves remainder 2 out, as its SQL has it."""
+    rows = view(spark, d, "obs")
+    return spatial.away_from(rows.where(f"coalesce(source, '') NOT IN {_KNOWN}"), rows.where(f"coalesce(source, '') IN {_KNOWN}"), 4000.0).select("obs_id")
+
+
 @query(f"SELECT CAST(floor(tx / 4000) AS BIGINT) AS cell_x, CAST(floor(ty / 4000) AS BIGINT) AS cell_y, count(*) AS n FROM ({geo.render('SELECT * FROM obs', _UTM)}) GROUP BY 1, 2")
 def subcell_batches(spark, d):
     return raster.cell_batches(geo.apply(view(spark, d, "obs"), _UTM), 4000.0, "tx", "ty").groupBy("cell_x", "cell_y").agg(F.count(F.lit(1)).alias("n"))
@@ -374,8 +388,8 @@ def mapwaps_rows(spark, d):
 _ACC = ("Low Shrubland (Fynbos)", " natural lakes", "wetlands", "village", "unknown thing", "Grassland ", "plantation")
 
 
-def _acc_sql(rows: str) -> str:
-    return f"SELECT obs_id, event_id, {choose('event_id % 7', _ACC)} AS cname, CAST(2018 + 2 * (event_id % 3) AS INT) AS year, lon, lat FROM {rows} WHERE event_id % 3 <> 1"
+def _acc_sql(rows: str, where: str = "event_id % 3 <> 1") -> str:
+    return f"SELECT obs_id, event_id, {choose('event_id % 7', _ACC)} AS cname, CAST(2018 + 2 * (event_id % 3) AS INT) AS year, lon, lat FROM {rows} WHERE {where}"
 
 
 @query(
@@ -394,6 +408,23 @@ def sanlc_rows(spark, d):
     return adapters.sanlc(points, ring_frame(spark, ("b0", "b1", "b2")), store).select("obs_id", "species", "taxon_rank", "event_date")
 
 
+@query(
+    f"""WITH r AS (SELECT *, CASE lower(trim(cname)) WHEN 'low shrubland (fynbos)' THEN 'NATURAL' WHEN 'grassland' THEN 'NATURAL' WHEN 'natural lakes' THEN 'water' WHEN 'wetlands' THEN 'wetland' WHEN 'village' THEN 'built_up' WHEN 'plantation' THEN 'planted_forest' END AS cls FROM ({_acc_sql('obs', f"coalesce(source, '') NOT IN {_KNOWN}")})),
+  u AS (SELECT * EXCLUDE (rn) FROM (SELECT *, row_number() OVER (PARTITION BY round_even(lon, 5), round_even(lat, 5), lower(trim(cname)) ORDER BY year DESC, obs_id) AS rn FROM r WHERE cls IS NOT NULL) WHERE rn = 1),
+  b AS (SELECT obs_id, min(o) AS o FROM ({inside_sql('u', ('b0', 'b1', 'b2'), False)}) GROUP BY obs_id),
+  n AS (SELECT u.* EXCLUDE (cls), CASE WHEN cls <> 'NATURAL' THEN cls WHEN o = 0 THEN 'fynbos' WHEN o = 1 THEN 'nama_karoo' END AS cls FROM u LEFT JOIN b USING (obs_id)),
+  p AS ({geo.render('SELECT * FROM n WHERE cls IS NOT NULL', _UTM)}), q AS ({geo.render(f"SELECT * FROM obs WHERE coalesce(source, '') IN {_KNOWN}", _UTM)})
+  SELECT concat('sanlc:', printf('%.6f', lon), ':', printf('%.6f', lat), ':', CAST(year AS VARCHAR)) AS obs_id, cls AS species, CASE WHEN cls IN ('fynbos', 'nama_karoo') THEN 'biome' ELSE 'landcover' END AS taxon_rank, concat(CAST(year AS VARCHAR), '-01-01') AS event_date
+  FROM p WHERE NOT EXISTS (SELECT 1 FROM q WHERE q.tx BETWEEN p.tx - 320 AND p.tx + 320 AND (p.tx - q.tx) * (p.tx - q.tx) + (p.ty - q.ty) * (p.ty - q.ty) < 102400)"""
+)
+def sanlc_rows_all(spark, d):
+    """Every row is a point or known, by its source; sanlc_rows takes one known row in thirty, as its SQL has it."""
+    rows = view(spark, d, "obs")
+    points = rows.where(f"coalesce(source, '') NOT IN {_KNOWN}").selectExpr("obs_id", "event_id", f"{choose('event_id % 7', _ACC)} AS cname", "CAST(2018 + 2 * (event_id % 3) AS INT) AS year", "lon", "lat")
+    store = rows.where(f"coalesce(source, '') IN {_KNOWN}").withColumn("taxon_rank", F.lit("species"))
+    return adapters.sanlc(points, ring_frame(spark, ("b0", "b1", "b2")), store).select("obs_id", "species", "taxon_rank", "event_date")
+
+
 _WINTER = (("02-01", "02-28", "feb"), ("05-01", "05-31", "may"), ("09-01", "09-30", "sep"))
 _SUMMER = (("07-01", "07-31", "jul"), ("09-01", "09-30", "sep"), ("12-01", "12-31", "dec"))
 

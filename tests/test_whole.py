@@ -4,6 +4,7 @@ import os
 
 import pytest
 
+from terrafold.operators import adapters, spatial
 from terrafold.plans import catalog
 
 DIR = "/root/testdata/sf0.001"
@@ -14,3 +15,19 @@ def test_every_part_is_blended(spark):
     parts = spark.read.parquet(f"{DIR}/part.parquet").select("p_partkey").distinct().count()
     got = catalog.QUERIES["taper_blend_all"](spark, DIR)
     assert got.select("id").distinct().count() == parts and got.count() == parts * 112
+
+
+def test_every_observation_has_a_side(spark, monkeypatch):
+    """Points and known rows of both anti-joins are all of obs; the known side is dense."""
+    total = catalog.view(spark, DIR, "obs").count()
+    sides, away = [], spatial.away_from
+
+    def spy(points, others, *rest):
+        sides.append((points.count(), others.count()))
+        return away(points, others, *rest)
+
+    monkeypatch.setattr(spatial, "away_from", spy)
+    monkeypatch.setattr(adapters, "sanlc", lambda points, biomes, store: sides.append((points.count(), store.count())) or store.selectExpr("obs_id", "'' AS species", "taxon_rank", "event_date"))
+    catalog.QUERIES["iap_anti_distance_all"](spark, DIR)
+    catalog.QUERIES["sanlc_rows_all"](spark, DIR)
+    assert [a + b for a, b in sides] == [total, total] and all(b > total / 2 for _, b in sides)

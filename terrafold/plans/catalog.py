@@ -783,7 +783,7 @@ def stratified_split(spark, d):
 def train_head(spark, d):
     """An optimiser's result: rows only; pinned by tests."""
     rows = view(spark, d, "labelled")
-    return head.predict(rows.where("fold = 'test'"), head.train(rows, epochs=60), "vec_id")
+    return head.predict(rows.where("fold = 'test'"), head.train(rows), "vec_id")
 
 
 @query()

@@ -1,10 +1,11 @@
 """Queries that take every row of their tables."""
 
+import inspect
 import os
 
 import pytest
 
-from terrafold.operators import adapters, spatial
+from terrafold.operators import adapters, head, spatial
 from terrafold.plans import catalog
 
 DIR = "/root/testdata/sf0.001"
@@ -31,3 +32,17 @@ def test_every_observation_has_a_side(spark, monkeypatch):
     catalog.QUERIES["iap_anti_distance_all"](spark, DIR)
     catalog.QUERIES["sanlc_rows_all"](spark, DIR)
     assert [a + b for a, b in sides] == [total, total] and all(b > total / 2 for _, b in sides)
+
+
+def test_head_is_fitted_to_its_end(spark, monkeypatch):
+    """The early stop, not a count of epochs that it can't reach, ends the fit."""
+    asked, train = [], head.train
+
+    def spy(*a, **b):
+        asked.append(inspect.signature(train).bind(*a, **b))
+        asked[-1].apply_defaults()
+        return train(*a, **b)
+
+    monkeypatch.setattr(head, "train", spy)
+    assert catalog.QUERIES["train_head"](spark, DIR).count() == catalog.view(spark, DIR, "labelled").where("fold = 'test'").count()
+    assert [(x.arguments["epochs"], x.arguments["patience"]) for x in asked] == [(500, 60)]

@@ -147,8 +147,12 @@ def fit(lattice: Lattice, samples: dict[str, dict[str, int]], em_rounds: int = E
     langs = sorted(x for x, c in samples.items() if c)
     prob = np.full((lattice.size, len(langs)), 1.0 / max(1, lattice.size))
     for k, lang in enumerate(langs):
-        words = [w[: _LONGEST_WORD - 1] for w in samples[lang]]
-        weight = np.fromiter(samples[lang].values(), float, len(words))
+        counts: dict[str, int] = {}
+        for word, n in samples[lang].items():
+            for part in word_parts(word):
+                counts[part] = counts.get(part, 0) + n
+        words = list(counts)
+        weight = np.fromiter(counts.values(), float, len(words))
         for _ in range(em_rounds):
             count = sum((lattice.expected(words[i : i + 20000], weight[i : i + 20000], prob[:, k]) for i in range(0, len(words), 20000)), np.zeros(lattice.size))
             prob[:, k] = (count + 0.05) / (count.sum() + 0.05 * lattice.size)
@@ -156,7 +160,7 @@ def fit(lattice: Lattice, samples: dict[str, dict[str, int]], em_rounds: int = E
 
 
 def word_parts(word: str) -> list[str]:
-    """A word too long for one lattice is scored in parts; none of it is left out."""
+    """A word too long for one lattice is learned and scored in parts; none of it is left out."""
     return [word[i : i + _LONGEST_WORD - 1] for i in range(0, len(word), _LONGEST_WORD - 1)] or [""]
 
 

@@ -63,6 +63,17 @@ def test_texts_are_words_whatever_the_cache_and_length():
     assert np.isfinite(one).all()
 
 
+def test_long_words_are_learned_whole():
+    lattice = L.Lattice(PIECES)
+    head, tail = "a" * 31, "b" * 40
+    _, whole = L.fit(lattice, {"x": {head + tail: 2}})
+    _, parts = L.fit(lattice, {"x": {head: 2, tail[:31]: 2, tail[31:]: 2}})
+    assert np.allclose(whole, parts)
+    langs, prob = L.fit(lattice, {"x": {head + "b" * 400: 3}, "y": {head + "ab" * 200: 3}})
+    got = L.Scorer(PIECES, prob).texts([b"b" * 80, b"ab" * 40])
+    assert [langs[k] for k in got.argmax(axis=1)] == ["x", "y"]
+
+
 def test_held_out_accuracy_and_odd_rows(spark):
     if not __import__("os").path.exists(L.VOCABULARY):
         pytest.skip("no vocabulary here")

@@ -5,8 +5,9 @@ adverts, reader comments and so on, by tag, role, class or id) are cut. For ever
 link-adjusted number of characters per tag: C / T * log(C / LC * T / LT) to a base that grows with the page's
 share of links, where C and T are characters and tags below the node, LC and LT those in links, and the
 other characters stand in for none. Child densities are summed for each node; the node of the largest sum is
-the core. The smallest density on the path from the body to it is the threshold: the largest ancestor
-below the body whose density reaches it is the article, or the enclosing <article> or <main> if there is one.
+the core. The article is the enclosing <article> or <main> if there is one. Otherwise the smallest density on the
+path from the body to the core is the threshold, and every subtree of the page that reaches it gives its node of
+the largest sum; those nodes, in page order, are the article.
 
 The text of the article's blocks then has its character references decoded, white space turned into one
 blank and ends trimmed; blocks that aren't empty are joined by a line feed in page order.
@@ -189,24 +190,42 @@ def measure(root: Node) -> list[Node]:
     return order
 
 
-def article_of(root: Node, order: list[Node]) -> Node:
-    """The node whose text is the page's article."""
+def strength(node: Node) -> float:
+    return node.total or node.density
+
+
+def article_of(root: Node, order: list[Node]) -> list[Node]:
+    """The nodes whose texts are the page's article, in page order and none within another."""
     full = [n for n in order if n.chars]
     if not full:
-        return root
-    core = max(full, key=lambda n: n.total if n.total else n.density)
+        return [root]
+    core = max(full, key=strength)
     path = [core]
     while path[-1].parent is not None:
         path.append(path[-1].parent)
     marked = [n for n in path if n.tag in ("article", "main")]
     if marked:
-        return marked[-1]
+        return [marked[-1]]
     outside = [n for n in full if n.tag == "article"] or [n for n in full if n.tag == "main"]
     if outside and max(n.chars for n in outside) * 2 >= core.chars:
-        return max(outside, key=lambda n: n.total)
+        return [max(outside, key=lambda n: n.total)]
     threshold = min(n.density for n in path)
-    reach = [n for n in path if n.parent is not None and n.density >= threshold]
-    return reach[-1] if reach else core
+    best: dict[Node, Node] = {}  # below each node, the node of the largest sum; the outer one of equal sums
+    for node in reversed(full):
+        if node not in best or strength(node) >= strength(best[node]):
+            best[node] = node
+        up = node.parent
+        if up is not None and (up not in best or strength(best[node]) >= strength(best[up])):
+            best[up] = best[node]
+    chosen = {best[n] for n in full if n.density >= threshold and (n.tag in BLOCKS or n in path)} | {core}
+    out, stack = [], [root]
+    while stack:
+        node = stack.pop()
+        if node in chosen:
+            out.append(node)
+        else:
+            stack.extend(c for c in reversed(node.children) if isinstance(c, Node) and not c.cut)
+    return out
 
 
 def blocks_of(node: Node) -> list[str]:
@@ -240,7 +259,7 @@ def extract(page: str | None) -> str:
     if not page:
         return ""
     root = parse(page)
-    return "\n".join(blocks_of(article_of(root, measure(root))))
+    return "\n".join(b for node in article_of(root, measure(root)) for b in blocks_of(node))
 
 
 def extract_pages(pages: DataFrame) -> DataFrame:

@@ -36,6 +36,15 @@ def test_density_prefers_text_over_links():
     assert plain.density > links.density
 
 
+def test_article_over_sibling_containers():
+    lead, paras = "The lead of the tale, " + "which is told at length " * 8 + "here.", [f"Part {i} " + "of the tale goes on and on " * 12 + "then." for i in range(4)]
+    links = "<div>" + "<a href=x>some other page</a> " * 15 + "</div>"
+    body = f"<div><p>{lead}</p></div><div>{''.join(f'<p>{p}</p>' for p in paras)}</div>{links}"
+    want = "\n".join([lead, *paras])
+    assert H.extract(f"<body>{body}</body>") == want
+    assert H.extract(f"<body><div>{links}{body}</div></body>") == want
+
+
 def test_rows(spark):
     df = spark.createDataFrame([(1, "u", PAGE, "old", 9), (1, "u", PAGE, "old", 9), (None, None, None, None, None)], "page_id long, url string, html string, text string, n_chars int")
     rows = H.extract_pages(df).collect()

@@ -1,7 +1,8 @@
 """Main text of web pages by composite text density (operator 7).
 
 A page becomes a tree. Subtrees that are never article text (scripts, menus, headers outside the article,
-adverts, reader comments and so on, by tag, role, class or id) are cut. For every node the density is the
+adverts, reader comments and so on, by tag, role, class or id) are cut, unless they hold the only <article> or
+<main> or most of the page's text outside links. For every node the density is the
 link-adjusted number of characters per tag: C / T * log(C / LC * T / LT) to a base that grows with the page's
 share of links, where C and T are characters and tags below the node, LC and LT those in links, and the
 other characters stand in for none. Child densities are summed for each node; the node of the largest sum is
@@ -47,12 +48,18 @@ CLOSES = {
 # Elements, roles and words of class or id that mark what isn't article text.
 CUT_TAGS = frozenset("aside button dialog footer form head iframe input label map menu nav noscript object script select style svg template textarea canvas audio video".split())
 CUT_ROLES = frozenset("banner navigation complementary contentinfo search form dialog alert alertdialog menu menubar toolbar".split())
-CUT_WORDS = re.compile(
-    r"(?:^|[\s_-])(?:ad|ads|adsbygoogle|adslot|adbox|adv|advert|adverts|advertisement|advertising|banner|sponsor|sponsored|promo|promotion|nav|navbar|navigation|menu|menus|breadcrumb|breadcrumbs|sidebar|side-bar|aside|"
-    r"footer|foot|header|masthead|topbar|cookie|cookies|consent|gdpr|notice|notices|alert|popup|modal|overlay|newsletter|subscribe|signup|login|search|comment|comments|commentlist|disqus|discussion|replies|"
-    r"reply|responses|related|recommended|share|sharing|social|widget|pagination|pager|toolbar|skip|skip-link|copyright|disclaimer)(?:$|[\s_-])",
-    re.I,
+CUT_WORDS = frozenset(
+    "ad|ads|adsbygoogle|adslot|adbox|adv|advert|adverts|advertisement|advertising|banner|sponsor|sponsored|promo|promotion|nav|navbar|navigation|menu|menus|breadcrumb|breadcrumbs|sidebar|aside|"
+    "footer|foot|header|masthead|topbar|cookie|cookies|consent|gdpr|notice|notices|alert|popup|modal|overlay|newsletter|subscribe|signup|login|search|comment|comments|commentlist|disqus|discussion|replies|"
+    "reply|responses|related|recommended|share|sharing|social|widget|pagination|pager|toolbar|skip|copyright|disclaimer".split("|")
 )
+#: Words that may stand beside them in a compound name of the same thing, as in ad-slot or site-footer.
+BESIDE = frozenset("side bar site page main global top bottom left right center primary secondary slot box block list area container wrapper wrap inner unit section panel item items form link links buttons icons post posts content articles".split())
+#: Sections of an article that go by such a word.
+OWN_SECTIONS = frozenset("discussion responses related notice notices alert disclaimer".split())
+_PARTS = re.compile(r"[_-]+")
+#: What stays cut whatever it holds.
+KEPT_CUT = RAW | frozenset("audio button canvas dialog iframe label map menu nav noscript object select svg template video".split())
 # Headers that belong to an article, by their class or id.
 OWN_HEADER = re.compile(r"^(?:article|entry|post|story|content)[_-]*(?:header|head|title)$", re.I)
 TITLE_WORDS = re.compile(r"^[\w-]*(?:header|masthead)$", re.I)
@@ -72,6 +79,14 @@ class Node:
         self.density = self.total = 0.0
 
 
+def names_boilerplate(token: str) -> bool:
+    """Whether a class or id names boilerplate as a whole; has-sidebar or page-header-fixed name what is round it."""
+    if token == "side-bar":
+        return True
+    parts = [x for x in _PARTS.split(token) if x]
+    return any(x in CUT_WORDS for x in parts) and all(x in CUT_WORDS or x in BESIDE or x.isdigit() for x in parts)
+
+
 def boilerplate(tag: str, attrs: str, inside: bool) -> bool:
     """Whether an element is cut. inside: it stands in an <article>, whose own <header> is kept."""
     if tag in CUT_TAGS or tag == "header" and not inside:
@@ -81,7 +96,8 @@ def boilerplate(tag: str, attrs: str, inside: bool) -> bool:
     for name, a, b, c in _ATTR.findall(attrs):
         name, value = name.lower(), a or b or c
         if name in ("class", "id"):
-            if CUT_WORDS.search(value) and not (OWN_HEADER.search(value) or inside and TITLE_WORDS.search(value)):
+            own = OWN_HEADER.search(value) or inside and (TITLE_WORDS.search(value) or tag == "section" and value.lower() in OWN_SECTIONS)
+            if not own and any(map(names_boilerplate, value.lower().split())):
                 return True
         elif name == "role":
             if value.lower() in CUT_ROLES:
@@ -153,6 +169,44 @@ def parse(page: str) -> Node:
     return root
 
 
+def restore(root: Node) -> None:
+    """Takes back the cuts round an <article> or <main> where none stands outside cuts, and round most of the page's text.
+
+    Text in links doesn't count. A page whose open <article> or <main> holds a tenth of its text, as those with long
+    reader comments have, keeps its cuts."""
+    order, stack = [], [(root, False, False)]
+    plain: dict[Node, int] = {}
+    marks, open_marks = [], []
+    while stack:
+        node, cut, link = stack.pop()
+        if node.tag in KEPT_CUT:
+            continue
+        cut, link = cut or node.cut, link or node.tag == "a"
+        order.append(node)
+        plain[node] = 0 if link else sum(len(c.strip()) for c in node.children if isinstance(c, str))
+        if node.tag in ("article", "main"):
+            marks.append(node)
+            if not cut:
+                open_marks.append(node)
+        stack.extend((c, cut, link) for c in node.children if isinstance(c, Node))
+    if not any(n.cut for n in order):
+        return
+    shown = {n: 0 if n.cut else plain[n] for n in order}
+    for node in reversed(order):
+        if node.parent is not None:
+            plain[node.parent] += plain[node]
+            if not node.cut:
+                shown[node.parent] += shown[node]
+    if marks and not open_marks:
+        up = max(marks, key=plain.__getitem__)
+        while up is not None:
+            up.cut, up = False, up.parent
+    if all(shown[n] * 10 < plain[root] for n in open_marks):
+        for node in order:
+            if plain[node] * 2 > plain[root]:
+                node.cut = False
+
+
 def measure(root: Node) -> list[Node]:
     """Sets counts and densities; gives the nodes that aren't cut, parents first."""
     order, stack = [], [(root, False)]
@@ -259,6 +313,7 @@ def extract(page: str | None) -> str:
     if not page:
         return ""
     root = parse(page)
+    restore(root)
     return "\n".join(b for node in article_of(root, measure(root)) for b in blocks_of(node))
 
 

@@ -45,6 +45,20 @@ def test_article_over_sibling_containers():
     assert H.extract(f"<body><div>{links}{body}</div></body>") == want
 
 
+def test_cuts_round_the_article_are_taken_back():
+    paras = [f"Part {i} " + "of the tale goes on and on " * 12 + "then." for i in range(4)]
+    told = "".join(f"<p>{p}</p>" for p in paras)
+    rest = "<div class='site-footer'>The end of the site</div><div class='sidebar'><a href=x>more</a></div>"
+    for name in ("site has-sidebar", "no-sidebar", "with-nav", "page-header-fixed", "menu"):
+        for page in (f"<div class='{name}'><article>{told}</article>{rest}</div>", f"<div class='{name}'><div>{told}</div>{rest}</div>"):
+            assert H.extract(f"<body>{page}</body>") == "\n".join(paras), name
+    assert H.extract(f"<body><form id=f><div>{told}</div>{rest}</form></body>") == "\n".join(paras)
+    assert H.extract(f"<body><form><main>{told}</main>{rest}</form></body>") == "\n".join(paras)
+    sections = "<section id='discussion'><p>What it means.</p></section><section class='related-work'><p>What others did.</p></section>"
+    assert H.extract(f"<body><article>{told}{sections}</article></body>") == "\n".join([*paras, "What it means.", "What others did."])
+    assert H.extract(f"<body><article>{told}</article><div id='comments'><article>{told * 3}</article></div></body>") == "\n".join(paras)
+
+
 def test_rows(spark):
     df = spark.createDataFrame([(1, "u", PAGE, "old", 9), (1, "u", PAGE, "old", 9), (None, None, None, None, None)], "page_id long, url string, html string, text string, n_chars int")
     rows = H.extract_pages(df).collect()

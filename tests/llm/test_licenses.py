@@ -1,5 +1,7 @@
 import math
+import textwrap
 from collections import Counter
+from pathlib import Path
 
 import numpy as np
 
@@ -63,6 +65,30 @@ def test_inheritance_by_nearest_ancestor(spark):
     )
 
 
+def test_gnu_headers_and_licence_files_get_their_own_names(spark):
+    """Headers broken over comment lines, with the warranty paragraph; and whole licence files where the system has them."""
+    warranty = "This program is distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY; see the GNU General Public License for more details."
+    rows = []
+    for what, name, sep, version, want in [
+        ("program", "", ";", "1", "GPL-1.0"),
+        ("program", "", ";", "2 of the License", "GPL-2.0"),
+        ("program", "", ":", "3 of the License", "GPL-3.0"),
+        ("library", "Library ", ";", "2 of the License", "LGPL-2.0"),
+        ("library", "Lesser ", ";", "2.1 of the License", "LGPL-2.1"),
+        ("library", "Lesser ", ":", "3 of the License", "LGPL-3.0"),
+        ("program", "Lesser ", ":", "3 of the License", "LGPL-3.0"),
+        ("program", "Affero ", ":", "3 of the License", "AGPL-3.0"),
+    ]:
+        text = f"This {what} is free software{sep} you can redistribute it and/or modify it under the terms of the GNU {name}General Public License as published by the Free Software Foundation, either version {version}, or (at your option) any later version."
+        rows.append((want, "\n".join(f"# {x}" for x in [*textwrap.wrap(text, 70), "", *textwrap.wrap(warranty, 70)])))
+    for file, want in {"GPL-1": "GPL-1.0", "GPL-2": "GPL-2.0", "GPL-3": "GPL-3.0", "LGPL-2": "LGPL-2.0", "LGPL-2.1": "LGPL-2.1", "LGPL-3": "LGPL-3.0", "Apache-2.0": "Apache-2.0", "MPL-2.0": "MPL-2.0"}.items():
+        path = Path("/usr/share/common-licenses", file)
+        if path.exists():
+            rows.append((want, path.read_text()))
+    got = L.own_license(spark.createDataFrame(rows, "want string, text string")).collect()
+    assert [r.own_license for r in got] == [r.want for r in got]
+
+
 def test_odd_and_empty(spark):
     got = L.own_license(documents(spark, ODD)).collect()
     assert len(got) == len(ODD) and {r.own_license for r in got} == {None}

@@ -1,22 +1,29 @@
 """Main text of web pages by composite text density (operator 7).
 
-A page becomes a tree. Subtrees that are never article text (scripts, menus, headers outside the article,
-adverts, reader comments and so on, by tag, role, class or id) are cut, unless they hold the only <article> or
-<main> or most of the page's text outside links. For every node the density is the
-link-adjusted number of characters per tag: C / T * log(C / LC * T / LT) to a base that grows with the page's
-share of links, where C and T are characters and tags below the node, LC and LT those in links, and the
-other characters stand in for none. Child densities are summed for each node; the node of the largest sum is
-the core. The article is the enclosing <article> or <main> if there is one. Otherwise the smallest density on the
-path from the body to the core is the threshold, and every subtree of the page that reaches it gives its node of
-the largest sum; those nodes, in page order, are the article.
+A page becomes a tree. For every node the composite density is the link-adjusted number of characters per
+tag: C / T * log(C / LC * T / LT) to a base that grows with the page's share of links, where C and T are
+characters and tags below the node, LC and LT those in links, and the other characters stand in for none. Child
+densities are summed for each node; the block of the largest sum, or the one block below it that holds nearly
+all of its text, is the core. The smallest density on the path from the body to the core is the threshold.
+
+Tags, roles, classes and ids are hints that enter the densities: text of what they name as a menu, header, footer,
+sidebar, notice, advert, form or reader comment counts as link text, so its density is next to none, unless that
+holds the only <article> or <main> or most of the page's text outside links; a sum below an <article> or <main>
+counts twice. A core below an <article> grows to it where its density stays near the core's.
+
+Outside the core every block that reaches the threshold, and has a node whose density comes near those of the
+core's children, gives its node of the largest sum; a core whose <article> holds most of the plain text needs
+none. The last <h1> before the core, and headings right before it, belong to it. Inside, what is hinted at and lists of
+links below the threshold are left out. Scripts, styles, form controls and the like have no text.
 
 The text of the article's blocks then has its character references decoded, white space turned into one
 blank and ends trimmed; blocks that aren't empty are joined by a line feed in page order.
 
-Defined cases: a null or text-less page gives an empty text; markup that is cut off, unclosed or wrongly
-nested is read as browsers would roughly read it: an open comment, script or style runs to the end, an end
-tag closes the nearest open element of its name, and <p>, <li> and the like close their open sibling; no
-text is capped; depth is kept on a list, never on the call stack; repeated rows each get a result.
+Defined cases: a null or text-less page gives an empty text; a page whose text is all in links gives all of it;
+markup that is cut off, unclosed or wrongly nested is read as browsers would roughly read it: an open comment,
+script or style runs to the end, an end tag closes the nearest open element of its name, and <p>, <li> and the
+like close their open sibling; very long pages are read whole, and depth is kept on a list, never on the call
+stack; repeated rows each get a result; columns named text or n_chars, in any case, are replaced.
 """
 
 from __future__ import annotations
@@ -58,8 +65,15 @@ BESIDE = frozenset("side bar site page main global top bottom left right center
 #: Sections of an article that go by such a word.
 OWN_SECTIONS = frozenset("discussion responses related notice notices alert disclaimer".split())
 _PARTS = re.compile(r"[_-]+")
-#: What stays cut whatever it holds.
-KEPT_CUT = RAW | frozenset("audio button canvas dialog iframe label map menu nav noscript object select svg template video".split())
+#: Elements whose content is no text of the page.
+TEXTLESS = RAW | frozenset("audio button canvas dialog head iframe input label map noscript object select svg template video".split())
+#: What stays hinted at whatever it holds.
+KEPT_CUT = TEXTLESS | frozenset(("menu", "nav"))
+#: Blocks that hold other blocks, so that a list of links may be one.
+HOLDERS = BLOCKS - frozenset("address blockquote br caption dd dt figcaption h1 h2 h3 h4 h5 h6 hr legend li option p pre summary".split())
+HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
+#: Share of the text that makes a block stand for the one round it; of the core's density that others, and an <article> round it, must reach.
+NEARLY_ALL, NEAR, GROWS = 0.8, 0.4, 0.3
 # Headers that belong to an article, by their class or id.
 OWN_HEADER = re.compile(r"^(?:article|entry|post|story|content)[_-]*(?:header|head|title)$", re.I)
 TITLE_WORDS = re.compile(r"^[\w-]*(?:header|masthead)$", re.I)
@@ -70,13 +84,18 @@ _SPACE = re.compile(r"\s+")
 
 
 class Node:
-    __slots__ = ("chars", "children", "cut", "density", "link_chars", "link_tags", "parent", "tag", "tags", "total")
+    __slots__ = ("chars", "children", "cut", "density", "link_chars", "link_tags", "linked", "parent", "tag", "tags", "total")
 
     def __init__(self, tag: str, parent: Node | None, cut: bool):
         self.tag, self.parent, self.cut = tag, parent, cut
         self.children: list[Node | str] = []
         self.chars = self.tags = self.link_chars = self.link_tags = 0
         self.density = self.total = 0.0
+        self.linked = False
+
+    @property
+    def plain(self) -> int:
+        return self.chars - self.link_chars
 
 
 def names_boilerplate(token: str) -> bool:
@@ -88,7 +107,7 @@ def names_boilerplate(token: str) -> bool:
 
 
 def boilerplate(tag: str, attrs: str, inside: bool) -> bool:
-    """Whether an element is cut. inside: it stands in an <article>, whose own <header> is kept."""
+    """Whether an element is hinted at. inside: it stands in an <article>, whose own <header> is not."""
     if tag in CUT_TAGS or tag == "header" and not inside:
         return True
     if not attrs or tag in ("html", "body", "article", "main"):
@@ -170,10 +189,10 @@ def parse(page: str) -> Node:
 
 
 def restore(root: Node) -> None:
-    """Takes back the cuts round an <article> or <main> where none stands outside cuts, and round most of the page's text.
+    """Takes back the hints round an <article> or <main> where none stands outside cuts, and round blocks with most of the page's text.
 
     Text in links doesn't count. A page whose open <article> or <main> holds a tenth of its text, as those with long
-    reader comments have, keeps its cuts."""
+    reader comments have, keeps its hints."""
     order, stack = [], [(root, False, False)]
     plain: dict[Node, int] = {}
     marks, open_marks = [], []
@@ -203,26 +222,27 @@ def restore(root: Node) -> None:
             up.cut, up = False, up.parent
     if all(shown[n] * 10 < plain[root] for n in open_marks):
         for node in order:
-            if plain[node] * 2 > plain[root]:
+            if plain[node] * 2 > plain[root] and any(isinstance(c, Node) and c.tag in BLOCKS and plain.get(c) for c in node.children):
                 node.cut = False
 
 
 def measure(root: Node) -> list[Node]:
-    """Sets counts and densities; gives the nodes that aren't cut, parents first."""
+    """Sets counts and densities; gives the nodes that have text, parents first. Hinted text counts as link text."""
     order, stack = [], [(root, False)]
     while stack:
-        node, link = stack.pop()
-        if node.cut:
+        node, linked = stack.pop()
+        if node.tag in TEXTLESS:
+            node.cut = True
             continue
         order.append(node)
-        link = link or node.tag == "a"
-        for child in node.children:
+        node.linked = linked = linked or node.cut or node.tag == "a"
+        for child in reversed(node.children):
             if isinstance(child, Node):
-                stack.append((child, link))
+                stack.append((child, linked))
             else:
                 n = len(child.strip())
                 node.chars += n
-                if link:
+                if linked:
                     node.link_chars += n
     for node in reversed(order):
         if node.parent is not None:
@@ -230,59 +250,106 @@ def measure(root: Node) -> list[Node]:
             up.chars += node.chars
             up.link_chars += node.link_chars
             up.tags += node.tags + 1
-            up.link_tags += node.link_tags + (node.tag == "a")
+            up.link_tags += node.link_tags + (node.cut or node.tag == "a")
     share = root.link_chars / max(1, root.chars)
     for node in reversed(order):
-        c, t = node.chars, max(1, node.tags)
-        if c:
-            lc, lt = max(1, node.link_chars), max(1, node.link_tags)
-            plain = max(1, c - node.link_chars)
-            bend = math.log(c * node.link_chars / plain + share * c + math.e)
-            node.density = c / t * max(0.0, math.log(max(1.0, c / lc * t / lt)) / bend + 1e-9)
+        node.density = density(node, share)
         if node.parent is not None:
             node.parent.total += node.density
     return order
 
 
+def density(node: Node, share: float) -> float:
+    """Composite text density; share: of the page's characters that are in links."""
+    c, t = node.chars, max(1, node.tags)
+    if not c:
+        return 0.0
+    lc, lt = max(1, node.link_chars), max(1, node.link_tags)
+    bend = math.log(c * node.link_chars / max(1, node.plain) + share * c + math.e)
+    return c / t * max(0.0, math.log(max(1.0, c / lc * t / lt)) / bend + 1e-9)
+
+
 def strength(node: Node) -> float:
     return node.total or node.density
 
 
-def article_of(root: Node, order: list[Node]) -> list[Node]:
-    """The nodes whose texts are the page's article, in page order and none within another."""
-    full = [n for n in order if n.chars]
+def core_of(full: list[Node]) -> Node:
+    """The holder of blocks of the largest sum, then the one below that has nearly all of its plain text, and so on."""
+    doubled = {n for n in full if n.tag in ("article", "main")}
+    for node in full:
+        if node.parent in doubled:
+            doubled.add(node)
+    holders = [n for n in full if n.parent is None or n.tag in HOLDERS]
+    core = max(holders, key=lambda n: strength(n) * (2 if n in doubled else 1))
+    while True:
+        below = [c for c in core.children if isinstance(c, Node) and c.tag in HOLDERS and c.plain >= NEARLY_ALL * core.plain]
+        if not below:
+            break
+        core = below[0]
+    up = core
+    while up is not None and up.tag not in ("article", "main"):
+        up = up.parent
+    return up if up is not None and up.density >= GROWS * core.density else core
+
+
+def article_of(root: Node, order: list[Node]) -> tuple[list[Node], float]:
+    """The nodes whose texts are the page's article, in page order and none within another; and the threshold."""
+    full = [n for n in order if n.plain > 0]
     if not full:
-        return [root]
-    core = max(full, key=strength)
+        return [root], 0.0
+    core = core_of(full)
     path = [core]
     while path[-1].parent is not None:
         path.append(path[-1].parent)
-    marked = [n for n in path if n.tag in ("article", "main")]
-    if marked:
-        return [marked[-1]]
-    outside = [n for n in full if n.tag == "article"] or [n for n in full if n.tag == "main"]
-    if outside and max(n.chars for n in outside) * 2 >= core.chars:
-        return [max(outside, key=lambda n: n.total)]
     threshold = min(n.density for n in path)
+    parts = [c for c in core.children if isinstance(c, Node) and c.plain > 0 and c.tag in BLOCKS] or [core]
+    near = NEAR * sum(n.density * n.plain for n in parts) / sum(n.plain for n in parts)
     best: dict[Node, Node] = {}  # below each node, the node of the largest sum; the outer one of equal sums
+    peak: dict[Node, float] = {}
     for node in reversed(full):
         if node not in best or strength(node) >= strength(best[node]):
             best[node] = node
+        peak[node] = max(peak.get(node, 0.0), node.density)
         up = node.parent
-        if up is not None and (up not in best or strength(best[node]) >= strength(best[up])):
-            best[up] = best[node]
-    chosen = {best[n] for n in full if n.density >= threshold and (n.tag in BLOCKS or n in path)} | {core}
-    out, stack = [], [root]
+        if up is not None:
+            if up not in best or strength(best[node]) >= strength(best[up]):
+                best[up] = best[node]
+            peak[up] = max(peak.get(up, 0.0), peak[node])
+    on_path = set(path)
+    chosen = {core}
+    if core.tag != "article" or 2 * core.plain < root.plain:
+        chosen |= {best[n] for n in full if n not in on_path and n.tag in BLOCKS and not n.linked and n.density >= threshold and peak[n] >= near}
+    out, pending, title = [], [], None
+    stack, found = [root], False
     while stack:
         node = stack.pop()
         if node in chosen:
+            if node is core:
+                found = True
+                if title is not None and title not in pending:
+                    out.append(title)
+            out.extend(pending)
+            pending, title = [], title if not found else None
             out.append(node)
+        elif node.tag in HEADINGS and not node.linked and node.plain > node.link_chars and not found:
+            pending.append(node)
+            if node.tag == "h1":
+                title = node
         else:
+            if node.tag in BLOCKS and node.chars and node not in on_path and node.tag not in HOLDERS:
+                pending = []
             stack.extend(c for c in reversed(node.children) if isinstance(c, Node) and not c.cut)
-    return out
+    if title in out:
+        place = {n: i for i, n in enumerate(order)}
+        out.sort(key=place.__getitem__)
+    return out, threshold
+
+
+def list_of_links(node: Node, threshold: float) -> bool:
+    return node.tag in HOLDERS and node.link_tags > 2 and node.link_chars > node.plain and node.density < threshold
 
 
-def blocks_of(node: Node) -> list[str]:
+def blocks_of(node: Node, threshold: float = 0.0) -> list[str]:
     """The texts between block boundaries below a node, in page order."""
     out: list[str] = []
     run: list[str] = []
@@ -300,7 +367,7 @@ def blocks_of(node: Node) -> list[str]:
             run.append(item)
         elif leave:
             flush()
-        elif not item.cut:
+        elif not item.cut and (item is node or not list_of_links(item, threshold)):
             if item.tag in BLOCKS:
                 flush()
                 stack.append((item, True))
@@ -314,12 +381,13 @@ def extract(page: str | None) -> str:
         return ""
     root = parse(page)
     restore(root)
-    return "\n".join(b for node in article_of(root, measure(root)) for b in blocks_of(node))
+    nodes, threshold = article_of(root, measure(root))
+    return "\n".join(b for node in nodes for b in blocks_of(node, threshold))
 
 
 def extract_pages(pages: DataFrame) -> DataFrame:
     """`pages` without html, and text, n_chars."""
-    names = [c for c in pages.columns if c not in ("html", "text", "n_chars")]
+    names = [c for c in pages.columns if c.lower() not in ("html", "text", "n_chars")]
 
     def step(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

@@ -64,3 +64,42 @@ def test_rows(spark):
     rows = H.extract_pages(df).collect()
     assert [(r.page_id, r.text, r.n_chars) for r in rows] == [(1, TEXT, len(TEXT))] * 2 + [(None, "", 0)]
     assert H.extract_pages(df.where("false")).count() == 0
+
+
+def told(n=4):
+    return [f"Part {i} " + "of the tale goes on and on " * 12 + "then." for i in range(n)]
+
+
+LINKS = "<div>" + "<a href=x>some other page of the site</a> " * 20 + "</div>"
+RAIL = "<div class='rail'><p>Try this new thing now.</p><p>Buy it, or read how others did.</p></div>"
+
+
+def test_links_and_unlisted_sidebars_go_whatever_wraps_them():
+    for n in (1, 4):
+        text = f"<div>{''.join(f'<p>{p}</p>' for p in told(n))}</div>"
+        for page in (LINKS + text + RAIL, RAIL + text + LINKS, f"<div>{LINKS}{text}{RAIL}</div>", f"<div><div>{LINKS}</div><div>{text}{RAIL}</div></div>", f"<div>{text}{LINKS}</div>{RAIL}"):
+            assert H.extract(f"<body>{page}</body>") == "\n".join(told(n)), page[:80]
+    inside = f"<article><h1>Title</h1>{''.join(f'<p>{p}</p>' for p in told())}<ul>{'<li><a href=x>more of this</a></li>' * 8}</ul></article>"
+    assert H.extract(f"<body>{LINKS}{inside}{RAIL}</body>") == "\n".join(["Title", *told()])
+
+
+def test_titles_outside_the_core():
+    text = "".join(f"<p>{p}</p>" for p in told())
+    assert H.extract(f"<body>{LINKS}<h1>The tale</h1><div>{text}</div>{RAIL}</body>") == "\n".join(["The tale", *told()])
+    assert H.extract(f"<body><h1>The tale</h1><p>by A</p><h2>Start</h2><div>{text}</div></body>") == "\n".join(["The tale", "Start", *told()])
+
+
+def test_short_articles_keep_out_long_footers():
+    assert H.extract("<nav><a href=x>x</a></nav><article><h1>Hm.</h1><p><b>Hm.<br></article><footer>&copy; some.example &middot; " + "words of the site " * 20) == "Hm.\nHm."
+    assert H.extract("<p><a href=x>only a link</a></p>") == "only a link"
+
+
+def test_density_decides(monkeypatch):
+    """Without any hint, density alone finds the text; with densities all alike it isn't found."""
+    page = f"<body>{LINKS}<div>{''.join(f'<p>{p}</p>' for p in told())}</div>{RAIL}</body>"
+    marked = f"<body><nav>{LINKS}</nav><article>{''.join(f'<p>{p}</p>' for p in told())}</article><footer>By the site.</footer></body>"
+    monkeypatch.setattr(H, "boilerplate", lambda *a: False)
+    assert H.extract(page) == H.extract(marked) == "\n".join(told())
+    monkeypatch.setattr(H, "density", lambda node, share: float(bool(node.chars)))
+    assert H.extract(page) != "\n".join(told())
+    assert H.extract(marked.replace("article>", "div>")) != "\n".join(told())

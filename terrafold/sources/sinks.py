@@ -11,6 +11,7 @@ from terrafold.operators.head import Head
 from terrafold.operators.manifest import consolidate
 from terrafold.operators.stats import source_summary
 from terrafold.schema import MANIFEST, MANIFEST_KEY
+from terrafold.sources.swap import Swap
 
 HEAD = (
     "classes array<int>, mean array<double>, sd array<double>, layers array<struct<w:array<double>,b:array<double>>>, means array<double>, "
@@ -59,27 +60,37 @@ def append_shard(rows: DataFrame, prefix: str) -> None:
         write_parquet(rows, f"{prefix}/shards/run={uuid.uuid4().hex}")
 
 
+def read_manifest(spark: SparkSession, prefix: str) -> DataFrame:
+    """The manifest without its shards; empty where there is none yet."""
+    at = _manifest(spark, prefix).current()
+    return spark.read.schema(MANIFEST).parquet(at) if at else spark.createDataFrame([], MANIFEST)
+
+
+def _manifest(spark: SparkSession, prefix: str) -> Swap:
+    return Swap(spark, f"{prefix}/manifest.parquet", f"{prefix}/manifest.next", f"{prefix}/manifest.old")
+
+
+def replace_manifest(rows: DataFrame, prefix: str) -> DataFrame:
+    """Writes `rows`, which may come from the manifest itself, as the manifest."""
+    swap = _manifest(rows.sparkSession, prefix)
+    write_parquet(rows.select(*MANIFEST.names), swap.fresh)
+    return rows.sparkSession.read.schema(MANIFEST).parquet(swap.commit())
+
+
 def consolidate_shards(spark: SparkSession, prefix: str) -> DataFrame:
     """The manifest with its shards, later rows first; shards that can't be read are skipped. The merged table
-    is written beside the old one and swapped in, then the shards go."""
-    at, shards = f"{prefix}/manifest.parquet", f"{prefix}/shards"
-    old = spark.read.schema(MANIFEST).parquet(at) if exists(spark, at) else None
+    is written beside the old one and swapped in, then the shards go; a replay after a stop merges them again,
+    which changes nothing."""
+    swap, shards = _manifest(spark, prefix), f"{prefix}/shards"
+    old = spark.read.schema(MANIFEST).parquet(swap.at) if swap.recover() else None
     if not exists(spark, shards):
         return old if old is not None else spark.createDataFrame([], MANIFEST)
     fresh = spark.read.schema(MANIFEST).option("ignoreCorruptFiles", "true").option("recursiveFileLookup", "true").parquet(shards)
-    fresh = fresh.withColumn("seq", F.monotonically_increasing_id())
-    write_parquet(consolidate(old, fresh, MANIFEST_KEY).drop("seq"), f"{prefix}/manifest.next")
-    fs = spark._jvm.org.apache.hadoop.fs.Path(prefix).getFileSystem(spark._jsc.hadoopConfiguration())
-
-    def path(name: str):
-        return spark._jvm.org.apache.hadoop.fs.Path(f"{prefix}/{name}")
-
-    if old is not None:
-        fs.rename(path("manifest.parquet"), path("manifest.old"))
-    fs.rename(path("manifest.next"), path("manifest.parquet"))
-    fs.delete(path("manifest.old"), True)
-    fs.delete(path("shards"), True)
-    return spark.read.schema(MANIFEST).parquet(at)
+    # the time of the shard, then the place in it
+    fresh = fresh.withColumn("seq", F.unix_millis("_metadata.file_modification_time") * 1_000_000 + F.pmod(F.col("_metadata.row_index"), F.lit(1_000_000)))
+    merged = replace_manifest(consolidate(old, fresh, MANIFEST_KEY).drop("seq"), prefix)
+    swap.remove(shards)
+    return merged
 
 
 def save_head(spark: SparkSession, head: Head, path: str) -> None:

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from terrafold.operators.dedup import latest
 from terrafold.schema import OBSERVATION, OBSERVATION_COLUMNS, REQUIRED
+from terrafold.sources.swap import Swap
 
 DATASETS = frozenset({"BioSCape_VegPlots_Berg_Eerste_2425", "mapwaps_olifants_doring", "mapwaps_tugela", "mapwaps_umzimvubu", "sanlc_accuracy_points"})
 TIES = ("ingest_run_id", "source_record_id")
@@ -31,47 +32,38 @@ class Store:
 
     def __init__(self, spark: SparkSession, root: str, datasets: frozenset[str] = DATASETS):
         self.spark, self.root, self.datasets = spark, root.rstrip("/"), datasets
-        self._jvm = spark._jvm
-        self._fs = self._path(self.root).getFileSystem(spark._jsc.hadoopConfiguration())
-
-    def _path(self, text: str):
-        return self._jvm.org.apache.hadoop.fs.Path(text)
 
     def partition(self, dataset: str) -> str:
         if dataset not in self.datasets:
             raise ValueError(f"unknown dataset {dataset!r}; there are {sorted(self.datasets)}")
         return f"{self.root}/dataset={dataset}"
 
+    def swap(self, dataset: str) -> Swap:
+        return Swap(self.spark, self.partition(dataset), f"{self.root}/_next_{dataset}", f"{self.root}/_old_{dataset}")
+
     def runs(self) -> list[str]:
         """Directories of the current versions; files at the root and unfinished writes don't count."""
-        if not self._fs.exists(self._path(self.root)):
-            return []
-        names = [s.getPath().getName() for s in self._fs.listStatus(self._path(self.root)) if s.isDirectory()]
-        return sorted(f"{self.root}/{n}" for n in names if n.startswith("dataset=") and n.removeprefix("dataset=") in self.datasets)
+        return [at for d in sorted(self.datasets) if (at := self.swap(d).current())]
 
     def upsert(self, new: DataFrame, dataset: str, run: str | None = None) -> str:
-        """Merges by obs_id, latest ingested_at first. The merged rows are written beside the old ones, which
-        are moved away and only then removed, so a crash never loses both."""
-        at = self.partition(dataset)
+        """Merges by obs_id, latest ingested_at first; `run` names the run of rows that have none. The merged rows are written beside the old ones and swapped in;
+        a stop at any point loses nothing that was stored, and a replay of the same rows changes nothing."""
+        swap = self.swap(dataset)
         rows = canonical(new)
-        if self._fs.exists(self._path(at)):
-            rows = self.spark.read.schema(OBSERVATION).parquet(at).unionByName(rows)
+        if run:
+            rows = rows.withColumn("ingest_run_id", F.coalesce("ingest_run_id", F.lit(run)))
+        if swap.recover():
+            rows = self.spark.read.schema(OBSERVATION).parquet(swap.at).unionByName(rows)
         merged = latest(rows, ties=TIES)
-        run = run or run_id(dataset)
-        fresh, old = f"{self.root}/_tmp_{run}", f"{self.root}/_old_{run}"
-        merged.repartitionByRange(F.col("lon"), F.col("lat")).sortWithinPartitions("lon", "lat").write.mode("overwrite").option("compression", "zstd").parquet(fresh)
-        if self._fs.exists(self._path(at)):
-            self._fs.rename(self._path(at), self._path(old))
-        self._fs.rename(self._path(fresh), self._path(at))
-        self._fs.delete(self._path(old), True)
-        return at
+        merged.repartitionByRange(F.col("lon"), F.col("lat")).sortWithinPartitions("lon", "lat").write.mode("overwrite").option("compression", "zstd").parquet(swap.fresh)
+        return swap.commit()
 
     def read(self, sources: list[str] | None = None, bbox: tuple[float, float, float, float] | None = None) -> DataFrame:
         """All datasets; both filters are plain comparisons on flat columns and reach the files."""
         at = self.runs()
         if not at:
             raise FileNotFoundError(f"no observations under {self.root}")
-        df = self.spark.read.schema(OBSERVATION).option("basePath", self.root).parquet(*at)
+        df = self.spark.read.schema(OBSERVATION).parquet(*at)
         if sources:
             df = df.where(F.col("source").isin(*sources))
         if bbox:

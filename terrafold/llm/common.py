@@ -15,6 +15,7 @@ LOWER_ASCII = bytes(range(65)) + bytes(range(97, 123)) + bytes(range(91, 256))
 _SEPARATORS = np.zeros(256, dtype=bool)
 _SEPARATORS[[0x20, *range(0x09, 0x0E)]] = True
 _PIECE = 1 << 17
+ASIDE = "_aside"
 
 
 def mix64(x: np.ndarray) -> np.ndarray:
@@ -181,6 +182,27 @@ def bounded(df: DataFrame, limit: int, what: str) -> list:
     return rows
 
 
+def without(df: DataFrame, *names: str) -> DataFrame:
+    """`df` without the columns of these names, whatever their case, so that results may have them."""
+    low = {n.lower() for n in names}
+    return df.select(*[F.col(f"`{c.replace('`', '``')}`") for c in df.columns if c.lower() not in low])
+
+
+def aside(df: DataFrame, *needed: str) -> tuple[DataFrame, list[str]]:
+    """The columns in `needed` as they are, and all others in one struct under a name of our own, so that no name
+    that an operator uses meets one of theirs; and the names of those others. `restored` undoes it."""
+    low = {n.lower() for n in needed}
+    others = [c for c in df.columns if c.lower() not in low]
+    known = [c for c in df.columns if c.lower() in low]
+    fields = [F.col(f"`{c.replace('`', '``')}`").alias(f"c{i}") for i, c in enumerate(others)]
+    return df.select(*known, (F.struct(*fields) if fields else F.lit(None).cast("string")).alias(ASIDE)), others
+
+
+def restored(others: list[str]) -> list[Column]:
+    """The columns that `aside` put away, by their names."""
+    return [F.col(f"{ASIDE}.c{i}").alias(c) for i, c in enumerate(others)]
+
+
 def keep(df: DataFrame) -> DataFrame:
     """Like `cut`, for wide tables: compressed Parquet in the shared checkpoint folder."""
     at = f"{checkpoint_root(df.sparkSession)}/kept-{uuid.uuid4().hex}"

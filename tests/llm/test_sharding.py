@@ -14,6 +14,48 @@ def test_dot_product_placement_is_balanced_in_all_dimensions():
     assert (loads.max(axis=0) / loads.mean(axis=0)).max() < 1.01
 
 
+def test_every_part_is_balanced_when_bytes_and_tokens_disagree():
+    rng = np.random.default_rng(3)
+    n = rng.integers(1, 300, 2500).astype(float)
+    items = np.stack([n * rng.uniform(2, 12, 2500), n, rng.integers(1, 4, 2500)], axis=1)
+    items[:3] *= 30  # items near a fifth of a shard
+    where = S.place(items, 24)
+    loads = np.stack([items[where == k].sum(axis=0) for k in range(24)])
+    assert (loads.max(axis=0) / loads.mean(axis=0)).max() < 1.005 and (loads.min(axis=0) / loads.mean(axis=0)).min() > 0.995
+    part = items / (items.sum(axis=0) / 24)
+    first = np.argsort(-part.max(axis=1), kind="stable")[:24]
+    assert sorted(S.place(items[first], 24)) == list(range(24))  # the dot product gives each of the largest a shard
+
+
+def test_no_exchange_lowers_what_is_left():
+    """Against all moves and exchanges between the two shards, tried one by one."""
+    rng = np.random.default_rng(4)
+    part = rng.uniform(0.01, 0.3, (40, 3))
+    where = rng.integers(0, 4, 40)
+    residual = np.stack([1 - part[where == k].sum(axis=0) for k in range(4)])
+    left = lambda r: float((np.asarray(S.MOVE_WEIGHTS) * r**2).sum())
+    seen = [left(residual)]
+    while S._moved(part, where, residual):
+        assert np.allclose(residual, [1 - part[where == k].sum(axis=0) for k in range(4)])
+        seen.append(left(residual))
+    assert all(b < a for a, b in zip(seen, seen[1:], strict=False)) and len(seen) > 3
+    for d in range(3):
+        a, b = int(residual[:, d].argmin()), int(residual[:, d].argmax())
+        for i in np.flatnonzero(where == a):
+            for back in (np.zeros(3), *part[where == b]):
+                moved = residual.copy()
+                moved[a] += part[i] - back
+                moved[b] -= part[i] - back
+                assert left(moved) >= left(residual) - 1e-9
+
+
+def test_rows_without_id_and_one_text_are_split(spark):
+    got = S.shard(documents(spark, [(None, "hot " * 30)] * 900 + [(i, f"{i} text") for i in range(300)])).toPandas()
+    assert got[got.doc_id.isna()].shard.nunique() > 12
+    for _, g in got.groupby("shard"):
+        assert sorted(g.slot) == list(range(len(g)))
+
+
 def test_laws(spark):
     rng = np.random.default_rng(2)
     rows = [(i, f"{i} " + "ab " * int(rng.integers(1, 300))) for i in range(1500)]

@@ -1,9 +1,11 @@
 """A corpus pipeline of five stages. Each takes (spark, docs, sf_dir) and works on all of `docs`.
 
-Rows without an id are kept by the second stage, since they belong to no group; rows that repeat an id are
-one document, of which one row stays (the smallest text) if one of its texts represents its group. Mixing
-repeats a document once for each turn that takes it, and cuts the text of the one document of a source in
-which its quota ends. Empty input gives empty output.
+Rows without a text, or without a letter in it, go in the first stage, as they have no language. Rows without an id
+are kept by the second, since they belong to no group; rows that repeat an id are one document, of which one row stays
+(the smallest text) if one of its texts represents its group; a null source or language is a source like others.
+Mixing repeats a document once for each turn that takes it; a document between two shards, or at the end of its source's
+quota, is cut into the words of each. Very long texts are read whole by every stage. Columns beside those of documents
+are carried along whatever their names, but for the last stage, which returns its own. Empty input gives empty output.
 """
 
 from __future__ import annotations
@@ -14,7 +16,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from terrafold.llm import decontaminate, langid, mixing, near_join, sharding
-from terrafold.llm.common import keep
+from terrafold.llm.common import aside, keep, restored
 from terrafold.shipping import ship
 
 MIN_SCORE = 0.5
@@ -31,9 +33,11 @@ def ngram_join(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each group of near copies the document of the smallest id stays."""
     ship(spark)
     stays = near_join.near_join(docs).where("doc_id = component_id").select("doc_id").distinct()
+    known, others = aside(docs, "doc_id", "text")
     one = Window.partitionBy("doc_id").orderBy("text")
-    known = docs.where("doc_id is not null").join(stays, "doc_id", "left_semi").withColumn("_row", F.row_number().over(one)).where("_row = 1")
-    return known.select(docs.columns).unionByName(docs.where("doc_id is null"))
+    first = known.where("doc_id is not null").join(stays, "doc_id", "left_semi").withColumn("row", F.row_number().over(one)).where("row = 1").drop("row")
+    back = dict(zip(others, restored(others), strict=True))
+    return first.unionByName(known.where("doc_id is null")).select(*[back.get(c, F.col(c)) for c in docs.columns])
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -44,17 +48,13 @@ def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The words that the mix takes: each document as often as it is taken."""
+    """The words that the mix takes, a row for each piece that the tree gave a shard, shuffled within the shards."""
     ship(spark)
-    turns = f"filter(transform(sequence(0, {mixing.REPEATS - 1}), t -> filter(pieces, p -> p.turn = t)), x -> size(x) > 0)"
-    taken = mixing.mix(docs).withColumn("_turn", F.explode(F.expr(turns)))
-    start, stop = F.expr("array_min(transform(_turn, p -> p.start))"), F.expr("array_max(transform(_turn, p -> p.stop))")
-    whole = (start == 0) & (stop == F.col("size"))
-    words = F.array_join(F.slice(F.regexp_extract_all("text", F.lit(mixing._WORD), F.lit(0)), (start + 1).cast("int"), (stop - start).cast("int")), " ")
-    out = taken.withColumn("text", F.when(whole, F.col("text")).otherwise(words))
-    if "n_chars" in docs.columns:
-        out = out.withColumn("n_chars", F.when(whole, F.col("n_chars")).otherwise(F.length("text")).cast(docs.schema["n_chars"].dataType))
-    return out.select(docs.columns)
+    slim, others = aside(docs, "doc_id", "text", "source")
+    out, back = mixing.lay_out(mixing.mix(slim)), dict(zip(others, restored(others), strict=True))
+    if "n_chars" in back:
+        back["n_chars"] = F.length("text").cast(docs.schema["n_chars"].dataType).alias("n_chars")
+    return out.select(*[back.get(c, F.col(c)) for c in docs.columns])
 
 
 def shard(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

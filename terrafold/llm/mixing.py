@@ -11,9 +11,10 @@ seed, node and source, so reruns agree. Shards then take disjoint runs of blocks
 a document's `pieces`; `taken` is the sum of their words. `lay_out` makes rows of the pieces and shuffles each shard
 locally by their `order`.
 
-Words are counted as runs of `[^\\x20\\x09-\\x0D]+`. Positions in a line come from sums over cells of a source (by
-the first hex digits of the hash, as many as give cells of about 4096 rows) and then within a cell, so that no
-task gets a whole source. The driver sees one row a source, at most `max_sources` (more is an error).
+Words are counted as runs of `[^\\x20\\x09-\\x0D]+`. Positions in a line come from sums over cells of a source (by the
+first hex digits of the hash, as many as give cells of at most about 512 rows): first over prefixes of half those
+digits, then over the cells of a prefix, then within a cell, so that no task gets a whole source. The driver sees one
+row a source, at most `max_sources` (more is an error).
 
 Defined cases: a null or empty text has size 0 and is never taken; with no words all targets are 0; rows
 without id stand where the hash of their text puts them; repeated rows each take their own place; very long texts
@@ -34,7 +35,7 @@ from terrafold.llm.common import aside, bounded, cut, restored, without
 
 WEIGHTS = (5, 2, 1)
 SHARE, REPEATS, SHARDS, BLOCK_WORDS, MAX_SOURCES = 1.5, 2, 24, 1024, 100_000
-CELL_ROWS, SUB_WORDS = 4096, 1 << 24
+CELL_ROWS, SUB_WORDS = 512, 1 << 24
 _WORD = r"[^\x20\x09-\x0D]+"
 RESULTS = ("size", "source_size", "target", "taken", "pieces")
 
@@ -117,8 +118,12 @@ def mix(docs: DataFrame, shards: int = SHARDS, block_words: int = BLOCK_WORDS, s
     runs = np.concatenate([np.zeros((1, len(sizes)), np.int64), np.cumsum(split_tree(quota, shards, seed), axis=0)]) * block_words
     plan = [(k, n, t, [min(int(x), size) for x in runs[:, i]]) for i, ((_, k, n), t, size) in enumerate(zip(named, goal, length, strict=True))]
     plan_df = docs.sparkSession.createDataFrame(plan, "key string, source_size long, target double, runs array<long>")
-    before = Window.partitionBy("key").orderBy("cell").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = cells.select("key", "cell", F.coalesce(F.sum("words").over(before), F.lit(0)).alias("offset"))
+    halves = cells.withColumn("half", F.substring("cell", 1, digits // 2))
+    before = Window.partitionBy("key").orderBy("half").rowsBetween(Window.unboundedPreceding, -1)
+    starts = halves.groupBy("key", "half").agg(F.sum("words").alias("words")).select("key", "half", F.coalesce(F.sum("words").over(before), F.lit(0)).alias("start"))
+    before = Window.partitionBy("key", "half").orderBy("cell").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = halves.select("key", "half", "cell", F.coalesce(F.sum("words").over(before), F.lit(0)).alias("begin")).join(starts, ["key", "half"])
+    offsets = offsets.select("key", "cell", (F.col("start") + F.col("begin")).alias("offset"))
     within = Window.partitionBy("key", "cell").orderBy("h", "doc_id", "size").rowsBetween(Window.unboundedPreceding, -1)
     rows = rows.withColumn("inside", F.coalesce(F.sum("size").over(within), F.lit(0)))
     rows = rows.join(offsets, ["key", "cell"]).join(F.broadcast(plan_df), "key").withColumn("at", F.col("offset") + F.col("inside"))

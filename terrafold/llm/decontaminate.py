@@ -1,157 +1,272 @@
 """Benchmark decontamination with one Aho-Corasick automaton (operator 3).
 
-Texts are normalised by lower-casing A-Z and keeping the words `[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+`.
-Every run of `window` consecutive words of a benchmark item is a pattern, or the whole item where it
-has fewer words. A document is scanned once, and each match is mapped back to word numbers and, for
-the spans, to byte offsets of the original text: normalising replaces bytes one for one, so offsets
-survive it.
+Texts are normalised by lower-casing A-Z and keeping the words `[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+`. Every run of
+`window` consecutive words of a benchmark item is a window, or the whole item where it has fewer words. The automaton
+runs over numbers of words, spelled in 64 signs, once over all words of a batch. Its patterns are the short items, and of
+the others stretches of 7 words (of 10) at every 4th, one of which lies in any window; so it has at most about two nodes
+a sign of the benchmark. Windows round a stretch that is met are looked up among the benchmark's. Hits are mapped back to word numbers
+and, for the spans, to byte offsets of the original text: normalising replaces bytes one for one, so offsets survive it.
+
+Documents are not shuffled. The benchmark goes to the tasks in passes of at most `pass_bytes` of text, as hashes and
+numbers of its words; between two passes what was found is written to the shared folder. In a pass a task has one
+automaton at a time, of a block of at most `block_bytes`; where there are several, it puts them one after the other to
+about `group_bytes` of documents that it holds. So driver and tasks hold a bounded part of the benchmark whatever
+its size.
 
 Defined cases: a null or word-less text has no words, hits or items; a benchmark row without id or
 without words yields no pattern; rows that repeat an item id count as one item; an empty benchmark
-hits nothing; repeated document rows are each judged; columns that have the names of the results are
-replaced by them. Documents are not shuffled. The benchmark is read in blocks of at most
-`block_bytes` of text, one automaton each, so that what a task holds is bounded whatever its size.
+hits nothing; repeated document rows are each judged; very long texts are scanned whole; columns that have the names of
+the results, in any case, are replaced by them, all others stay as they are, whatever their names; an empty table gives
+an empty result.
 """
 
 from __future__ import annotations
 
-import re
+import uuid
 from collections.abc import Iterator
 
 import ahocorasick
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from terrafold.llm.common import LOWER_ASCII, byte_lists
+from terrafold.llm.common import LOWER_ASCII, U64, Words, aside, byte_lists, keep, restored, window_hash, without
 
 WINDOW = 10
-BLOCK_BYTES = 8 << 20
-_WORD = re.compile(rb"[0-9a-z\x80-\xff]+")
+BLOCK_BYTES, PASS_BYTES, GROUP_BYTES = 2 << 20, 64 << 20, 32 << 20
+_STRETCH, _WHOLE = 1, 2
 _NORMAL = bytes(b if chr(b).isascii() and chr(b).isalnum() or b >= 0x80 else 0x20 for b in LOWER_ASCII)
 RESULTS = "n_words bigint, n_hit bigint, items array<string>, spans array<struct<start:bigint,stop:bigint>>"
-
-
-def normal_words(text: bytes) -> list[bytes]:
-    return text.translate(_NORMAL).split()
-
-
-def patterns(items: list[tuple[str, bytes]], window: int) -> dict[str, tuple[int, set[str]]]:
-    """Pattern (padded by blanks, one character a byte) -> its number of words and its items."""
-    found: dict[str, tuple[int, set[str]]] = {}
-    for item, text in items:
-        words = normal_words(text)
-        width = min(window, len(words))
-        for i in range(len(words) - width + 1 if width else 0):
-            key = f" {b' '.join(words[i : i + width]).decode('latin-1')} "
-            found.setdefault(key, (width, set()))[1].add(item)
-    return found
-
-
-def automaton(found: dict[str, tuple[int, set[str]]]) -> ahocorasick.Automaton:
-    machine = ahocorasick.Automaton()
-    for key, value in found.items():
-        machine.add_word(key, value)
-    machine.make_automaton()
-    return machine
-
-
-def scan(machine: ahocorasick.Automaton, text: bytes) -> tuple[int, list[tuple[int, int]], set[str]]:
-    """Number of words, merged intervals of hit words (first, last + 1), and items found."""
-    words = normal_words(text)
-    line = f" {b' '.join(words).decode('latin-1')} "
-    hits: list[tuple[int, int]] = []
-    items: set[str] = set()
-    if len(machine):
-        done = blanks = 0
-        for at, (width, own) in machine.iter(line):
-            blanks += line.count(" ", done, at)
-            done = at
-            items |= own
-            first = blanks - width
-            while hits and hits[-1][0] >= first:
-                hits.pop()
-            if hits and hits[-1][1] >= first:
-                hits[-1] = (hits[-1][0], blanks)
-            else:
-                hits.append((first, blanks))
-    return len(words), hits, items
-
-
-def merged(intervals: list[tuple[int, int]]) -> list[tuple[int, int]]:
-    out: list[tuple[int, int]] = []
-    for a, b in sorted(intervals):
-        if out and a <= out[-1][1]:
-            out[-1] = (out[-1][0], max(b, out[-1][1]))
-        else:
-            out.append((a, b))
+_MADE: dict[tuple, Matcher] = {}
+
+
+def stretch(window: int) -> tuple[int, int]:
+    """Length and step of the stretches of which every run of `window` words holds one."""
+    length = max(1, -(-2 * window // 3))
+    return length, window + 1 - length
+
+
+class Bench:
+    """A pass of the benchmark: hashes of its distinct words, the numbers (from 1) of all its words, and its items."""
+
+    def __init__(self, items: list[tuple[str, bytes]], block_bytes: int):
+        words = Words([t.translate(_NORMAL) for _, t in items])
+        self.key = uuid.uuid4().hex
+        self.vocabulary, inverse = np.unique(words.hash, return_inverse=True)
+        self.words = (inverse + 1).astype(np.uint32)
+        self.signs = max(1, -(-len(self.vocabulary).bit_length() // 6))
+        self.first, self.count = words.first, words.count
+        self.names = [n for n, _ in items]
+        self.blocks, size = [0], 0
+        for i, (_, text) in enumerate(items):
+            if size and size + len(text) > block_bytes:
+                self.blocks.append(i)
+                size = 0
+            size += len(text)
+        self.blocks.append(len(items))
+
+    def numbers(self, hashes: np.ndarray) -> np.ndarray:
+        """Numbers of words; 0 for those that the benchmark lacks."""
+        if not len(self.vocabulary):
+            return np.zeros(len(hashes), np.int64)
+        at = np.minimum(np.searchsorted(self.vocabulary, hashes), len(self.vocabulary) - 1)
+        return np.where(self.vocabulary[at] == hashes, at + 1, 0)
+
+    def spell(self, numbers: np.ndarray) -> str:
+        """`signs` characters a word, the first from a range of its own, so that no match begins within a word."""
+        digits = numbers.astype(np.uint32)[:, None] >> (6 * np.arange(self.signs, dtype=np.uint32)) & np.uint32(63)
+        digits += np.uint32(0x40)
+        digits[:, 0] += np.uint32(0xC0)
+        return digits.astype("<u4").tobytes().decode("utf-32-le")
+
+    def matcher(self, block: int, window: int) -> Matcher:
+        """Made once a worker process, which holds one at a time."""
+        key = (self.key, block, window)
+        if key not in _MADE:
+            _MADE.clear()
+            _MADE[key] = Matcher(self, self.blocks[block], self.blocks[block + 1], window)
+        return _MADE[key]
+
+
+class Matcher:
+    """The automaton of a block's items, and its windows by width: sorted hashes, and the items of each."""
+
+    def __init__(self, bench: Bench, lo: int, hi: int, window: int):
+        self.window, self.bench = window, bench
+        self.machine = ahocorasick.Automaton(ahocorasick.STORE_INTS)
+        first, count = bench.first[lo:hi], bench.count[lo:hi]
+        begin = int(first[0]) if len(first) else 0
+        words = bench.words[begin : begin + int(count.sum())]
+        hashes, owner = bench.vocabulary[words.astype(np.int64) - 1], np.repeat(np.arange(lo, hi), count)
+        at = np.arange(len(words)) - np.repeat(first - begin, count)
+        left = np.repeat(count, count) - at
+        length, step = stretch(window)
+        told, signs = bench.spell(words), bench.signs
+        flags: dict[str, int] = {}
+        long = np.repeat(count >= window, count)
+        for i in np.flatnonzero(long & (at % step == 0) & (left >= length)).tolist():
+            flags[told[i * signs : (i + length) * signs]] = _STRETCH
+        for f, n in zip((first - begin)[count < window].tolist(), count[count < window].tolist(), strict=True):
+            if n:
+                key = told[f * signs : (f + n) * signs]
+                flags[key] = flags.get(key, 0) | _WHOLE
+        for key, flag in flags.items():
+            self.machine.add_word(key, len(key) // signs << 2 | flag)
+        del flags
+        if len(self.machine):
+            self.machine.make_automaton()
+        self.tables = {}
+        for width in np.unique(np.minimum(count, window)):
+            if width:
+                here = np.repeat(np.minimum(count, window) == width, count) & (left >= width)
+                pair = np.unique(np.stack([window_hash(hashes, int(width))[here], owner[here].astype(U64)], axis=1), axis=0)
+                keys, begins = np.unique(pair[:, 0], return_index=True)
+                self.tables[int(width)] = (keys, np.append(begins, len(pair)), pair[:, 1].astype(np.int64))
+
+    def find(self, words: Words) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+        """Width, first words and items of the windows that occur in the texts; a first word once for each item."""
+        if not len(self.machine):
+            return
+        text = np.repeat(np.arange(len(words.count)), words.count)
+        line = np.zeros(len(words.hash) + len(words.count), np.int64)  # a 0 between two texts, which no pattern has
+        line[np.arange(len(words.hash)) + text] = self.bench.numbers(words.hash)
+        met = np.array(list(self.machine.iter(self.bench.spell(line))), np.int64).reshape(-1, 2)
+        if not len(met):
+            return
+        place = np.zeros(len(line), np.int64)
+        place[np.arange(len(words.hash)) + text] = np.arange(len(words.hash))
+        end, length, flag = place[met[:, 0] // self.bench.signs], met[:, 1] >> 2, met[:, 1] & 3
+        starts: dict[int, list[np.ndarray]] = {}
+        mine = flag & _STRETCH > 0
+        for shift in range(stretch(self.window)[1]):
+            starts.setdefault(self.window, []).append((end - length + 1 - shift)[mine])
+        for width in np.unique(length[flag & _WHOLE > 0]):
+            starts.setdefault(int(width), []).append((end - length + 1)[(flag & _WHOLE > 0) & (length == width)])
+        stop = words.first + words.count
+        for width, found in starts.items():
+            start = np.unique(np.concatenate(found))
+            start = start[(start >= 0) & (start < len(text))]
+            start = start[start + width <= stop[text[start]]]
+            if not len(start):
+                continue
+            keys, begins, owners = self.tables[width]
+            # the hashes of windows depend on their words alone, so only the parts round the starts are hashed
+            got = _hash_at(words.hash, start, width)
+            at = np.minimum(np.searchsorted(keys, got), len(keys) - 1)
+            hit = keys[at] == got
+            start, at = start[hit], at[hit]
+            many = begins[at + 1] - begins[at]
+            own = owners[np.repeat(begins[at], many) + np.arange(many.sum()) - np.repeat(np.cumsum(many) - many, many)]
+            yield width, np.repeat(start, many), own
+
+
+def _hash_at(hashes: np.ndarray, start: np.ndarray, width: int) -> np.ndarray:
+    """`window_hash` of the windows that begin at `start`."""
+    rows = hashes[start[:, None] + np.arange(width)].ravel()
+    return window_hash(rows, width)[:: width] if len(rows) else np.zeros(0, U64)
+
+
+def scan(bench: Bench, blocks: range, window: int, parts: list[Words]) -> list[tuple[np.ndarray, list[set[str]]]]:
+    """For each batch: whether each word is hit, and the items found in each text. One automaton at a time."""
+    out = [(np.zeros(len(w.hash) + 1, np.int64), [set() for _ in w.count]) for w in parts]
+    for block in blocks:
+        matcher = bench.matcher(block, window)
+        for words, (edge, items) in zip(parts, out, strict=True):
+            for width, start, own in matcher.find(words):
+                one = np.unique(start)
+                np.add.at(edge, one, 1)
+                np.add.at(edge, one + width, -1)
+                text = np.searchsorted(words.first + words.count, start, side="right")
+                for t, i in np.unique(np.stack([text, own], axis=1), axis=0).tolist():
+                    items[t].add(bench.names[i])
+    return [(np.cumsum(edge[:-1]) > 0, items) for edge, items in out]
+
+
+def runs(hit: np.ndarray, words: Words) -> list[list[tuple[int, int]]]:
+    """Of each text the runs of hit words: first word, word after the last, counted in the batch."""
+    edge = np.diff(np.concatenate([[0], hit.astype(np.int8), [0]]))
+    out: list[list[tuple[int, int]]] = [[] for _ in words.count]
+    text = np.repeat(np.arange(len(words.count)), words.count)
+    for a, b in zip(np.flatnonzero(edge > 0), np.flatnonzero(edge < 0), strict=True):
+        cuts = [a, *(c for c in words.first[text[a] + 1 : text[b - 1] + 1] if a < c < b), b]  # a run ends where its text does
+        for lo, hi in zip(cuts, cuts[1:], strict=False):
+            if hi > lo:
+                out[text[lo]].append((int(lo), int(hi)))
     return out
 
 
-def byte_spans(text: bytes, hits: list[tuple[int, int]]) -> list[dict]:
-    """Byte ranges of the original text that the hit words take up."""
-    if not hits:
-        return []
-    at = [m.span() for m in _WORD.finditer(text.translate(_NORMAL))]
-    return [{"start": at[a][0], "stop": at[b - 1][1]} for a, b in hits]
-
-
-def blocks_of(benchmark: DataFrame, block_bytes: int) -> Iterator[list[tuple[str, bytes]]]:
-    """The benchmark's items in blocks; the driver holds one partition of them at a time."""
+def passes_of(benchmark: DataFrame, pass_bytes: int) -> Iterator[list[tuple[str, bytes]]]:
+    """The benchmark's items, at most `pass_bytes` of text (or one item) at a time, in the order of the rows."""
     block, size = [], 0
     rows = benchmark.where("item_id is not null and text is not null").select(F.col("item_id").cast("string").alias("item_id"), "text")
     for row in rows.toLocalIterator():
         text = row.text.encode()
-        if block and size + len(text) > block_bytes:
+        if block and size + len(text) > pass_bytes:
             yield block
             block, size = [], 0
         block.append((row.item_id, text))
         size += len(text)
-    if block:
-        yield block
+    yield block
 
 
-def decontaminate(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, block_bytes: int = BLOCK_BYTES) -> DataFrame:
+def decontaminate(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, block_bytes: int = BLOCK_BYTES, pass_bytes: int = PASS_BYTES, group_bytes: int = GROUP_BYTES) -> DataFrame:
     """`docs` and n_words, n_hit, items (ids found, sorted as strings) and spans (byte ranges hit)."""
-    names = {"n_words", "n_hit", "items", "spans", "_words", "_hits"}
-    docs = docs.drop(*[c for c in docs.columns if c in names])
-    out = docs.withColumns({"_words": F.lit(None).cast("bigint"), "_hits": F.expr("cast(array() as array<bigint>)"), "items": F.expr("cast(array() as array<string>)")})
-    for block in list(blocks_of(benchmark, block_bytes)) or [[]]:
-        out = _scanned(out, block, window)
-    schema = ", ".join([f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema] + [RESULTS])
-
-    def finish(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            table = pa.Table.from_batches([batch])
-            flat = table["_hits"].to_pylist()
-            pairs = [merged(list(zip(h[::2], h[1::2], strict=True))) if h else [] for h in flat]
-            texts = byte_lists(table["text"])
-            kept = table.drop_columns(["_words", "_hits", "items"])
-            kept = kept.append_column("n_words", table["_words"])
-            kept = kept.append_column("n_hit", pa.array([sum(b - a for a, b in p) for p in pairs], pa.int64()))
-            kept = kept.append_column("items", pa.array([sorted(set(x)) for x in table["items"].to_pylist()], pa.list_(pa.string())))
-            spans = [byte_spans(t, p) for t, p in zip(texts, pairs, strict=True)]
-            kept = kept.append_column("spans", pa.array(spans, pa.list_(pa.struct([("start", pa.int64()), ("stop", pa.int64())]))))
-            yield from kept.to_batches()
-
-    return out.mapInArrow(finish, schema)
-
-
-def _scanned(docs: DataFrame, block: list[tuple[str, bytes]], window: int) -> DataFrame:
-    """Adds one block's hits to those of the blocks before."""
-    held = docs.sparkSession.sparkContext.broadcast(block)
+    docs = without(docs, *(x.split()[0] for x in RESULTS.split(", ")))
+    slim, others = aside(docs, "text")
+    out = slim
+    for number, items in enumerate(passes_of(benchmark, pass_bytes)):
+        if number:
+            out = keep(out)
+        out = _pass(out, Bench(items, block_bytes), window, group_bytes, first=number == 0)
+    back = dict(zip(others, restored(others), strict=True))
+    return out.select(*[back.get(c, F.col(c)) for c in docs.columns], "n_words", F.expr("aggregate(spans, 0L, (a, s) -> a + s.words)").alias("n_hit"), "items", F.expr("transform(spans, s -> named_struct('start', s.start, 'stop', s.stop))").alias("spans"))
+
+
+_FOUND = "n_words bigint, items array<string>, spans array<struct<start:bigint,stop:bigint,first:bigint,words:bigint>>"
+
+
+def _pass(docs: DataFrame, bench: Bench, window: int, group_bytes: int, first: bool) -> DataFrame:
+    held = docs.sparkSession.sparkContext.broadcast(bench)
+    names = [c for c in docs.columns if first or c not in ("n_words", "items", "spans")]
+    kind = pa.list_(pa.struct([(n, pa.int64()) for n in ("start", "stop", "first", "words")]))
+
+    def finish(batch: pa.RecordBatch, words: Words, hit: np.ndarray, items: list[set[str]]) -> pa.RecordBatch:
+        if not first:  # what was found before counts too
+            for t, (old, spans) in enumerate(zip(batch.column("items").to_pylist(), batch.column("spans").to_pylist(), strict=True)):
+                items[t].update(old)
+                for s in spans:
+                    hit[words.first[t] + s["first"] : words.first[t] + s["first"] + s["words"]] = True
+        spans = [
+            [{"start": int(words.start[a] - words.text_at[t]), "stop": int(words.end[b - 1] - words.text_at[t]), "first": int(a - words.first[t]), "words": b - a} for a, b in found]
+            for t, found in enumerate(runs(hit, words))
+        ]
+        new = [pa.array(words.count.astype(np.int64)), pa.array([sorted(x) for x in items], pa.list_(pa.string())), pa.array(spans, kind)]
+        return pa.RecordBatch.from_arrays([*(batch.column(n) for n in names), *new], names=[*names, "n_words", "items", "spans"])
 
     def step(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        machine = automaton(patterns(held.value, window))
-        for batch in batches:
-            texts = byte_lists(batch.column("text"))
-            found = [scan(machine, t) for t in texts]
-            hits = [(h or []) + [x for pair in f[1] for x in pair] for h, f in zip(batch.column("_hits").to_pylist(), found, strict=True)]
-            items = [(i or []) + sorted(f[2]) for i, f in zip(batch.column("items").to_pylist(), found, strict=True)]
-            new = {"_words": pa.array([f[0] for f in found], pa.int64()), "_hits": pa.array(hits, pa.list_(pa.int64())), "items": pa.array(items, pa.list_(pa.string()))}
-            yield pa.RecordBatch.from_arrays([new.get(n, batch.column(n)) for n in batch.schema.names], names=batch.schema.names)
-
-    return docs.mapInArrow(step, docs.schema)
+        known = held.value
+        blocks = range(len(known.blocks) - 1)
+
+        def flush(group: list[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            parts = [Words([t.translate(_NORMAL) for t in byte_lists(b.column("text"))]) for b in group]
+            for batch, words, (hit, items) in zip(group, parts, scan(known, blocks, window, parts), strict=True):
+                yield finish(batch, words, hit, items)
+
+        group, size = [], 0
+        for whole in batches:
+            for at in range(0, len(whole), 256):
+                batch = whole.slice(at, 256)
+                group.append(batch)
+                size += batch.column("text").get_total_buffer_size() * len(batch) // max(1, len(whole))
+                if len(blocks) == 1 or size >= group_bytes:
+                    yield from flush(group)
+                    group, size = [], 0
+        if group:
+            yield from flush(group)
+
+    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema if f.name in names)
+    return docs.mapInArrow(step, f"{schema}, {_FOUND}")
 
 
 def query(spark, sf_dir: str) -> DataFrame:

@@ -5,13 +5,15 @@ vector of term counts times inverse document frequencies; the frequencies of the
 counted over the lines of all documents, and any other word weighs as the rarest of them. A text's own
 licence is the template of highest cosine with any of these, from `threshold` up. A file named as a
 licence file gives its licence to its directory. A file without a licence of its own gets that of the
-nearest directory above it, found by joining each distinct directory's ancestors to the licensed ones;
-files then join to their directory.
+nearest directory above it, up to the root of its tree, found by joining each distinct directory's ancestors to the
+licensed ones; files then join to their directory. Empty steps of a path, as in a//b, count for nothing above a file.
+Texts are scored once.
 
 Defined cases: a null text, or one without words, has no licence of its own and may inherit; a null path
 inherits nothing; ties go to the earlier template name; of several licence files in a directory the one of
 highest cosine counts, then the smaller name; repeated rows each get a result; an empty table gives an
-empty result; columns with the names of the results are replaced.
+empty result; very long texts are read whole; columns with the names of the results, in any case, are replaced, all
+others stay as they are, whatever their names.
 """
 
 from __future__ import annotations
@@ -20,10 +22,10 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from terrafold.llm.common import LOWER_ASCII, U64, Words, byte_lists
+from terrafold.llm.common import LOWER_ASCII, U64, Words, aside, byte_lists, cut, restored, without
 
 THRESHOLD = 0.7
 # Public licence statements and headers, by SPDX identifier.
@@ -142,7 +144,7 @@ def line_frequencies(docs: DataFrame, templates: Templates) -> tuple[int, np.nda
 
 def own_license(docs: DataFrame, threshold: float = THRESHOLD, templates: tuple = TEMPLATES) -> DataFrame:
     """`docs` and own_license, own_score."""
-    docs = docs.drop(*[c for c in docs.columns if c in ("own_license", "own_score")])
+    docs = without(docs, "own_license", "own_score")
     known = Templates(templates)
     known.weigh(*line_frequencies(docs, known))
 
@@ -173,25 +175,40 @@ def own_license(docs: DataFrame, threshold: float = THRESHOLD, templates: tuple
 
 def inherit(files: DataFrame) -> DataFrame:
     """`files` (path, own_license, own_score, ...) and license, origin (own, directory or none), origin_dir."""
-    results = ("license", "origin", "origin_dir")
-    files = files.drop(*[c for c in files.columns if c in results])
-    files = files.withColumn("_dir", F.regexp_extract("path", r"^(.*)/[^/]*$", 1))
+    names = without(files, "license", "origin", "origin_dir").columns
+    slim, others = aside(without(files, "license", "origin", "origin_dir"), "path", "own_license", "own_score")
+    files = cut(slim.withColumn("dir", directory("path")))  # three reads of it follow, and scoring is dear
     named = F.element_at(F.split("path", "/"), -1).isin(*FILE_NAMES)
-    licensed = files.where(named & F.col("own_license").isNotNull()).groupBy("_dir").agg(F.min(F.struct(-F.col("own_score"), "own_license")).alias("_best"))
-    licensed = licensed.select(F.col("_dir").alias("_up"), F.col("_best.own_license").alias("_given"))
-    dirs = files.where("own_license is null and path is not null").select("_dir").distinct()
-    ups = dirs.withColumn("_parts", F.split("_dir", "/")).select("_dir", F.explode(F.transform(F.sequence(F.lit(1), F.size("_parts")), lambda n: F.struct(n.alias("depth"), F.array_join(F.slice("_parts", 1, n), "/").alias("up")))).alias("_a"))
-    nearest = ups.join(licensed, F.col("_a.up") == F.col("_up")).groupBy("_dir").agg(F.max_by(F.struct("_up", "_given"), "_a.depth").alias("_n"))
-    out = files.join(nearest, "_dir", "left")
-    own = F.col("own_license").isNotNull()
+    licensed = files.where(named & F.col("own_license").isNotNull()).groupBy("dir").agg(F.min(F.struct(-F.col("own_score"), "own_license")).alias("best"))
+    licensed = licensed.select(F.col("dir").alias("up"), F.col("best.own_license").alias("given"))
+    dirs = files.where("own_license is null and path is not null").select("dir").distinct()
+    ups = dirs.select("dir", F.posexplode(ancestors("dir")).alias("depth", "up"))
+    nearest = ups.join(licensed, "up").groupBy("dir").agg(F.max_by(F.struct("up", "given"), "depth").alias("n"))
+    out = files.join(nearest, "dir", "left")
+    own, back = F.col("own_license").isNotNull(), dict(zip(others, restored(others), strict=True))
     return out.select(
-        *[F.col(c) for c in files.columns if c != "_dir"],
-        F.coalesce("own_license", "_n._given").alias("license"),
-        F.when(own, "own").when(F.col("_n").isNotNull() & F.col("path").isNotNull(), "directory").otherwise("none").alias("origin"),
-        F.when(~own, F.col("_n._up")).alias("origin_dir"),
+        *[back.get(c, F.col(c)) for c in names],
+        F.coalesce("own_license", "n.given").alias("license"),
+        F.when(own, "own").when(F.col("n").isNotNull() & F.col("path").isNotNull(), "directory").otherwise("none").alias("origin"),
+        F.when(~own, F.col("n.up")).alias("origin_dir"),
     )
 
 
+def directory(path: str) -> Column:
+    """The directory of a path: "" for a name alone, "/" for a file at the root of an absolute path."""
+    found = F.regexp_extract(path, r"(?s)^(.*)/[^/]*$", 1)
+    return F.when((found == "") & F.col(path).startswith("/"), "/").otherwise(found)
+
+
+def ancestors(dir: str) -> Column:
+    """A directory's path from the root ("" for relative ones, "/" for absolute ones) down to itself."""
+    parts = F.filter(F.split(dir, "/"), lambda p: p != "")
+    down = F.transform(F.sequence(F.lit(1), F.size(parts)), lambda n: F.array_join(F.slice(parts, 1, n), "/"))
+    absolute = F.col(dir).startswith("/")
+    down = F.when(F.size(parts) > 0, F.transform(down, lambda d: F.concat(F.when(absolute, "/").otherwise(""), d))).otherwise(F.array().cast("array<string>"))
+    return F.concat(F.array(F.when(absolute, "/").otherwise("")), down)
+
+
 def query(spark, sf_dir: str) -> DataFrame:
     """Documents as files thousand / hundred / ten / id.txt, where a number divisible by 10 is the licence
     file of its ten, by 100 of its hundred, and by 1000 of its thousand."""

@@ -65,6 +65,23 @@ def test_inheritance_by_nearest_ancestor(spark):
     )
 
 
+def test_the_root_gives_its_licence_and_odd_paths_work(spark):
+    mit, gpl = "Released under the MIT License.", "This work is licensed under the GNU General Public License, version 3."
+    rows = [("LICENSE", mit), ("src/x.c", "x"), ("y.c", "y"), ("a/b/c/d.c", ""), ("/LICENSE", gpl), ("/z.c", "z"), ("/src/w.c", "w"), ("/a//b.c", "b"), ("", "nothing"), ("a/", None)]
+    df = spark.createDataFrame(rows, "path string, text string")
+    got = {r.path: (r.license, r.origin, r.origin_dir) for r in L.inherit(L.own_license(df)).collect()}
+    rel, top = ("MIT", "directory", ""), ("GPL-3.0", "directory", "/")
+    assert got == {"LICENSE": ("MIT", "own", None), "/LICENSE": ("GPL-3.0", "own", None), "src/x.c": rel, "y.c": rel, "a/b/c/d.c": rel, "/z.c": top, "/src/w.c": top, "/a//b.c": top, "": rel, "a/": rel}
+
+
+def test_names_that_clash_in_any_case(spark):
+    names = ["_n", "_dir", "dir", "n", "up", "License", "ORIGIN", "given", "Own_Score", "_aside"]
+    df = spark.createDataFrame([("a/x", "words", *names), ("LICENSE", "Released under the MIT License.", *names)], ["path", "text", *names])
+    got = L.inherit(L.own_license(df))
+    assert got.columns == ["path", "text", *[n for n in names if n not in ("License", "ORIGIN", "Own_Score")], "own_license", "own_score", "license", "origin", "origin_dir"]
+    assert all(r[n] == n for r in got.collect() for n in ("_n", "_dir", "dir", "n", "up", "given", "_aside")) and {r.license for r in got.collect()} == {"MIT"}
+
+
 def test_gnu_headers_and_licence_files_get_their_own_names(spark):
     """Headers broken over comment lines, with the warranty paragraph; and whole licence files where the system has them."""
     warranty = "This program is distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY; see the GNU General Public License for more details."

@@ -3,15 +3,18 @@
 A logistic model over the presence of words in the whole text (letters only, A-Z lower-cased). It is
 fitted on at most `sample_rows` labelled rows, the first by a hash of their id: words in at least
 `min_rows` of them are ranked by the likelihood ratio of their use in the two classes; at most `features` of
-those that exceed what chance gives among so many words stay, and always the identity terms. Each labelled text that names a group gives copies with that
-term swapped for the others of its kind; the squared differences of their scores, times `penalty`, are
-added to the loss, so a neutral mention of a group adds nothing of its own. Fitting is full-batch gradient
-descent with seeded zero weights, so it is repeatable.
+those that exceed what chance gives among so many words stay, and always the identity terms. Each labelled text that
+names a group gives copies with that term swapped for each other of its kind (in a copy that names the other already,
+the term only goes); the squared differences between the scores of text and copy, times `penalty`, are added to the loss,
+so a neutral mention of a group adds nothing of its own. Fitting is full-batch gradient descent from zero weights, so it is
+repeatable. The words of the sample are counted in the cluster; the driver gets those of at least `min_rows` rows,
+and of the rows only which of the chosen words they have.
 
 Scores use the text only. Defined cases: a null, empty or letter-less text gets the score of the
 intercept; with no labelled rows, or one class only, all scores are the smoothed share of toxic labels;
 labels that repeat a doc_id count once, toxic if any is; rows without id are scored and not learned from;
-repeated rows get equal scores; columns with the names of the results are replaced.
+repeated rows get equal scores; very long texts are read whole; columns with the names of the results, in any case,
+are replaced, all others stay as they are, whatever their names; an empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -23,10 +26,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from terrafold.llm.common import LOWER_ASCII, U64, Words, byte_lists
+from terrafold.llm.common import LOWER_ASCII, U64, Words, byte_lists, cut, without
 
 SAMPLE_ROWS, MIN_ROWS, FEATURES, L2, PENALTY, STEPS = 12_000, 8, 400, 0.0002, 10.0, 600
-# Identity terms by kind; terms of one kind are swapped for each other.
+# Identity terms by kind, in English, German, French and Spanish; terms of one kind are swapped for each other.
 IDENTITY = (
     ("women", "men"),
     ("woman", "man"),
@@ -41,6 +44,33 @@ IDENTITY = (
     ("immigrants", "refugees", "citizens", "foreigners"),
     ("old", "young", "elderly"),
     ("disabled", "deaf", "blind"),
+    ("frauen", "männer"),
+    ("frau", "mann"),
+    ("mädchen", "jungen"),
+    ("weiblich", "männlich"),
+    ("muslime", "christen", "juden", "hindus", "buddhisten", "atheisten"),
+    ("schwarze", "weiße", "asiaten", "latinos"),
+    ("schwul", "lesbisch", "bisexuell", "hetero", "trans"),
+    ("einwanderer", "flüchtlinge", "bürger", "ausländer"),
+    ("behinderte", "gehörlose", "blinde"),
+    ("femmes", "hommes"),
+    ("femme", "homme"),
+    ("fille", "garçon"),
+    ("filles", "garçons"),
+    ("musulmans", "chrétiens", "juifs", "hindous", "bouddhistes", "athées"),
+    ("noirs", "blancs", "asiatiques", "arabes"),
+    ("homosexuels", "lesbiennes", "bisexuels", "hétérosexuels", "transgenres"),
+    ("immigrés", "réfugiés", "citoyens", "étrangers"),
+    ("handicapés", "sourds", "aveugles"),
+    ("mujeres", "hombres"),
+    ("mujer", "hombre"),
+    ("niña", "niño"),
+    ("niñas", "niños"),
+    ("musulmanes", "cristianos", "judíos", "hindúes", "budistas", "ateos"),
+    ("negros", "blancos", "asiáticos", "árabes"),
+    ("homosexuales", "lesbianas", "bisexuales", "heterosexuales", "transexuales"),
+    ("inmigrantes", "refugiados", "ciudadanos", "extranjeros"),
+    ("discapacitados", "sordos", "ciegos"),
 )
 _LETTERS = bytes(b if 97 <= b <= 122 or b >= 0x80 else 0x20 for b in LOWER_ASCII)
 
@@ -79,14 +109,25 @@ class Model:
         return sigmoid(z)
 
 
-def swaps(rows: list[np.ndarray], identity: list[np.ndarray]) -> list[tuple[int, int]]:
-    """(term, other term) of every swap that every row allows."""
-    out = []
-    kind_of = {int(k): kind for kind in identity for k in kind}
-    for row in rows:
-        for k in row[np.isin(row, np.concatenate(identity))]:
-            out.extend((int(k), int(o)) for o in kind_of[int(k)] if o != k)
-    return out
+class Swaps:
+    """All copies of rows with one identity term swapped. doc, col: which row has which of the features."""
+
+    def __init__(self, doc: np.ndarray, col: np.ndarray, kinds: list[np.ndarray], rows: int, features: int):
+        kind_of = {int(c): kind for kind in kinds for c in kind}
+        have = set(zip(doc.tolist(), col.tolist(), strict=True))
+        made = [(d, c, int(o), float((d, int(o)) not in have)) for d, c in sorted(have) if c in kind_of for o in kind_of[c] if o != c]
+        at = np.array(made, float).reshape(-1, 4)
+        self.row, self.gone, self.come = (at[:, i].astype(np.int64) for i in range(3))
+        self.new, self.rows, self.features = at[:, 3], rows, features
+
+    def penalty(self, z: np.ndarray, w: np.ndarray) -> tuple[float, np.ndarray, np.ndarray]:
+        """Sum of squared differences of the scores, and its gradients by the rows' sums z and by the weights w directly."""
+        s = sigmoid(z[self.row])
+        t = sigmoid(z[self.row] - w[self.gone] + self.new * w[self.come])
+        gap, up, down = 2 * (s - t), s * (1 - s), t * (1 - t)
+        by_row = np.bincount(self.row, gap * (up - down), self.rows)
+        by_weight = np.bincount(self.gone, gap * down, self.features) - np.bincount(self.come, gap * down * self.new, self.features)
+        return float(((s - t) ** 2).sum()), by_row, by_weight
 
 
 def likelihood_ratio(bad: np.ndarray, count: np.ndarray, toxic: float, rows: int) -> np.ndarray:
@@ -99,42 +140,55 @@ def likelihood_ratio(bad: np.ndarray, count: np.ndarray, toxic: float, rows: int
     return 2 * np.maximum(0, part(bad, count, p) + part(count - bad, count, 1 - p) + part(toxic - bad, rows - count, p) + part(rows - toxic - count + bad, rows - count, 1 - p))
 
 
-def fit(rows: list[np.ndarray], toxic: np.ndarray, min_rows: int = MIN_ROWS, features: int = FEATURES, l2: float = L2, penalty: float = PENALTY, steps: int = STEPS) -> Model:
-    """rows: the distinct word hashes of each labelled text."""
-    share = (toxic.sum() + 1) / (len(toxic) + 2)
-    bias = float(np.log(share / (1 - share)))
-    if not len(toxic) or toxic.min() == toxic.max():
-        return Model(np.zeros(0, U64), np.zeros(0), bias)
-    identity = [word_keys(list(kind)) for kind in IDENTITY]
-    flat, of = np.concatenate(rows), np.repeat(np.arange(len(rows)), [len(r) for r in rows])
-    words, inverse, count = np.unique(flat, return_inverse=True, return_counts=True)
-    bad = np.bincount(inverse, toxic[of], len(words))
-    strength = np.sqrt(likelihood_ratio(bad, count, toxic.sum(), len(toxic)))
-    strength[(count < min_rows) | (strength < np.sqrt(2 * np.log(len(words) + 1)))] = 0  # what chance gives among so many words
+def chosen_words(words: np.ndarray, count: np.ndarray, bad: np.ndarray, distinct: int, toxic: float, rows: int, min_rows: int, features: int) -> np.ndarray:
+    """Sorted hashes of the words that the model has. count, bad: rows, and toxic rows, with each word; distinct: words in all."""
+    strength = np.sqrt(likelihood_ratio(bad, count, toxic, rows))
+    strength[(count < min_rows) | (strength < np.sqrt(2 * np.log(distinct + 1)))] = 0  # what chance gives among so many words
     best = np.lexsort((words, -strength))[:features]
-    keys = np.unique(np.concatenate([words[best[strength[best] > 0]], *identity]))
-    at = np.minimum(np.searchsorted(keys, flat), len(keys) - 1)
-    hit = keys[at] == flat
-    doc, col = of[hit], at[hit]
-    pairs = np.array(swaps(rows, identity), dtype=U64).reshape(-1, 2)
-    a, b = np.searchsorted(keys, pairs[:, 0]), np.searchsorted(keys, pairs[:, 1])
+    return np.unique(np.concatenate([words[best[strength[best] > 0]], *(word_keys(list(kind)) for kind in IDENTITY)]))
+
+
+def descend(keys: np.ndarray, doc: np.ndarray, col: np.ndarray, toxic: np.ndarray, l2: float, penalty: float, steps: int) -> Model:
+    """Adam over the whole sample. doc, col: which row has which of the words `keys`."""
+    swaps = Swaps(doc, col, [np.searchsorted(keys, word_keys(list(kind))) for kind in IDENTITY], len(toxic), len(keys))
     w, m, v = np.zeros(len(keys) + 1), np.zeros(len(keys) + 1), np.zeros(len(keys) + 1)
-    w[-1] = bias
+    w[-1] = prior(toxic)
     for t in range(1, steps + 1):
-        err = sigmoid(np.bincount(doc, w[col], len(rows)) + w[-1]) - toxic
-        grad = np.append(np.bincount(col, err[doc], len(keys)), err.sum()) / len(rows)
+        z = np.bincount(doc, w[col], len(toxic)) + w[-1]
+        err = sigmoid(z) - toxic
+        _, by_row, by_weight = swaps.penalty(z, w)
+        err += penalty * by_row
+        grad = np.append(np.bincount(col, err[doc], len(keys)) + penalty * by_weight, err.sum()) / len(toxic)
         grad[:-1] += l2 * w[:-1]
-        if len(a):
-            gap = 2 * penalty * (w[a] - w[b]) / len(rows)
-            grad[:-1] += np.bincount(a, gap, len(keys)) - np.bincount(b, gap, len(keys))
         m, v = 0.9 * m + 0.1 * grad, 0.999 * v + 0.001 * grad**2
         w -= 0.1 * (m / (1 - 0.9**t)) / (np.sqrt(v / (1 - 0.999**t)) + 1e-8)
     return Model(keys, w[:-1], float(w[-1]))
 
 
-def train(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS, **options) -> Model:
+def prior(toxic: np.ndarray) -> float:
+    share = (toxic.sum() + 1) / (len(toxic) + 2)
+    return float(np.log(share / (1 - share)))
+
+
+def one_class(toxic: np.ndarray) -> bool:
+    return not len(toxic) or toxic.min() == toxic.max()
+
+
+def fit(rows: list[np.ndarray], toxic: np.ndarray, min_rows: int = MIN_ROWS, features: int = FEATURES, l2: float = L2, penalty: float = PENALTY, steps: int = STEPS) -> Model:
+    """rows: the distinct word hashes of each labelled text."""
+    if one_class(toxic):
+        return Model(np.zeros(0, U64), np.zeros(0), prior(toxic))
+    flat, of = np.concatenate(rows), np.repeat(np.arange(len(rows)), [len(r) for r in rows])
+    words, inverse, count = np.unique(flat, return_inverse=True, return_counts=True)
+    keys = chosen_words(words, count, np.bincount(inverse, toxic[of], len(words)), len(words), toxic.sum(), len(toxic), min_rows, features)
+    at = np.minimum(np.searchsorted(keys, flat), len(keys) - 1)
+    hit = keys[at] == flat
+    return descend(keys, of[hit], at[hit], toxic, l2, penalty, steps)
+
+
+def train(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS, min_rows: int = MIN_ROWS, features: int = FEATURES, l2: float = L2, penalty: float = PENALTY, steps: int = STEPS) -> Model:
     """Fits on the first `sample_rows` labelled documents by a hash of their id."""
-    known = labels.where("doc_id is not null and toxic is not null").groupBy("doc_id").agg(F.max("toxic").alias("_toxic"))
+    known = labels.where("doc_id is not null and toxic is not null").groupBy("doc_id").agg(F.max("toxic").alias("bad"))
     chosen = known.orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample_rows)  # the documented bound of the sample
 
     def step(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -144,19 +198,27 @@ def train(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS, **
                 doc, key = presence(byte_lists(batch.column("text")))
                 bounds = np.concatenate([[0], np.cumsum(np.bincount(doc, minlength=len(batch)))])
                 words = pa.ListArray.from_arrays(pa.array(bounds, pa.int32()), pa.array(key.view(np.int64)))
-                yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("_toxic"), words], names=["doc_id", "toxic", "words"])
-
-    found = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").select("doc_id", F.col("_toxic").cast("double").alias("_toxic"), "text")
-    table = found.mapInArrow(step, "doc_id bigint, toxic double, words array<bigint>").toArrow()
-    order = np.argsort(table["doc_id"].to_numpy(), kind="stable")
-    words = table["words"].combine_chunks()
-    rows = [words[int(i)].values.to_numpy().view(U64) for i in order]
-    return fit(rows, (table["toxic"].to_numpy()[order] > 0).astype(float), **options)
+                yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("bad"), words], names=["doc_id", "bad", "words"])
+
+    found = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").select("doc_id", (F.col("bad") > 0).cast("double").alias("bad"), "text")
+    rows = cut(found.mapInArrow(step, "doc_id bigint, bad double, words array<bigint>").withColumn("row", F.monotonically_increasing_id()))
+    labelled = rows.select("row", "bad").orderBy("row").toArrow()
+    number, toxic = labelled["row"].to_numpy(), labelled["bad"].to_numpy()
+    if one_class(toxic):
+        return Model(np.zeros(0, U64), np.zeros(0), prior(toxic))
+    seen = rows.select("row", "bad", F.explode("words").alias("word"))
+    counts = cut(seen.groupBy("word").agg(F.count(F.lit(1)).alias("n"), F.sum("bad").alias("bad")))
+    often = counts.where(F.col("n") >= min_rows).toArrow()  # at most the sample's words over min_rows
+    words = often["word"].to_numpy().view(U64)
+    keys = chosen_words(words, often["n"].to_numpy(), often["bad"].to_numpy(), counts.count(), toxic.sum(), len(toxic), min_rows, features)
+    names = docs.sparkSession.createDataFrame(list(zip(keys.view(np.int64).tolist(), range(len(keys)), strict=True)), "word bigint, col int")
+    has = seen.join(F.broadcast(names), "word").select("row", "col").orderBy("row", "col").toArrow()  # at most rows times words of the model
+    return descend(keys, np.searchsorted(number, has["row"].to_numpy()), has["col"].to_numpy().astype(np.int64), toxic, l2, penalty, steps)
 
 
 def score(docs: DataFrame, model: Model) -> DataFrame:
     """`docs` and score, predicted."""
-    docs = docs.drop(*[c for c in docs.columns if c in ("score", "predicted")])
+    docs = without(docs, "score", "predicted")
     held = docs.sparkSession.sparkContext.broadcast(model)
 
     def step(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -35,6 +35,60 @@ def test_held_out_and_neutral_mentions(spark):
     assert abs(neutral[0] - neutral[1]) < abs(free[0] - free[1])  # the penalty does that
 
 
+def test_the_penalty_is_of_score_differences_of_real_swaps():
+    rng = np.random.default_rng(1)
+    a, b, c, x, y = range(5)  # a, b, c are of one kind
+    rows = [[a, x], [b, y], [a, b, x], [x, y], [a, b, c]]
+    doc, col = np.repeat(np.arange(5), [len(r) for r in rows]), np.array([i for r in rows for i in r])
+    swaps = X.Swaps(doc, col, [np.array([a, b, c])], 5, 5)
+    w = rng.normal(size=5)
+    z = lambda w: np.array([w[r].sum() + 0.3 for r in rows])
+
+    def plain(w):
+        total = 0.0
+        for r in rows:
+            for term in set(r) & {a, b, c}:
+                for other in {a, b, c} - {term}:
+                    copy = sorted((set(r) - {term}) | {other})
+                    total += float((X.sigmoid(w[r].sum() + 0.3) - X.sigmoid(w[copy].sum() + 0.3)) ** 2)
+        return total
+
+    value, by_row, by_weight = swaps.penalty(z(w), w)
+    assert abs(value - plain(w)) < 1e-12
+    step = 1e-6
+    want = [(plain(w + step * np.eye(5)[i]) - plain(w - step * np.eye(5)[i])) / (2 * step) for i in range(5)]
+    assert np.allclose(np.bincount(col, by_row[doc], 5) + by_weight, want, atol=1e-8)
+
+
+def test_neutral_mentions_in_four_languages():
+    rng = random.Random(9)
+    terms = {"en": ("women", "men"), "de": ("frauen", "männer"), "fr": ("musulmans", "chrétiens"), "es": ("inmigrantes", "ciudadanos")}
+    rows, labels = [], []
+    for i in range(4000):
+        named, other = terms[rng.choice(sorted(terms))]
+        bad = rng.random() < 0.3
+        words = [f"w{chr(97 + rng.randrange(26))}" for _ in range(10)] + (["idiot"] if bad and rng.random() < 0.6 else [])
+        if rng.random() < (0.6 if bad else 0.1):
+            words.append(named)
+        elif rng.random() < 0.2:
+            words.append(other)
+        rows.append((i, " ".join(words)))
+        labels.append((i, int(bad)))
+    held = as_rows(rows, labels)
+    fair, free = X.fit(*held), X.fit(*held, penalty=0.0)
+    for named, other in terms.values():
+        texts = [f"a meeting of {x} at noon".encode() for x in (named, other)]
+        assert abs(np.subtract(*fair.scores(texts))) < min(0.05, 0.3 * abs(np.subtract(*free.scores(texts))))
+
+
+def test_training_in_the_cluster_gives_the_plain_fit(spark):
+    rows, labels = corpus(random.Random(12), 600)
+    known = spark.createDataFrame(labels, "doc_id long, toxic int, quality int")
+    got = X.train(documents(spark, rows), known)
+    want = X.fit(*as_rows(rows, labels))
+    assert (got.keys == want.keys).all() and np.allclose(got.weights, want.weights, atol=1e-6) and abs(got.bias - want.bias) < 1e-6
+
+
 def as_rows(rows, labels):
     doc, key = X.presence([t.encode() for _, t in rows])
     return np.split(key, np.cumsum(np.bincount(doc, minlength=len(rows)))[:-1]), np.array([x[1] for x in labels], float)

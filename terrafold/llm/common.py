@@ -170,7 +170,7 @@ def bucket_bits(size: int, per_bucket: int) -> int:
 
 
 def text_group(groups: int) -> Column:
-    """Deals rows to groups; rows without an id are dealt by their text."""
+    """Deals rows to groups; rows without an id are dealt by their text, which one group may then hold often."""
     return F.pmod(F.xxhash64("doc_id", F.when(F.col("doc_id").isNull(), F.col("text"))), F.lit(groups)).cast("int")
 
 

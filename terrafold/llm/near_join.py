@@ -13,7 +13,8 @@ has once meet nothing and aren't indexed; most documents then have no index entr
    packed, and gets back a byte each: 0 for one document, else the scaled logarithm of how many.
 2. Equal sets are one class, which its smallest doc_id represents. Only representatives are joined.
 3. Under each indexed shingle one pivot, with the fewest rare shingles, meets the others: as many
-   pairs as index rows. Those that share min(l, l') are verified; links make components.
+   pairs as index rows. Those that share min(l, l') are verified, those of one pivot in as many tasks as they
+   need; links make components.
 4. What is left are pairs under one pivot in different components. A pivot's members are dealt to chunks,
    large components to chunks of their own, and chunks meet in blocks, except two chunks of one component.
    In a block one matrix product counts shared prefix shingles, pairs that have min(l, l') are verified
@@ -22,7 +23,8 @@ has once meet nothing and aren't indexed; most documents then have no index entr
 
 Defined cases: a null or word-less text has no shingles and links with nothing; rows that repeat a
 doc_id are each judged by their own text; rows without an id take no part and get no component; every row
-comes out once; an empty table gives an empty result; other columns are left out.
+comes out once; very long texts are read whole; an empty table gives an empty result; other columns are left out, whatever
+their names.
 """
 
 from __future__ import annotations
@@ -40,6 +42,7 @@ SHINGLE, PERCENT, MOST_MATCHES, VERIFY_COST = 5, 80, 6, 16.0
 GROUP_BYTES = 8 << 20
 BUCKET_BYTES = 16 << 20
 CHUNK = 384
+HEAVY_PAIRS, HEAVY_PARTS = 128, 512
 BLOCK_ROWS = 1024
 _PACKET = "grp int, bucket int, data binary"
 _ACTIVE = "doc_id bigint, n bigint, f1 bigint, f2 bigint, matches int, rare int, prefix array<bigint>, text string"
@@ -166,12 +169,26 @@ def candidates(docs: DataFrame, percent: int, group_bytes: int, bucket_bytes: in
     return docs.groupBy("grp").cogroup(told.groupBy("grp")).applyInArrow(describe, _ACTIVE)
 
 
+def joined_salted(pairs: DataFrame, side: DataFrame, key: str, other: str, heavy: DataFrame) -> DataFrame:
+    """pairs joined to `side` by `key`. heavy (key, parts): keys whose pairs are dealt by `other` to so many copies of the side's row."""
+    pairs = pairs.join(F.broadcast(heavy), key, "left").withColumn("salt", F.coalesce(F.pmod(F.xxhash64(other), F.col("parts")), F.lit(0))).drop("parts")
+    side = side.join(F.broadcast(heavy), key, "left").withColumn("salt", F.explode(F.sequence(F.lit(0).cast("bigint"), F.coalesce("parts", F.lit(1)).cast("bigint") - 1))).drop("parts")
+    return pairs.join(side, [key, "salt"]).drop("salt")
+
+
 def verify(pairs: DataFrame, reps: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
-    """Those of the pairs (u, v) that share enough of their prefixes and whose sets link."""
+    """Those of the pairs (u, v) that share enough of their prefixes and whose sets link. A document in over a
+    `HEAVY_PARTS`th of the pairs is copied to several tasks, which share its pairs; so there are at most twice as many
+    copies as that, whatever the size."""
+    pairs = cut(pairs)
+    limit = max(HEAVY_PAIRS, pairs.count() // HEAVY_PARTS)
+    heavy = {k: cut(pairs.groupBy(k).count().where(F.col("count") > limit).select(k, F.ceil(F.col("count") / limit).alias("parts"))) for k in "uv"}
     index = reps.select("doc_id", "prefix", "matches")
-    both = pairs.join(index.toDF("v", "pv", "mv"), "v").join(index.toDF("u", "pu", "mu"), "u")
+    both = joined_salted(pairs, index.toDF("v", "pv", "mv"), "v", "u", heavy["v"])
+    both = joined_salted(both, index.toDF("u", "pu", "mu"), "u", "v", heavy["u"])
     both = both.where(F.size(F.array_intersect("pu", "pv")) >= F.least("mu", "mv")).select("u", "v").distinct()
-    both = both.join(texts.toDF("v", "tv"), "v").join(texts.toDF("u", "tu"), "u").select("u", "v", "tu", "tv")
+    both = joined_salted(both, texts.toDF("v", "tv"), "v", "u", heavy["v"])
+    both = joined_salted(both, texts.toDF("u", "tu"), "u", "v", heavy["u"]).select("u", "v", "tu", "tv")
 
     def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:

@@ -20,33 +20,24 @@ def stratify(blocks: list[int], matrix: np.ndarray, train: float, val: float, se
     """Fold of each block. The rarest class left goes first, each of its blocks to the fold that lacks it
     most, then to the one that lacks most overall, then by a draw. Locked blocks keep their fold."""
     share = np.array([train, val, 1 - train - val])
-    want = share[:, None] * matrix.sum(axis=0)
-    want_all = share * matrix.sum()
-    out: dict[int, str] = {}
-    at = {b: i for i, b in enumerate(blocks)}
-
-    def give(row: int, fold: int) -> None:
-        out[blocks[row]] = FOLDS[fold]
-        want[fold] -= matrix[row]
-        want_all[fold] -= matrix[row].sum()
-
-    for block in sorted(set(locked or {}) & set(at)):
-        give(at[block], FOLDS.index(locked[block]))
-    left = [i for i, b in enumerate(blocks) if b not in out]
+    fold = np.full(len(blocks), -1)
+    for i, block in enumerate(blocks):
+        if block in (locked or {}):
+            fold[i] = FOLDS.index(locked[block])
+    # what each fold still lacks of each class
+    owed = np.outer(share, matrix.sum(axis=0)) - np.stack([matrix[fold == f].sum(axis=0) for f in range(len(FOLDS))])
     rng = np.random.default_rng(seed)
-    while left:
-        sums = matrix[left].sum(axis=0)
-        if not (sums > 0).any():
-            for i in left:
-                out[blocks[i]] = FOLDS[int(want_all.argmax())]
+    while (fold < 0).any():
+        free = np.flatnonzero(fold < 0)
+        supply = matrix[free].sum(axis=0)
+        if not supply.any():  # blocks without labels
+            fold[free] = owed.sum(axis=1).argmax()
             break
-        rare = int(np.where(sums > 0, sums, np.inf).argmin())
-        mine = [i for i in left if matrix[i, rare] > 0]
-        rng.shuffle(mine)
-        for i in mine:
-            give(i, max(range(3), key=lambda f: (want[f, rare], want_all[f], rng.random())))
-        left = [i for i in left if i not in set(mine)]
-    return out
+        scarce = min(np.flatnonzero(supply), key=lambda c: supply[c])
+        for i in rng.permutation(free[matrix[free, scarce] > 0]):
+            fold[i] = np.lexsort((rng.random(len(FOLDS)), owed.sum(axis=1), owed[:, scarce]))[-1]
+            owed[fold[i]] -= matrix[i]
+    return {b: FOLDS[f] for b, f in zip(blocks, fold.tolist(), strict=True)}
 
 
 def block_folds(labels: DataFrame, column: str, train: float = 0.7, val: float = 0.15, seed: int = 42, locked: dict[int, str] | None = None, max_blocks: int = 1_000_000) -> DataFrame:

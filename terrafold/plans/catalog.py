@@ -234,22 +234,12 @@ def biome_left_join(spark, d):
 _KNOWN = "('click', 'error', 'purchase')"
 
 
-@query(
-    f"WITH p AS ({geo.render('SELECT * FROM obs', _UTM)}), a AS (SELECT * FROM p WHERE event_id % 3 = 0), b AS (SELECT * FROM p WHERE event_id % 3 = 1) "
-    "SELECT a.obs_id FROM a WHERE NOT EXISTS (SELECT 1 FROM b WHERE b.tx BETWEEN a.tx - 4000 AND a.tx + 4000 AND (a.tx - b.tx) * (a.tx - b.tx) + (a.ty - b.ty) * (a.ty - b.ty) < 16000000)"
-)
-def iap_anti_distance(spark, d):
-    """The production distance is 320 m; 4 km makes the rule bite over these points."""
-    rows = view(spark, d, "obs")
-    return spatial.away_from(rows.where("event_id % 3 = 0"), rows.where("event_id % 3 = 1"), 4000.0).select("obs_id")
-
-
 @query(
     f"WITH p AS ({geo.render('SELECT * FROM obs', _UTM)}), a AS (SELECT * FROM p WHERE coalesce(source, '') NOT IN {_KNOWN}), b AS (SELECT * FROM p WHERE coalesce(source, '') IN {_KNOWN}) "
     "SELECT a.obs_id FROM a WHERE NOT EXISTS (SELECT 1 FROM b WHERE b.tx BETWEEN a.tx - 4000 AND a.tx + 4000 AND (a.tx - b.tx) * (a.tx - b.tx) + (a.ty - b.ty) * (a.ty - b.ty) < 16000000)"
 )
-def iap_anti_distance_all(spark, d):
-    """Every row has a side, by its source; iap_anti_distance leaves remainder 2 out, as its SQL has it."""
+def iap_anti_distance(spark, d):
+    """Every row has a side, by its source. The production distance is 320 m; 4 km makes the rule bite over these points."""
     rows = view(spark, d, "obs")
     return spatial.away_from(rows.where(f"coalesce(source, '') NOT IN {_KNOWN}"), rows.where(f"coalesce(source, '') IN {_KNOWN}"), 4000.0).select("obs_id")
 
@@ -388,26 +378,10 @@ def mapwaps_rows(spark, d):
 _ACC = ("Low Shrubland (Fynbos)", " natural lakes", "wetlands", "village", "unknown thing", "Grassland ", "plantation")
 
 
-def _acc_sql(rows: str, where: str = "event_id % 3 <> 1") -> str:
+def _acc_sql(rows: str, where: str) -> str:
     return f"SELECT obs_id, event_id, {choose('event_id % 7', _ACC)} AS cname, CAST(2018 + 2 * (event_id % 3) AS INT) AS year, lon, lat FROM {rows} WHERE {where}"
 
 
-@query(
-    f"""WITH r AS (SELECT *, CASE lower(trim(cname)) WHEN 'low shrubland (fynbos)' THEN 'NATURAL' WHEN 'grassland' THEN 'NATURAL' WHEN 'natural lakes' THEN 'water' WHEN 'wetlands' THEN 'wetland' WHEN 'village' THEN 'built_up' WHEN 'plantation' THEN 'planted_forest' END AS cls FROM ({_acc_sql('obs')})),
-  u AS (SELECT * EXCLUDE (rn) FROM (SELECT *, row_number() OVER (PARTITION BY round_even(lon, 5), round_even(lat, 5), lower(trim(cname)) ORDER BY year DESC, obs_id) AS rn FROM r WHERE cls IS NOT NULL) WHERE rn = 1),
-  b AS (SELECT obs_id, min(o) AS o FROM ({inside_sql('u', ('b0', 'b1', 'b2'), False)}) GROUP BY obs_id),
-  n AS (SELECT u.* EXCLUDE (cls), CASE WHEN cls <> 'NATURAL' THEN cls WHEN o = 0 THEN 'fynbos' WHEN o = 1 THEN 'nama_karoo' END AS cls FROM u LEFT JOIN b USING (obs_id)),
-  p AS ({geo.render('SELECT * FROM n WHERE cls IS NOT NULL', _UTM)}), q AS ({geo.render("SELECT * FROM obs WHERE event_id % 30 = 1", _UTM)})
-  SELECT concat('sanlc:', printf('%.6f', lon), ':', printf('%.6f', lat), ':', CAST(year AS VARCHAR)) AS obs_id, cls AS species, CASE WHEN cls IN ('fynbos', 'nama_karoo') THEN 'biome' ELSE 'landcover' END AS taxon_rank, concat(CAST(year AS VARCHAR), '-01-01') AS event_date
-  FROM p WHERE NOT EXISTS (SELECT 1 FROM q WHERE q.tx BETWEEN p.tx - 320 AND p.tx + 320 AND (p.tx - q.tx) * (p.tx - q.tx) + (p.ty - q.ty) * (p.ty - q.ty) < 102400)"""
-)
-def sanlc_rows(spark, d):
-    rows = view(spark, d, "obs")
-    points = rows.selectExpr("obs_id", "event_id", f"{choose('event_id % 7', _ACC)} AS cname", "CAST(2018 + 2 * (event_id % 3) AS INT) AS year", "lon", "lat").where("event_id % 3 <> 1")
-    store = rows.where("event_id % 30 = 1").withColumn("taxon_rank", F.lit("species"))
-    return adapters.sanlc(points, ring_frame(spark, ("b0", "b1", "b2")), store).select("obs_id", "species", "taxon_rank", "event_date")
-
-
 @query(
     f"""WITH r AS (SELECT *, CASE lower(trim(cname)) WHEN 'low shrubland (fynbos)' THEN 'NATURAL' WHEN 'grassland' THEN 'NATURAL' WHEN 'natural lakes' THEN 'water' WHEN 'wetlands' THEN 'wetland' WHEN 'village' THEN 'built_up' WHEN 'plantation' THEN 'planted_forest' END AS cls FROM ({_acc_sql('obs', f"coalesce(source, '') NOT IN {_KNOWN}")})),
   u AS (SELECT * EXCLUDE (rn) FROM (SELECT *, row_number() OVER (PARTITION BY round_even(lon, 5), round_even(lat, 5), lower(trim(cname)) ORDER BY year DESC, obs_id) AS rn FROM r WHERE cls IS NOT NULL) WHERE rn = 1),
@@ -417,8 +391,8 @@ def sanlc_rows(spark, d):
   SELECT concat('sanlc:', printf('%.6f', lon), ':', printf('%.6f', lat), ':', CAST(year AS VARCHAR)) AS obs_id, cls AS species, CASE WHEN cls IN ('fynbos', 'nama_karoo') THEN 'biome' ELSE 'landcover' END AS taxon_rank, concat(CAST(year AS VARCHAR), '-01-01') AS event_date
   FROM p WHERE NOT EXISTS (SELECT 1 FROM q WHERE q.tx BETWEEN p.tx - 320 AND p.tx + 320 AND (p.tx - q.tx) * (p.tx - q.tx) + (p.ty - q.ty) * (p.ty - q.ty) < 102400)"""
 )
-def sanlc_rows_all(spark, d):
-    """Every row is a point or known, by its source; sanlc_rows takes one known row in thirty, as its SQL has it."""
+def sanlc_rows(spark, d):
+    """Every row is a point or known, by its source."""
     rows = view(spark, d, "obs")
     points = rows.where(f"coalesce(source, '') NOT IN {_KNOWN}").selectExpr("obs_id", "event_id", f"{choose('event_id % 7', _ACC)} AS cname", "CAST(2018 + 2 * (event_id % 3) AS INT) AS year", "lon", "lat")
     store = rows.where(f"coalesce(source, '') IN {_KNOWN}").withColumn("taxon_rank", F.lit("species"))
@@ -647,20 +621,11 @@ def raster_windows(spark, d):
     return raster.tiles(rows, "h", "w", 64, 48).select("p_partkey", F.col("r0").cast("int").alias("r0"))
 
 
-@query(
-    "WITH r AS (SELECT p_partkey AS id, r0, i, (p_partkey * 31 + r0 * 7 + i) % 101 / 1e2 AS p, CASE WHEN least(i, 63 - i) < 16 THEN 0.5e0 * (1 - cos(pi() * (least(i, 63 - i) + 0.5e0) / 16)) ELSE 1e0 END AS w FROM part, (VALUES (0), (48)) s(r0), range(64) t(i) WHERE p_partkey % 20 = 0) "
-    "SELECT id, r0 + i AS y, round(sum(w * p) / greatest(sum(w), 1e-6), 6) AS blended, round(sum(w), 6) AS weight FROM r GROUP BY 1, 2"
-)
-def taper_blend(spark, d):
-    """One part in twenty, as its SQL has it; taper_blend_all takes every part."""
-    return tapered(spark.read.parquet(f"{d}/part.parquet").where("p_partkey % 20 = 0"))
-
-
 @query(
     "WITH r AS (SELECT p_partkey AS id, r0, i, (p_partkey * 31 + r0 * 7 + i) % 101 / 1e2 AS p, CASE WHEN least(i, 63 - i) < 16 THEN 0.5e0 * (1 - cos(pi() * (least(i, 63 - i) + 0.5e0) / 16)) ELSE 1e0 END AS w FROM part, (VALUES (0), (48)) s(r0), range(64) t(i)) "
     "SELECT id, r0 + i AS y, round(sum(w * p) / greatest(sum(w), 1e-6), 6) AS blended, round(sum(w), 6) AS weight FROM r GROUP BY 1, 2"
 )
-def taper_blend_all(spark, d):
+def taper_blend(spark, d):
     return tapered(spark.read.parquet(f"{d}/part.parquet"))
 
 
@@ -730,13 +695,13 @@ def split_embedding_join(spark, d):
     return view(spark, d, "labelled").join(index, F.col("vec_id").cast("string") == F.col("k")).dropna(subset=["label"]).select("vec_id", "fold", "label")
 
 
-_W = [[0.5 * ((i * 7 + k * 3) % 5 - 2) for i in range(8)] for k in range(3)]
+_W = [[0.5 * ((i * 7 + k * 3) % 5 - 2) for i in range(64)] for k in range(3)]
 _B = [0.1, -0.2, 0.05]
 _SCORES = ", ".join(f"{b!r}::DOUBLE + " + " + ".join(f"({w!r}::DOUBLE) * embedding[{i + 1}]::DOUBLE" for i, w in enumerate(row)) + f" AS s{k}" for k, (row, b) in enumerate(zip(_W, _B, strict=True)))
 
 
 def probs(spark: SparkSession, d: str) -> DataFrame:
-    x = F.transform(F.slice("embedding", 1, 8), lambda v: v.cast("double"))
+    x = F.transform("embedding", lambda v: v.cast("double"))
     return spark.read.parquet(f"{d}/embeddings.parquet").select("vec_id", head.softmax(head.linear_scores(x, _W, _B)).alias("p"))
 
 
@@ -753,24 +718,27 @@ def argmax_confidence(spark, d):
     return probs(spark, d).select("vec_id", raster.argmax("p").alias("class_id"), raster.percent_byte(F.array_max("p")).alias("confidence"))
 
 
-_M = [[0.1 * ((i + 2 * k) % 4 - 1) for i in range(4)] for k in range(3)]
-_P = np.diag([2.0, 1.0, 1.5, 3.0])
+_M = [[0.1 * ((i + 2 * k) % 4 - 1) for i in range(64)] for k in range(3)]
+# a full matrix in the sense that neighbours hang together: 1 to 3 on the diagonal, 0.25 beside it
+_P = np.diag([1.0 + i % 5 * 0.5 for i in range(64)]) + 0.25 * (np.eye(64, k=1) + np.eye(64, k=-1))
 
 
 def _dist_sql(mean: list[float]) -> str:
-    return " + ".join(f"{_P[i, i]!r}::DOUBLE * (embedding[{i + 1}]::DOUBLE - ({m!r}::DOUBLE)) * (embedding[{i + 1}]::DOUBLE - ({m!r}::DOUBLE))" for i, m in enumerate(mean)).replace("np.float64(", "(")
+    gap = [f"(embedding[{i + 1}]::DOUBLE - ({m!r}::DOUBLE))" for i, m in enumerate(mean)]
+    return " + ".join(f"({float(_P[i, j])!r}::DOUBLE) * {gap[i]} * {gap[j]}" for i, j in zip(*np.nonzero(_P), strict=True))
 
 
-@query(f"SELECT vec_id, round(least({', '.join(_dist_sql(m) for m in _M)}), 6) AS distance, round(greatest(0, least(least({', '.join(_dist_sql(m) for m in _M)}) / 0.25, 2)) / 2, 6) AS ood FROM embeddings")
+@query(f"SELECT vec_id, round(least({', '.join(_dist_sql(m) for m in _M)}), 6) AS distance, round(greatest(0, least(least({', '.join(_dist_sql(m) for m in _M)}) / 250, 2)) / 2, 6) AS ood FROM embeddings")
 def maha_ood(spark, d):
-    z = F.transform(F.slice("embedding", 1, 4), lambda v: v.cast("double"))
+    z = F.transform("embedding", lambda v: v.cast("double"))
     rows = spark.read.parquet(f"{d}/embeddings.parquet").select("vec_id", head.mahalanobis(z, _M, _P).alias("m"))
-    return rows.select("vec_id", r6("m").alias("distance"), r6(head.ood_score(F.col("m"), 0.25)).alias("ood"))
+    return rows.select("vec_id", r6("m").alias("distance"), r6(head.ood_score(F.col("m"), 250.0)).alias("ood"))
 
 
-@query("SELECT label, round(quantile_cont(CAST(embedding[1] AS DOUBLE), 0.975), 6) AS threshold FROM embeddings GROUP BY label")
+@query("SELECT label, CAST(i AS INT) AS pos, round(quantile_cont(CAST(embedding[i + 1] AS DOUBLE), 0.975), 6) AS threshold FROM embeddings, range(64) t(i) GROUP BY label, i")
 def quantile_threshold(spark, d):
-    return spark.read.parquet(f"{d}/embeddings.parquet").groupBy("label").agg(r6(F.percentile(F.col("embedding")[0].cast("double"), 0.975)).alias("threshold"))
+    rows = spark.read.parquet(f"{d}/embeddings.parquet").select("label", F.posexplode("embedding").alias("pos", "v"))
+    return rows.groupBy("label", "pos").agg(r6(F.percentile(F.col("v").cast("double"), 0.975)).alias("threshold"))
 
 
 @query()
@@ -786,13 +754,18 @@ def train_head(spark, d):
     return head.predict(rows.where("fold = 'test'"), head.train(rows), "vec_id")
 
 
-@query()
+@query(
+    "WITH x AS (SELECT vec_id, label, CAST(i AS INT) AS i, CAST(embedding[i + 1] AS DOUBLE) AS v FROM labelled, range(64) t(i) WHERE fold = 'train' AND label BETWEEN 0 AND 9), "
+    "m AS (SELECT label, i, avg(v) AS m FROM x GROUP BY label, i), c AS (SELECT vec_id, x.i, v - m AS v FROM x JOIN m USING (label, i)), n AS (SELECT count(DISTINCT vec_id) - 1 AS n FROM x) "
+    "SELECT 'mean' AS part, label AS row, i AS col, round(m, 6) AS value FROM m UNION ALL "
+    "SELECT 'covariance', a.i, b.i, round(sum(a.v * b.v) / (SELECT n FROM n) + CASE WHEN a.i = b.i THEN 1e-3 ELSE 0 END, 6) FROM c a JOIN c b USING (vec_id) GROUP BY a.i, b.i"
+)
 def gaussian_fit(spark, d):
-    """Class means under the pooled covariance; pinned by tests against numpy."""
-    rows = view(spark, d, "labelled").where("fold = 'train'")
-    classes = list(range(10))
-    means, precision = head.gaussian_fit(rows, classes, 64)
-    return spark.createDataFrame([(c, float(m[0]), float(precision[0, 0])) for c, m in zip(classes, means, strict=True)], "label int, mean0 double, precision00 double")
+    """All class means, and the pooled covariance (with its ridge) as the inverse of the precision."""
+    means, precision = head.gaussian_fit(view(spark, d, "labelled").where("fold = 'train'"), list(range(10)), 64)
+    rows = [("mean", c, i, float(v)) for c, mean in enumerate(means) for i, v in enumerate(mean)]
+    rows += [("covariance", i, j, float(v)) for i, line in enumerate(np.linalg.inv(precision)) for j, v in enumerate(line)]
+    return spark.createDataFrame(rows, "part string, row int, col int, value double").withColumn("value", r6("value"))
 
 
 def flagship(spark: SparkSession, d: str) -> DataFrame:

@@ -14,7 +14,7 @@ pytestmark = pytest.mark.skipif(not os.path.isdir(DIR), reason="no test tables")
 
 def test_every_part_is_blended(spark):
     parts = spark.read.parquet(f"{DIR}/part.parquet").select("p_partkey").distinct().count()
-    got = catalog.QUERIES["taper_blend_all"](spark, DIR)
+    got = catalog.QUERIES["taper_blend"](spark, DIR)
     assert got.select("id").distinct().count() == parts and got.count() == parts * 112
 
 
@@ -29,8 +29,8 @@ def test_every_observation_has_a_side(spark, monkeypatch):
 
     monkeypatch.setattr(spatial, "away_from", spy)
     monkeypatch.setattr(adapters, "sanlc", lambda points, biomes, store: sides.append((points.count(), store.count())) or store.selectExpr("obs_id", "'' AS species", "taxon_rank", "event_date"))
-    catalog.QUERIES["iap_anti_distance_all"](spark, DIR)
-    catalog.QUERIES["sanlc_rows_all"](spark, DIR)
+    catalog.QUERIES["iap_anti_distance"](spark, DIR)
+    catalog.QUERIES["sanlc_rows"](spark, DIR)
     assert [a + b for a, b in sides] == [total, total] and all(b > total / 2 for _, b in sides)
 
 

@@ -112,7 +112,8 @@ def ingest_chips(spark: SparkSession, a: argparse.Namespace) -> DataFrame:
 
     zones = files.load_config(a.pipeline)["months_by_zone"]
     rows = thin(_labels(spark, a), a.thin_m, "species_normalized").withColumns({"zone": adapters.zone_of("aoi_admin1"), "year": year_or("event_date", a.default_year)})
-    rows = spatial.assign_blocks(rows, spatial.grid(spark, _ring(spark, a.aoi), a.block_km, 0.001), a.block_km)
+    ring = _ring(spark, a.aoi)
+    rows = spatial.assign_blocks(rows, spatial.grid(spark, ring, a.block_km, 0.001), a.block_km, origin=spatial.lower_corner(ring))
     choice = None
     for zone, months in zones.items():
         part = F.array(*[F.struct(F.lit(str(m["start"])[5:]).alias("start"), F.lit(str(m["end"])[5:]).alias("stop"), F.lit(m["label"]).alias("label")) for m in months])

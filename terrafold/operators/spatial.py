@@ -6,7 +6,6 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from terrafold.functions import geo
-from terrafold.operators.dedup import one_per
 
 
 def clip_area(ring: list[tuple[float, float]], x0: float, y0: float, x1: float, y1: float) -> float:
@@ -34,7 +33,7 @@ def grid(spark: SparkSession, ring: list[tuple[float, float]], km: float, min_sh
     Cells start at the area's own lower corner, run by columns, stay if more than `min_share` of them lies
     in the area, and are then numbered from 0. Areas are computed in tasks, one row a cell."""
     step = km * 1000.0
-    x0, y0 = min(p[0] for p in ring), min(p[1] for p in ring)
+    x0, y0 = lower_corner(ring)
     x1, y1 = max(p[0] for p in ring), max(p[1] for p in ring)
     nx, ny = max(1, int(-(-(x1 - x0) // step))), max(1, int(-(-(y1 - y0) // step)))
     cells = spark.range(nx * ny).select((F.col("id") / ny).cast("int").alias("ix"), (F.col("id") % ny).cast("int").alias("iy"))
@@ -56,17 +55,25 @@ def grid(spark: SparkSession, ring: list[tuple[float, float]], km: float, min_sh
     return rings.withColumn("ring", F.concat(vertices, F.slice(vertices, 1, 1))).drop("_r")
 
 
-def assign_blocks(points: DataFrame, blocks: DataFrame, km: float, slack: float = 2.0) -> DataFrame:
-    """Adds block_id; points in no block, or on an edge between blocks, go.
+def lower_corner(ring: list[tuple[float, float]]) -> tuple[float, float]:
+    """Where the grid over an area starts."""
+    return min(p[0] for p in ring), min(p[1] for p in ring)
+
+
+def assign_blocks(points: DataFrame, blocks: DataFrame, km: float, slack: float = 2.0, origin: tuple[float, float] | None = None) -> DataFrame:
+    """Adds block_id; points in no block, or on an edge between blocks, go. `origin` is the `lower_corner` of the grid's area;
+    without it, a look at the blocks finds it.
 
     A point's cell comes from its Albers place. Block edges are straight in degrees, so within `slack`
     metres of a cell's edge the neighbouring cells are candidates too and the block's ring decides."""
     step = km * 1000.0
-    origin = blocks.agg(F.min("minx"), F.min("miny"), F.min("ix"), F.min("iy")).first()
-    if origin[0] is None:
-        return points.withColumn("block_id", F.lit(None).cast("int")).where(F.lit(False))
-    x0, y0 = origin[0] - origin[2] * step, origin[1] - origin[3] * step
-    placed = geo.apply(points.withColumn("_row", F.monotonically_increasing_id()), geo.albers("lon", "lat", "ax_", "ay_"))
+    if origin is None:
+        low = blocks.agg(F.min("minx"), F.min("miny"), F.min("ix"), F.min("iy")).first()
+        if low[0] is None:
+            return points.withColumn("block_id", F.lit(None).cast("int")).where(F.lit(False))
+        origin = (low[0] - low[2] * step, low[1] - low[3] * step)
+    x0, y0 = origin
+    placed = geo.apply(points, geo.albers("lon", "lat", "ax_", "ay_"))
 
     def cells(axis: str, base: float) -> Column:
         v = (F.col(axis) - base) / step
@@ -85,18 +92,20 @@ def _cells(lo: Column, hi: Column, size: float) -> Column:
     return F.sequence(F.floor(lo / size), F.floor(hi / size))
 
 
-def join_polygons(points: DataFrame, polygons: DataFrame, key: str, cell: float = 0.25, boundary: bool = False) -> DataFrame:
+def join_polygons(points: DataFrame, polygons: DataFrame, cell: float = 0.25, boundary: bool = False) -> DataFrame:
     """Left join of points with the polygon they lie in (`order`, `ring`, attributes); the first wins.
 
-    Both sides fall to square cells: a polygon to all its box touches, a point to one, so candidates meet
-    in a hash join, and the ring decides."""
+    A polygon falls to all square cells that its box touches, and a cell's polygons are one row, in their order; a point
+    joins the one row of its cell, and the rings decide there. So points are moved once at most, and never multiplied."""
     extra = [c for c in polygons.columns if c not in ("ring", "order")]
     xs, ys = F.transform("ring", lambda v: v["x"]), F.transform("ring", lambda v: v["y"])
     spread = polygons.withColumn("_cx", F.explode(_cells(F.array_min(xs), F.array_max(xs), cell))).withColumn("_cy", F.explode(_cells(F.array_min(ys), F.array_max(ys), cell)))
+    cells = spread.groupBy("_cx", "_cy").agg(F.sort_array(F.collect_list(F.struct("order", "ring", *extra))).alias("_near"))
     placed = points.withColumn("_cx", F.floor(F.col("lon") / cell)).withColumn("_cy", F.floor(F.col("lat") / cell))
-    met = placed.select(key, "lon", "lat", "_cx", "_cy").join(spread, ["_cx", "_cy"]).where(geo.in_ring("lon", "lat", "ring", boundary))
-    first = one_per(met.select(key, "order", *extra), [key], [F.col("order")])
-    return points.join(first.drop("order"), key, "left")
+    met = placed.join(cells, ["_cx", "_cy"], "left")
+    first = F.filter("_near", lambda p: geo.in_ring("lon", "lat", p["ring"], boundary))
+    found = met.withColumn("_first", F.get(first, F.lit(0)))
+    return found.select(*points.columns, *[F.col(f"_first.{c}").alias(c) for c in extra])
 
 
 def away_from(points: DataFrame, others: DataFrame, metres: float, zone: int = 34) -> DataFrame:

@@ -211,7 +211,7 @@ def block_grid(spark, d):
 )
 def block_assign(spark, d):
     grid = spatial.grid(spark, BLOCK_RING, BLOCK_KM, 0.02)
-    return spatial.assign_blocks(view(spark, d, "obs"), grid, BLOCK_KM).select("obs_id", "block_id")
+    return spatial.assign_blocks(view(spark, d, "obs"), grid, BLOCK_KM, origin=spatial.lower_corner(BLOCK_RING)).select("obs_id", "block_id")
 
 
 @query(f"SELECT DISTINCT obs_id FROM ({inside_sql('obs', ('aoi',), True)})")
@@ -226,7 +226,7 @@ def aoi_clip_within(spark, d):
 
 @query(f"SELECT obs.obs_id, CASE f.o WHEN 0 THEN 'Fynbos' WHEN 1 THEN 'Nama-Karoo' WHEN 2 THEN 'Savanna' END AS biome, CASE f.o WHEN 0 THEN 'fynbos' WHEN 1 THEN 'nama_karoo' END AS cls FROM obs LEFT JOIN (SELECT obs_id, min(o) AS o FROM ({inside_sql('obs', ('b0', 'b1', 'b2'), False)}) GROUP BY obs_id) f USING (obs_id)")
 def biome_left_join(spark, d):
-    rows = spatial.join_polygons(view(spark, d, "obs"), ring_frame(spark, ("b0", "b1", "b2")), "obs_id")
+    rows = spatial.join_polygons(view(spark, d, "obs"), ring_frame(spark, ("b0", "b1", "b2")))
     return rows.select("obs_id", F.col("T_BIOME").alias("biome"), S.lookup("T_BIOME", adapters.BIOMES).alias("cls"))
 
 
@@ -771,5 +771,5 @@ def gaussian_fit(spark, d):
 def flagship(spark: SparkSession, d: str) -> DataFrame:
     """Latest rows, label filters, thinning, blocks, then counts by species."""
     rows = filters.select_labels(view(spark, d, "obs"), filters.LabelFilter(max_uncertainty=500.0, geom_types=("point",)))
-    rows = spatial.assign_blocks(dedup.thin(rows, 20.0, "species_normalized"), spatial.grid(spark, BLOCK_RING, BLOCK_KM, 0.001), BLOCK_KM)
+    rows = spatial.assign_blocks(dedup.thin(rows, 20.0, "species_normalized"), spatial.grid(spark, BLOCK_RING, BLOCK_KM, 0.001), BLOCK_KM, origin=spatial.lower_corner(BLOCK_RING))
     return rows.groupBy(F.col("species_normalized").alias("species")).agg(F.count(F.lit(1)).alias("n_obs"), F.count_distinct("block_id").alias("n_blocks"))

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -142,10 +143,12 @@ def byte_lists(column: pa.ChunkedArray | pa.Array) -> list[bytes]:
 
 
 def checkpoint_root(spark: SparkSession) -> str:
-    """The shared folder that the cluster names; a folder of our own only where none is set."""
+    """The shared folder that the cluster names; a folder of our own only where none is set, and on one machine."""
     sc = spark.sparkContext
     named = sc.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None)
     if not sc._jsc.sc().getCheckpointDir().isDefined():
+        if not named and not re.fullmatch(r"local(\[.*\])?", sc.master):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         sc.setCheckpointDir(named or tempfile.mkdtemp(prefix="terrafold-"))
     return sc._jsc.sc().getCheckpointDir().get()
 

@@ -27,23 +27,29 @@ def parse_bbox(text: str) -> tuple[float, float, float, float]:
 
 
 def provinces(rings: DataFrame, names: list[str], field: str = "shapeName", south: float = -35.0) -> DataFrame:
-    """Outer rings of the named provinces on the mainland; a name that isn't there is an error."""
+    """Parts of the named provinces on the mainland; a name that isn't there is an error. A part lies where an inner point
+    of it does: half way between the vertices next to the middle of its box."""
     named = rings.withColumn("province", F.trim(F.get_json_object("properties", f"$.{field}")))
     asked = [n.strip().lower() for n in names]
     have = {r[0] for r in named.select(F.lower("province")).distinct().take(10_000)}
     if missing := sorted(set(asked) - have):
         raise ValueError(f"no such province: {missing}")
-    middle = F.aggregate("ring", F.lit(0e0), lambda a, v: a + v["y"]) / F.size("ring")
-    return named.where(F.lower("province").isin(*asked) & (middle > south)).select("order", "province", "ring")
+    ys = F.filter(F.transform("ring", lambda v: v["y"]), lambda y: y.isNotNull())
+    half = (F.array_min(ys) + F.array_max(ys)) / 2
+    inner = (F.array_max(F.filter(ys, lambda y: y <= half)) + F.coalesce(F.array_min(F.filter(ys, lambda y: y > half)), F.array_max(ys))) / 2
+    return named.where(F.lower("province").isin(*asked) & (inner > south)).select("order", "province", "ring")
 
 
-def _ring(spark: SparkSession, path: str) -> list[tuple[float, float]]:
-    """The largest ring of an area, in Albers metres."""
+def _outline(spark: SparkSession, path: str, most: int = 2_000_000) -> spatial.Outline:
+    """All rings of an area in Albers metres, None between them; an area of over `most` vertices is an error."""
     from terrafold.functions import geo
 
-    row = files.read_geojson(spark, path).orderBy(F.desc(F.size("ring"))).first()
-    points = spark.createDataFrame([(i, float(v["x"]), float(v["y"])) for i, v in enumerate(row["ring"])], "i int, lon double, lat double")
-    return [(r["x"], r["y"]) for r in geo.apply(points, geo.albers("lon", "lat")).orderBy("i").collect()]
+    vertex = F.posexplode(F.concat("ring", F.array(F.lit(None)))).alias("i", "v")
+    rows = files.read_geojson(spark, path).select(F.monotonically_increasing_id().alias("part"), "ring").select("part", vertex)
+    if rows.limit(most + 1).count() > most:
+        raise ValueError(f"{path} has more than {most} vertices: simplify it first")
+    rows = geo.apply(rows.select("part", "i", F.col("v.x").alias("lon"), F.col("v.y").alias("lat")), geo.albers("lon", "lat"))
+    return [None if r["x"] is None else (r["x"], r["y"]) for r in rows.orderBy("part", "i").collect()]
 
 
 def _classes(a: argparse.Namespace) -> crosswalk.ClassMap:
@@ -55,7 +61,7 @@ def aoi(spark: SparkSession, a: argparse.Namespace) -> DataFrame:
 
 
 def aoi_tiles(spark: SparkSession, a: argparse.Namespace) -> DataFrame:
-    return spatial.grid(spark, _ring(spark, a.aoi), a.km, 0.01)
+    return spatial.grid(spark, _outline(spark, a.aoi), a.km, 0.01)
 
 
 def labels_bioscape_ingest(spark: SparkSession, a: argparse.Namespace) -> DataFrame:
@@ -112,7 +118,7 @@ def ingest_chips(spark: SparkSession, a: argparse.Namespace) -> DataFrame:
 
     zones = files.load_config(a.pipeline)["months_by_zone"]
     rows = thin(_labels(spark, a), a.thin_m, "species_normalized").withColumns({"zone": adapters.zone_of("aoi_admin1"), "year": year_or("event_date", a.default_year)})
-    ring = _ring(spark, a.aoi)
+    ring = _outline(spark, a.aoi)
     rows = spatial.assign_blocks(rows, spatial.grid(spark, ring, a.block_km, 0.001), a.block_km, origin=spatial.lower_corner(ring))
     choice = None
     for zone, months in zones.items():

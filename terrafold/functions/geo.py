@@ -166,12 +166,19 @@ def render(inner: str, steps: Steps) -> str:
     return f"SELECT * EXCLUDE ({', '.join(drop)}) FROM ({inner})" if drop else inner
 
 
-def in_ring(x: Column | str, y: Column | str, ring: Column | str, boundary: bool = False) -> Column:
-    """Whether a point lies in a ring (array of structs x, y; first and last vertex equal).
+def edges(ring: Column | str) -> Column:
+    """Pairs a, b of neighbouring vertices. A null vertex parts one ring of a polygon from the next; it has no edges."""
+    ring = F.col(ring) if isinstance(ring, str) else ring
+    pairs = F.transform(F.sequence(F.lit(1), F.size(ring) - 1), lambda i: F.struct(F.element_at(ring, i).alias("a"), F.element_at(ring, i + 1).alias("b")))
+    return F.filter(pairs, lambda e: e["a"].isNotNull() & e["b"].isNotNull())
+
+
+def in_edges(x: Column | str, y: Column | str, pairs: Column | str, boundary: bool = False) -> Column:
+    """Whether a point lies within edges: a ray to the right crosses an odd number of them, so that holes and
+    further parts need no rule of their own. Edges that the ray's latitude doesn't meet may be left out.
 
-    boundary: what a point on the ring is. The interior is told by crossings of a ray."""
-    x, y, ring = (F.col(c) if isinstance(c, str) else c for c in (x, y, ring))
-    edges = F.transform(F.sequence(F.lit(1), F.size(ring) - 1), lambda i: F.struct(F.element_at(ring, i).alias("a"), F.element_at(ring, i + 1).alias("b")))
+    boundary: what a point on an edge is."""
+    x, y, pairs = (F.col(c) if isinstance(c, str) else c for c in (x, y, pairs))
 
     def crosses(e: Column) -> Column:
         a, b = e["a"], e["b"]
@@ -182,6 +189,11 @@ def in_ring(x: Column | str, y: Column | str, ring: Column | str, boundary: bool
         flat = (b["x"] - a["x"]) * (y - a["y"]) - (b["y"] - a["y"]) * (x - a["x"]) == 0
         return flat & x.between(F.least(a["x"], b["x"]), F.greatest(a["x"], b["x"])) & y.between(F.least(a["y"], b["y"]), F.greatest(a["y"], b["y"]))
 
-    inside = F.size(F.filter(edges, crosses)) % 2 == 1
-    on = F.exists(edges, touches)
+    inside = F.size(F.filter(pairs, crosses)) % 2 == 1
+    on = F.exists(pairs, touches)
     return (inside | on) if boundary else (inside & ~on)
+
+
+def in_ring(x: Column | str, y: Column | str, ring: Column | str, boundary: bool = False) -> Column:
+    """`in_edges` of a ring (array of structs x, y; first and last vertex equal; nulls between rings)."""
+    return in_edges(x, y, edges(ring), boundary)

@@ -8,8 +8,29 @@ from pyspark.sql import functions as F
 from terrafold.functions import geo
 
 
+Outline = list[tuple[float, float] | None]
+
+
+def rings_of(outline: Outline) -> list[tuple[float, list[tuple[float, float]]]]:
+    """The rings of an outline, of which None parts one from the next, each with its sign: -1 within an odd number of others."""
+    rings, begun = [], False
+    for v in outline:
+        if v is None:
+            begun = False
+        elif begun:
+            rings[-1].append(v)
+        else:
+            rings.append([v])
+            begun = True
+
+    def holds(ring: list, x: float, y: float) -> bool:
+        return sum((a[1] > y) != (b[1] > y) and x < (b[0] - a[0]) * (y - a[1]) / (b[1] - a[1]) + a[0] for a, b in zip(ring, ring[1:] + ring[:1], strict=True)) % 2 == 1
+
+    return [((-1.0) ** sum(holds(o, *r[0]) for o in rings if o is not r), r) for r in rings]
+
+
 def clip_area(ring: list[tuple[float, float]], x0: float, y0: float, x1: float, y1: float) -> float:
-    """Area of a polygon within a box: four half-plane cuts, then the shoelace formula."""
+    """Area of a ring within a box: four half-plane cuts, then the shoelace formula."""
     points = ring[:-1] if ring and ring[0] == ring[-1] else list(ring)
     for axis, bound, sign in ((0, x0, 1), (0, x1, -1), (1, y0, 1), (1, y1, -1)):
         kept = []
@@ -27,20 +48,22 @@ def clip_area(ring: list[tuple[float, float]], x0: float, y0: float, x1: float,
     return abs(sum(a[0] * b[1] - b[0] * a[1] for a, b in zip(points, points[1:] + points[:1], strict=True))) / 2
 
 
-def grid(spark: SparkSession, ring: list[tuple[float, float]], km: float, min_share: float) -> DataFrame:
+def grid(spark: SparkSession, ring: Outline, km: float, min_share: float) -> DataFrame:
     """block_id, ix, iy, box and lon/lat ring of the cells over an area given in Albers metres.
 
     Cells start at the area's own lower corner, run by columns, stay if more than `min_share` of them lies
     in the area, and are then numbered from 0. Areas are computed in tasks, one row a cell."""
     step = km * 1000.0
     x0, y0 = lower_corner(ring)
-    x1, y1 = max(p[0] for p in ring), max(p[1] for p in ring)
+    x1, y1 = max(p[0] for p in ring if p), max(p[1] for p in ring if p)
+    rings = rings_of(ring)
     nx, ny = max(1, int(-(-(x1 - x0) // step))), max(1, int(-(-(y1 - y0) // step)))
     cells = spark.range(nx * ny).select((F.col("id") / ny).cast("int").alias("ix"), (F.col("id") % ny).cast("int").alias("iy"))
 
     def share(pdfs):
         for pdf in pdfs:
-            yield pdf.assign(share=[clip_area(ring, x0 + i * step, y0 + j * step, x0 + (i + 1) * step, y0 + (j + 1) * step) / step**2 for i, j in zip(pdf.ix, pdf.iy, strict=True)])
+            boxes = [(x0 + i * step, y0 + j * step, x0 + (i + 1) * step, y0 + (j + 1) * step) for i, j in zip(pdf.ix, pdf.iy, strict=True)]
+            yield pdf.assign(share=[sum(sign * clip_area(r, *box) for sign, r in rings) / step**2 for box in boxes])
 
     kept = cells.mapInPandas(share, "ix int, iy int, share double").where(F.col("share") > min_share)
     numbered = kept.withColumn("block_id", (F.row_number().over(Window.orderBy("ix", "iy")) - 1).cast("int"))
@@ -55,9 +78,9 @@ def grid(spark: SparkSession, ring: list[tuple[float, float]], km: float, min_sh
     return rings.withColumn("ring", F.concat(vertices, F.slice(vertices, 1, 1))).drop("_r")
 
 
-def lower_corner(ring: list[tuple[float, float]]) -> tuple[float, float]:
+def lower_corner(ring: Outline) -> tuple[float, float]:
     """Where the grid over an area starts."""
-    return min(p[0] for p in ring), min(p[1] for p in ring)
+    return min(p[0] for p in ring if p), min(p[1] for p in ring if p)
 
 
 def assign_blocks(points: DataFrame, blocks: DataFrame, km: float, slack: float = 2.0, origin: tuple[float, float] | None = None) -> DataFrame:

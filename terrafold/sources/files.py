@@ -39,7 +39,8 @@ def list_parquet(spark: SparkSession, root: str, recursive: bool = False) -> lis
 
 
 def read_geojson(spark: SparkSession, path: str) -> DataFrame:
-    """order, properties (JSON text) and ring of each outer ring of polygons and multipolygons."""
+    """order, properties (JSON text) and ring of each part of polygons and multipolygons; a null vertex parts the
+    outer ring from the holes, and one hole from the next."""
     text = spark.read.text(path, wholetext=True)
     features = text.select(F.posexplode(F.from_json(F.get_json_object("value", "$.features"), "array<string>")).alias("order", "f"))
     kind = F.get_json_object("f", "$.geometry.type")
@@ -47,12 +48,14 @@ def read_geojson(spark: SparkSession, path: str) -> DataFrame:
     single = F.array(F.from_json(coords, "array<array<array<double>>>"))
     many = F.when(kind == "MultiPolygon", F.from_json(coords, "array<array<array<array<double>>>>")).otherwise(single)
     parts = features.select("order", F.get_json_object("f", "$.properties").alias("properties"), F.explode(many).alias("_p"))
-    return parts.select("order", "properties", F.transform(F.col("_p")[0], lambda v: F.struct(v[0].alias("x"), v[1].alias("y"))).alias("ring"))
+    rings = F.transform("_p", lambda r: F.transform(r, lambda v: F.struct(v[0].alias("x"), v[1].alias("y"))))
+    apart = F.flatten(F.transform(rings, lambda r: F.concat(F.array(F.lit(None)), r)))
+    return parts.select("order", "properties", F.slice(apart, 2, F.size(apart)).alias("ring")).where("size(ring) > 0")
 
 
 class ShapefileSource(DataSource):
-    """`spark.read.format("shapefile").load(path)`: x and y of points, or ring of a polygon's first part, and
-    the attributes as text. Options: columns, a comma list of attributes to read."""
+    """`spark.read.format("shapefile").load(path)`: x and y of points, or the rings of a polygon, a null
+    between them, and the attributes as text. Options: columns, a comma list of attributes to read."""
 
     @classmethod
     def name(cls) -> str:
@@ -97,25 +100,35 @@ class _ShapefileReader(DataSourceReader):
     def read(self, partition: InputPartition) -> Iterator[tuple]:
         lo, hi = partition.value
         kind, fields = _header(self.path)
-        shp, shx, dbf = (Path(self.path).with_suffix(s).read_bytes() for s in (".shp", ".shx", ".dbf"))
-        head, width = struct.unpack("<HH", dbf[8:12])
-        for i in range(lo, hi):
-            at = 2 * struct.unpack(">i", shx[100 + 8 * i : 104 + 8 * i])[0] + 8
-            if kind in (1, 11, 21):
-                empty = struct.unpack("<i", shp[at : at + 4])[0] == 0
-                shape: tuple = (None, None) if empty else struct.unpack("<dd", shp[at + 4 : at + 20])
-            else:
-                parts, points = struct.unpack("<ii", shp[at + 36 : at + 44])
-                starts = [*struct.unpack(f"<{parts}i", shp[at + 44 : at + 44 + 4 * parts]), points]
-                base = at + 44 + 4 * parts
-                xy = np.frombuffer(shp, "<f8", 2 * points, base).reshape(-1, 2)[: starts[1]]
-                shape = ([(float(x), float(y)) for x, y in xy],)
-            row, pos, values = dbf[head + i * width : head + (i + 1) * width], 1, []
-            for name, size in fields:
-                if name in self.names:
-                    values.append(row[pos : pos + size].decode("utf-8", "replace").strip() or None)
-                pos += size
-            yield (*shape, *values)
+        with Path(self.path).open("rb") as shp, Path(self.path).with_suffix(".shx").open("rb") as shx, Path(self.path).with_suffix(".dbf").open("rb") as dbf:
+            head, width = struct.unpack("<HH", dbf.read(12)[8:12])
+            shx.seek(100 + 8 * lo)
+            places = np.frombuffer(shx.read(8 * (hi - lo)), ">i4").reshape(-1, 2) * 2
+            dbf.seek(head + lo * width)
+            for at, size in places.tolist():
+                shp.seek(at + 8)
+                shape, row = _shape(shp.read(size), kind), dbf.read(width)
+                pos, values = 1, []
+                for name, length in fields:
+                    if name in self.names:
+                        values.append(row[pos : pos + length].decode("utf-8", "replace").strip() or None)
+                    pos += length
+                yield (*shape, *values)
+
+
+def _shape(raw: bytes, kind: int) -> tuple:
+    """x and y of a point, or the rings of a polygon one after the other, None between them; empty shapes are None."""
+    empty = struct.unpack("<i", raw[:4])[0] == 0
+    if kind in (1, 11, 21):
+        return (None, None) if empty else struct.unpack("<dd", raw[4:20])
+    if empty:
+        return (None,)
+    parts, points = struct.unpack("<ii", raw[36:44])
+    starts = struct.unpack(f"<{parts}i", raw[44 : 44 + 4 * parts])
+    ring: list = [(float(x), float(y)) for x, y in np.frombuffer(raw, "<f8", 2 * points, 44 + 4 * parts).reshape(-1, 2)]
+    for start in reversed(starts[1:]):
+        ring.insert(start, None)
+    return (ring,)
 
 
 def write_tiff(array: np.ndarray, path: str, origin: tuple[float, float], pixel: tuple[float, float], epsg: int, nodata: float | None = None) -> str:

@@ -29,18 +29,22 @@ def scenes_for(windows: DataFrame, catalog: DataFrame, cloud_max: float, most: i
     return found if most is None else clearest_scenes(found, ["group", "month_label"], most)
 
 
-def extract(points: DataFrame, pixels: DataFrame, x0: float, y0: float, dx: float, dy: float, width: int, height: int, size: int = 64, least: float = 0.5) -> DataFrame:
+def extract(
+    points: DataFrame, pixels: DataFrame, x0: float, y0: float, dx: float, dy: float, width: int, height: int, size: int = 64, least: float = 0.5, by: tuple[str, ...] = ("month_label",)
+) -> DataFrame:
     """A row a point and month: status, valid_frac and, if ok, chip (medians in order of band, row, column).
 
-    points: obs_id, month_label, x, y in metres. pixels: month_label, scene, band, col, row, value, scl. Windows
-    and pixels meet on cells of 64 pixels, so each pixel meets only the windows near it."""
+    points: obs_id, month_label, x, y in metres and the columns `by`, one row for each of their values that the window
+    takes (a null takes none). pixels: `by`, scene, band, col, row, value, scl. Windows and pixels meet on cells of 64
+    pixels, so each pixel meets only the windows near it."""
     window = pixel_window(F.col("x"), F.col("y"), x0, y0, dx, dy, width, height, size)
     placed = points.withColumns(window)
-    inside = placed.where("not oob").withColumn("_cx", F.explode(F.sequence(F.floor(F.col("col0") / CELL), F.floor((F.col("col0") + size - 1) / CELL))))
-    inside = inside.withColumn("_cy", F.explode(F.sequence(F.floor(F.col("row0") / CELL), F.floor((F.col("row0") + size - 1) / CELL))))
+    inside = placed.where("not oob").select("obs_id", "month_label", *[b for b in by if b != "month_label"], "col0", "row0")
+    for axis, cell in (("col0", "_cx"), ("row0", "_cy")):
+        inside = inside.withColumn(cell, F.explode(F.sequence(F.floor(F.col(axis) / CELL), F.floor((F.col(axis) + size - 1) / CELL))))
     clear = F.when(~F.coalesce(F.col("scl").isin(*BAD_SCL), F.lit(False)) & ~F.isnan("value"), F.col("value"))
-    keyed = pixels.withColumns({"_cx": F.floor(F.col("col") / CELL), "_cy": F.floor(F.col("row") / CELL), "_v": clear})
-    met = inside.join(keyed, ["month_label", "_cx", "_cy"]).where(F.col("col").between(F.col("col0"), F.col("col0") + size - 1) & F.col("row").between(F.col("row0"), F.col("row0") + size - 1))
+    keyed = pixels.select(*by, "band", "col", "row", clear.alias("_v"), F.floor(F.col("col") / CELL).alias("_cx"), F.floor(F.col("row") / CELL).alias("_cy"))
+    met = inside.join(keyed, [*by, "_cx", "_cy"]).where(F.col("col").between(F.col("col0"), F.col("col0") + size - 1) & F.col("row").between(F.col("row0"), F.col("row0") + size - 1))
     place = [(F.col("row") - F.col("row0")).cast("int").alias("r"), (F.col("col") - F.col("col0")).cast("int").alias("c")]
     median = met.groupBy("obs_id", "month_label", "band", *place).agg(F.median("_v").cast("float").alias("v"))
     by_pixel = median.groupBy("obs_id", "month_label", "r", "c").agg(F.bool_and(F.col("v").isNotNull()).alias("_ok"), F.collect_list(F.struct("band", "r", "c", "v")).alias("_b"))
@@ -48,7 +52,7 @@ def extract(points: DataFrame, pixels: DataFrame, x0: float, y0: float, dx: floa
         (F.sum(F.col("_ok").cast("int")) / F.lit(float(size * size))).alias("valid_frac"),
         F.transform(F.array_sort(F.flatten(F.collect_list("_b"))), lambda p: F.coalesce(p["v"], F.lit(float("nan")).cast("float"))).alias("chip"),
     )
-    out = placed.select("obs_id", "month_label", "oob").join(chips, ["obs_id", "month_label"], "left")
+    out = placed.select("obs_id", "month_label", "oob").distinct().join(chips, ["obs_id", "month_label"], "left")
     status = chip_status(F.col("valid_frac"), F.col("oob"), least)
     return out.select("obs_id", "month_label", status.alias("status"), "valid_frac", F.when(status == "ok", F.col("chip")).alias("chip"))
 

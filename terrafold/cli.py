@@ -9,9 +9,9 @@ from pathlib import Path
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from terrafold.operators import adapters, crosswalk, filters, head, manifest, spatial, split, stats
+from terrafold.operators import adapters, campaign, crosswalk, filters, head, manifest, spatial, split, stats
 from terrafold.shipping import ship
-from terrafold.sources import files
+from terrafold.sources import files, sinks
 from terrafold.sources.store import Store
 
 
@@ -108,27 +108,30 @@ def _labels(spark: SparkSession, a: argparse.Namespace) -> DataFrame:
 
 
 def labels(spark: SparkSession, a: argparse.Namespace) -> DataFrame:
-    return stats.source_summary(_labels(spark, a))
+    """Writes and shows the store's summary; gives the filtered labels."""
+    sinks.write_summary(Store(spark, a.root).read(), a.summary_out or f"{a.root}/summary.parquet").show(100, truncate=False)
+    return _labels(spark, a)
 
 
 def ingest_chips(spark: SparkSession, a: argparse.Namespace) -> DataFrame:
-    """What is to be extracted: (obs_id, month, window) that the manifest lacks, by block."""
+    """Extracts the chips that the manifest under --out-prefix lacks; without --scenes and --pixels, lists them."""
     from terrafold.functions.scalars import year_or
     from terrafold.operators.dedup import thin
 
-    zones = files.load_config(a.pipeline)["months_by_zone"]
-    rows = thin(_labels(spark, a), a.thin_m, "species_normalized").withColumns({"zone": adapters.zone_of("aoi_admin1"), "year": year_or("event_date", a.default_year)})
-    ring = _outline(spark, a.aoi)
-    rows = spatial.assign_blocks(rows, spatial.grid(spark, ring, a.block_km, 0.001), a.block_km, origin=spatial.lower_corner(ring))
-    choice = None
-    for zone, months in zones.items():
-        part = F.array(*[F.struct(F.lit(str(m["start"])[5:]).alias("start"), F.lit(str(m["end"])[5:]).alias("stop"), F.lit(m["label"]).alias("label")) for m in months])
-        choice = F.when(F.col("zone") == zone, part) if choice is None else choice.when(F.col("zone") == zone, part)
-    wanted = manifest.windows(rows.withColumn("months", choice))
-    if Path(a.manifest).exists():
-        todo = manifest.todo(wanted, spark.read.parquet(a.manifest))
-        wanted = wanted.join(todo, ["obs_id", "month_label"], "left_semi")
-    return wanted
+    if bool(a.scenes) != bool(a.pixels):
+        raise ValueError("--scenes and --pixels go together")
+    cfg = files.load_config(a.pipeline)
+    rows = _labels(spark, a).where("geom_type = 'point'")
+    rows = rows.withColumns({"zone": adapters.zone_of("aoi_admin1", cfg.get("admin1_zone")), "year": year_or("event_date", a.default_year)})
+    outline = _outline(spark, a.aoi or cfg["aoi"]["train_path"])
+    rows = spatial.assign_blocks(thin(rows, a.thin_m, "species_normalized"), spatial.grid(spark, outline, a.block_km, 0.001), a.block_km, origin=spatial.lower_corner(outline))
+    rows = rows.select("obs_id", "species_normalized", "lon", "lat", "year", "zone", "block_id")
+    c = campaign.Campaign(a.out_prefix, cfg["months_by_zone"], cloud_max=cfg.get("cloud_cover_max", 40), most_scenes=cfg.get("max_scenes_per_composite"), bands=tuple(cfg["s2_bands"]))
+    if a.scenes:
+        # labels of some species know nothing of the other species' chips
+        return campaign.run(rows, spark.read.parquet(a.scenes), spark.read.parquet(a.pixels), c, prune=not a.species)
+    wanted = manifest.windows(rows.withColumn("months", campaign.months_of(F.col("zone"), c.months)))
+    return wanted.join(manifest.todo(wanted, sinks.read_manifest(spark, a.out_prefix)), ["obs_id", "month_label"], "left_semi")
 
 
 def chips_stats(spark: SparkSession, a: argparse.Namespace) -> DataFrame:
@@ -147,8 +150,23 @@ def chips_stats(spark: SparkSession, a: argparse.Namespace) -> DataFrame:
 
 
 def make_split(spark: SparkSession, a: argparse.Namespace) -> DataFrame:
+    """Splits the manifest's observations; with --out-prefix writes folds, lists and split.parquet there, and keeps the folds of blocks that have one."""
     classes = _classes(a) if a.class_map else None
-    return split.make_split(spark.read.parquet(a.manifest), classes, a.species or None, a.min_class_obs, train=a.train_frac, val=a.val_frac, seed=a.seed)
+    folds = f"{a.out_prefix}/block_folds.parquet"
+    locked = sinks.load_folds(spark, folds) if a.out_prefix and not a.no_lock_folds else None
+    rows = split.make_split(spark.read.parquet(a.manifest), classes, a.species or None, a.min_class_obs, train=a.train_frac, val=a.val_frac, seed=a.seed, locked=locked)
+    if a.out_prefix:
+        sinks.write_split(rows, a.out_prefix)
+        now = rows.select("block_id", "fold").distinct()
+        if locked:  # blocks that have no row this time stay locked
+            now = now.unionByName(spark.createDataFrame(sorted(locked.items()), "block_id int, fold string")).distinct()
+        sinks.save_folds(now, folds)
+    stats.fold_balance(rows).show()
+    for key in ("species", "class_id") if classes else ("species",):
+        stats.fold_matrix(rows, key).orderBy(key).show(1000, truncate=False)
+    if classes:
+        stats.composition_text(rows).orderBy("class_id").show(1000, truncate=False)
+    return rows
 
 
 def embed(spark: SparkSession, a: argparse.Namespace) -> DataFrame:
@@ -167,8 +185,9 @@ def train_head(spark: SparkSession, a: argparse.Namespace) -> DataFrame:
 
 
 def infer(spark: SparkSession, a: argparse.Namespace) -> DataFrame:
-    """Composites (tile, height, width, months, bands, data) to a map, with the raw-statistics features of a pixel."""
-    from terrafold.operators.inference import blend_map, predict_windows
+    """A map with the raw-statistics features of a pixel: of --composites (tile, height, width, months, bands, data), or of
+    --bbox from --scenes and --pixels, then written to --raster in Albers, or with --native in the box's own zone."""
+    from terrafold.operators import inference
 
     h = head.Head.from_row(json.loads(Path(a.ckpt).read_text()))
 
@@ -177,7 +196,24 @@ def infer(spark: SparkSession, a: argparse.Namespace) -> DataFrame:
         p, o = h.probabilities(stacks.transpose(0, 3, 4, 1, 2).reshape(-1, t * c).astype(float))
         return p.reshape(n, y, x, -1), o.reshape(n, y, x)
 
-    return blend_map(predict_windows(spark.read.parquet(a.composites), score, views=a.tta_views), h.classes)
+    if a.composites:
+        return inference.blend_map(inference.predict_windows(spark.read.parquet(a.composites), score, views=a.tta_views), h.classes)
+    if not (a.bbox and a.scenes and a.pixels and a.pipeline):
+        raise ValueError("either --composites, or --bbox with --scenes, --pixels and --pipeline")
+    cfg = files.load_config(a.pipeline)
+    windows = [(m["label"], *(f"{a.year}-{str(m[e])[5:]}" for e in ("start", "end"))) for m in cfg["months"]]
+    box = inference.box_of(spark, a.bbox)
+    tile = inference.composite(spark.read.parquet(a.pixels), spark.read.parquet(a.scenes), a.bbox, box, windows, list(cfg["s2_bands"]), cfg.get("cloud_cover_max", 95), cfg.get("max_scenes_per_composite"))
+    cells = inference.blend_map(inference.predict_windows(tile, score, views=a.tta_views), h.classes)
+    if a.native:
+        rows, place, epsg = cells.select(F.col("y").alias("row"), F.col("x").alias("col"), "class_id", "confidence", "ood"), (box.x0, box.y0, box.width, box.height), box.epsg
+    else:
+        rows, place = inference.to_albers(cells, box)
+        epsg = 32767
+    if a.raster:
+        left, top, width, height = place
+        files.write_tiff(inference.to_array(rows, width, height), a.raster, (left, top), (box.metres, -box.metres), epsg, inference.NODATA)
+    return rows
 
 
 def parser() -> argparse.ArgumentParser:
@@ -206,13 +242,14 @@ def parser() -> argparse.ArgumentParser:
     verb("labels-bioscape-ingest", labels_bioscape_ingest, root="data/labels/processed", sites="", lines=None, plots=None, schema="configs/labels_schema.yaml", class_map="western_cape_iap", all=bool)
     verb("labels-mapwaps-ingest", labels_mapwaps_ingest, root="data/labels/processed", points="", catchment="")
     verb("labels-sanlc-ingest", labels_sanlc_ingest, root="data/labels/processed", points=[], aoi="", biomes="")
-    verb("labels", labels, **query)
-    verb("ingest-chips", ingest_chips, **query | {"max_coord_uncertainty_m": 40.0, "date_max": "2025-12-31", "pipeline": "", "manifest": "data/chips/train/manifest.parquet", "block_km": 10.0, "thin_m": 20.0, "default_year": 2023})
+    verb("labels", labels, **query | {"summary_out": None})
+    chips = {"max_coord_uncertainty_m": 40.0, "date_max": "2025-12-31", "pipeline": "", "out_prefix": "data/chips/train", "scenes": None, "pixels": None, "block_km": 10.0, "thin_m": 20.0, "default_year": 2023}
+    verb("ingest-chips", ingest_chips, **query | chips)
     verb("chips-stats", chips_stats, manifest="", top_species=30, top_blocks=10)
-    verb("make-split", make_split, manifest="", species=[], class_map=None, schema="configs/labels_schema.yaml", seed=42, train_frac=0.7, val_frac=0.15, min_class_obs=0)
+    verb("make-split", make_split, manifest="", species=[], class_map=None, schema="configs/labels_schema.yaml", seed=42, train_frac=0.7, val_frac=0.15, min_class_obs=0, out_prefix=None, no_lock_folds=bool)
     verb("embed", embed, stacks="", shape=[3, 10, 64, 64])
     verb("train-head", train_head, emb="", split="", arch="linear", weight="balanced", save=None)
-    verb("infer", infer, composites="", ckpt="", tta_views=1)
+    verb("infer", infer, composites=None, ckpt="", tta_views=1, bbox=parse_bbox, year=2023, pipeline=None, scenes=None, pixels=None, native=bool, raster=None)
     return top
 
 

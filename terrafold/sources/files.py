@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import struct
+import zlib
 from collections.abc import Iterator
 from pathlib import Path
 from typing import Any
@@ -131,24 +132,38 @@ def _shape(raw: bytes, kind: int) -> tuple:
     return (ring,)
 
 
-def write_tiff(array: np.ndarray, path: str, origin: tuple[float, float], pixel: tuple[float, float], epsg: int, nodata: float | None = None) -> str:
-    """An uncompressed GeoTIFF of (bands, rows, columns), for the few rasters that leave the engine."""
+def write_tiff(array: np.ndarray, path: str, origin: tuple[float, float], pixel: tuple[float, float], epsg: int, nodata: float | None = None, tile: int = 256) -> str:
+    """A deflated GeoTIFF of (bands, rows, columns) in square tiles, for the few rasters that leave the engine. One of over
+    4 GB packed is an error: cut it first. epsg 32767 means a projection of one's own."""
     array = array[None] if array.ndim == 2 else array
     bands, rows, cols = array.shape
     form = {"u": 1, "i": 2, "f": 3}[array.dtype.kind]
-    data = np.ascontiguousarray(np.moveaxis(array, 0, -1)).astype(array.dtype.newbyteorder("<")).tobytes()
+    pixels = np.moveaxis(array, 0, -1).astype(array.dtype.newbyteorder("<"))
+    data, offsets, lengths = b"", [], []
+    for r in range(0, rows, tile):
+        for c in range(0, cols, tile):
+            part = pixels[r : r + tile, c : c + tile]
+            full = np.zeros((tile, tile, bands), pixels.dtype)
+            full[: part.shape[0], : part.shape[1]] = part
+            packed = zlib.compress(full.tobytes(), 6)
+            offsets.append(8 + len(data))
+            lengths.append(len(packed))
+            data += packed + b"\0" * (len(packed) % 2)
+    if len(data) >= 1 << 32:
+        raise ValueError(f"{len(data)} bytes don't fit a TIFF of 32-bit offsets")
     geo = struct.pack("<16H", 1, 1, 0, 3, 1024, 0, 1, 1, 1025, 0, 1, 1, 3072, 0, 1, epsg)
     tags: list[tuple[int, int, int, bytes]] = [
         (256, 4, 1, struct.pack("<I", cols)),
         (257, 4, 1, struct.pack("<I", rows)),
         (258, 3, bands, struct.pack(f"<{bands}H", *[array.dtype.itemsize * 8] * bands)),
-        (259, 3, 1, struct.pack("<H", 1)),
+        (259, 3, 1, struct.pack("<H", 8)),
         (262, 3, 1, struct.pack("<H", 1)),
-        (273, 4, 1, struct.pack("<I", 8)),
         (277, 3, 1, struct.pack("<H", bands)),
-        (278, 4, 1, struct.pack("<I", rows)),
-        (279, 4, 1, struct.pack("<I", len(data))),
         (284, 3, 1, struct.pack("<H", 1)),
+        (322, 4, 1, struct.pack("<I", tile)),
+        (323, 4, 1, struct.pack("<I", tile)),
+        (324, 4, len(offsets), struct.pack(f"<{len(offsets)}I", *offsets)),
+        (325, 4, len(lengths), struct.pack(f"<{len(lengths)}I", *lengths)),
         (339, 3, bands, struct.pack(f"<{bands}H", *[form] * bands)),
         (33550, 12, 3, struct.pack("<3d", abs(pixel[0]), abs(pixel[1]), 0)),
         (33922, 12, 6, struct.pack("<6d", 0, 0, 0, origin[0], origin[1], 0)),

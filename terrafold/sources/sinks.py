@@ -42,16 +42,22 @@ def write_split(split: DataFrame, path: str) -> None:
     ids.write.mode("overwrite").partitionBy("fold").text(f"{path}/lists")
 
 
+def _folds(spark: SparkSession, path: str) -> Swap:
+    return Swap(spark, path, f"{path}.next", f"{path}.old")
+
+
 def save_folds(folds: DataFrame, path: str) -> None:
-    """Sorted by block, so that two runs give the same file."""
-    write_parquet(folds.select("block_id", "fold").coalesce(1).sortWithinPartitions("block_id"), path)
+    """Sorted by block, so that two runs give the same file; swapped in, so that a stop loses no locked block."""
+    swap = _folds(folds.sparkSession, path)
+    swap.recover()
+    write_parquet(folds.select("block_id", "fold").coalesce(1).sortWithinPartitions("block_id"), swap.fresh)
+    swap.commit()
 
 
 def load_folds(spark: SparkSession, path: str) -> dict[int, str] | None:
     """None where there are none yet; a broken file is an error, as guessing would move locked blocks."""
-    if not exists(spark, path):
-        return None
-    return {r["block_id"]: r["fold"] for r in spark.read.parquet(path).select("block_id", "fold").toLocalIterator()}
+    at = _folds(spark, path).current()
+    return {r["block_id"]: r["fold"] for r in spark.read.parquet(at).select("block_id", "fold").toLocalIterator()} if at else None
 
 
 def append_shard(rows: DataFrame, prefix: str) -> None:

@@ -4,8 +4,6 @@ Doubles that are computed are rounded to six places on both sides."""
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
 import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -13,26 +11,8 @@ from pyspark.sql import functions as F
 from terrafold.functions import geo
 from terrafold.functions import scalars as S
 from terrafold.operators import adapters, crosswalk, dedup, filters, head, manifest, raster, spatial, split, stats
-from terrafold.plans.bindings import BIOME_NAMES, DOY, MONTHS, RINGS, choose, view, with_views
-
-Query = Callable[[SparkSession, str], DataFrame]
-QUERIES: dict[str, Query] = {}
-ORACLES: dict[str, str] = {}
-
-
-def query(oracle: str | None = None) -> Callable[[Query], Query]:
-    def add(f: Query) -> Query:
-        QUERIES[f.__name__] = f
-        if oracle:
-            ORACLES[f.__name__] = with_views(oracle)
-        return f
-
-    return add
-
-
-def r6(x: Column | str) -> Column:
-    return F.round(x, 6)
-
+from terrafold.plans.bindings import BIOME_NAMES, DOY, MONTHS, RINGS, choose, view
+from terrafold.plans.registry import query, r6
 
 def ring_frame(spark: SparkSession, names: tuple[str, ...]) -> DataFrame:
     rows = [(i, [{"x": float(x), "y": float(y)} for x, y in RINGS[n]], BIOME_NAMES.get(n)) for i, n in enumerate(names)]

@@ -5,7 +5,7 @@ import os
 
 import pytest
 
-from terrafold.plans import catalog
+from terrafold.plans import catalog, maps, registry  # noqa: F401
 
 DIR = "/root/testdata/sf0.001"
 pytestmark = pytest.mark.skipif(not os.path.isdir(DIR), reason="no test tables")
@@ -27,14 +27,14 @@ def plain(v):
     return round(float(v), 6) + 0.0 if isinstance(v, float) or type(v).__name__ in ("int", "Decimal", "float64") else str(v)
 
 
-@pytest.mark.parametrize("name", sorted(catalog.QUERIES))
+@pytest.mark.parametrize("name", sorted(registry.QUERIES))
 def test_query(spark, duck, name):
-    df = catalog.QUERIES[name](spark, DIR)
+    df = registry.QUERIES[name](spark, DIR)
     got = df.collect()
-    if name not in catalog.ORACLES:
+    if name not in registry.ORACLES:
         assert got
         return
-    rel = duck.sql(catalog.ORACLES[name])
+    rel = duck.sql(registry.ORACLES[name])
     assert sorted(df.columns) == sorted(rel.columns)
     order = [df.columns.index(c) for c in sorted(df.columns)]
     theirs = [rel.columns.index(c) for c in sorted(rel.columns)]
@@ -44,7 +44,7 @@ def test_query(spark, duck, name):
 
 def test_plans_stay_in_the_jvm(spark):
     """Label queries: filters reach the files, and no Python runs."""
-    plan = catalog.QUERIES["labels_filter_full"](spark, DIR)._jdf.queryExecution().toString()
+    plan = registry.QUERIES["labels_filter_full"](spark, DIR)._jdf.queryExecution().toString()
     assert "PushedFilters: [In(event_type" in plan or "PushedFilters: [IsNotNull(event_type)" in plan or "In(event_type" in plan
     for name in ("labels_filter_full", "thin_20m", "biome_left_join", "scl_masked_median", "month_subset", "maha_ood"):
-        assert "Python" not in catalog.QUERIES[name](spark, DIR)._jdf.queryExecution().toString()
+        assert "Python" not in registry.QUERIES[name](spark, DIR)._jdf.queryExecution().toString()

@@ -6,7 +6,7 @@ import os
 import pytest
 
 from terrafold.operators import adapters, head, spatial
-from terrafold.plans import catalog
+from terrafold.plans import catalog, registry
 
 DIR = "/root/testdata/sf0.001"
 pytestmark = pytest.mark.skipif(not os.path.isdir(DIR), reason="no test tables")
@@ -14,7 +14,7 @@ pytestmark = pytest.mark.skipif(not os.path.isdir(DIR), reason="no test tables")
 
 def test_every_part_is_blended(spark):
     parts = spark.read.parquet(f"{DIR}/part.parquet").select("p_partkey").distinct().count()
-    got = catalog.QUERIES["taper_blend"](spark, DIR)
+    got = registry.QUERIES["taper_blend"](spark, DIR)
     assert got.select("id").distinct().count() == parts and got.count() == parts * 112
 
 
@@ -29,8 +29,8 @@ def test_every_observation_has_a_side(spark, monkeypatch):
 
     monkeypatch.setattr(spatial, "away_from", spy)
     monkeypatch.setattr(adapters, "sanlc", lambda points, biomes, store: sides.append((points.count(), store.count())) or store.selectExpr("obs_id", "'' AS species", "taxon_rank", "event_date"))
-    catalog.QUERIES["iap_anti_distance"](spark, DIR)
-    catalog.QUERIES["sanlc_rows"](spark, DIR)
+    registry.QUERIES["iap_anti_distance"](spark, DIR)
+    registry.QUERIES["sanlc_rows"](spark, DIR)
     assert [a + b for a, b in sides] == [total, total] and all(b > total / 2 for _, b in sides)
 
 
@@ -44,5 +44,5 @@ def test_head_is_fitted_to_its_end(spark, monkeypatch):
         return train(*a, **b)
 
     monkeypatch.setattr(head, "train", spy)
-    assert catalog.QUERIES["train_head"](spark, DIR).count() == catalog.view(spark, DIR, "labelled").where("fold = 'test'").count()
+    assert registry.QUERIES["train_head"](spark, DIR).count() == catalog.view(spark, DIR, "labelled").where("fold = 'test'").count()
     assert [(x.arguments["epochs"], x.arguments["patience"]) for x in asked] == [(500, 60)]

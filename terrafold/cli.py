@@ -74,25 +74,37 @@ def labels_bioscape_ingest(spark: SparkSession, a: argparse.Namespace) -> DataFr
 
 def labels_mapwaps_ingest(spark: SparkSession, a: argparse.Namespace) -> DataFrame:
     spark.dataSource.register(files.ShapefileSource)
+    survey = adapters.CATCHMENTS[a.catchment]
+    if survey.src_zone is None and files.declared_crs(a.points) is None:
+        raise ValueError(f"{a.points} declares no projection, and none is known for {a.catchment}")
     points = spark.read.format("shapefile").load(a.points).withColumn("row", F.monotonically_increasing_id())
-    return _upsert(spark, a, [adapters.mapwaps(points, adapters.CATCHMENTS[a.catchment])], a.catchment)
+    return _upsert(spark, a, [adapters.mapwaps(points, survey)], a.catchment)
 
 
 def labels_sanlc_ingest(spark: SparkSession, a: argparse.Namespace) -> DataFrame:
     spark.dataSource.register(files.ShapefileSource)
     parts = []
     for year, path in (p.split("=", 1) for p in a.points):
-        shp = spark.read.format("shapefile").load(path)
+        shp = spark.read.format("shapefile").load(files.shapefile_in(path))
         name = "Acc_Cls_Na" if "Acc_Cls_Na" in shp.columns else "Class_name"
         parts.append(shp.select(F.lit(int(year)).alias("year"), F.col(name).alias("cname"), F.col("x").alias("lon"), F.col("y").alias("lat")))
     points = parts[0]
     for p in parts[1:]:
         points = points.unionByName(p)
     points = filters.clip(points.withColumn("obs_id", F.monotonically_increasing_id().cast("string")), files.read_geojson(spark, a.aoi), boundary=False)
-    biomes = files.read_geojson(spark, a.biomes).withColumn("T_BIOME", F.get_json_object("properties", "$.T_BIOME")).drop("properties")
+    biomes = _biomes(spark, a.biomes, points)
     return _upsert(spark, a, [adapters.sanlc(points, biomes, Store(spark, a.root).read())], "sanlc_accuracy_points")
 
 
+def _biomes(spark: SparkSession, path: str, points: DataFrame) -> DataFrame:
+    """order, ring and T_BIOME of the polygons near the points, of a shapefile in degrees or of GeoJSON."""
+    if path.endswith(".shp"):
+        box = points.agg(F.min("lon"), F.min("lat"), F.max("lon"), F.max("lat")).first()
+        near = spark.read.format("shapefile").option("columns", "T_BIOME").option("bbox", ",".join(str(v) for v in box) if box[0] is not None else "0,0,0,0")
+        return near.load(path).where("ring is not null").withColumn("order", F.monotonically_increasing_id())
+    return files.read_geojson(spark, path).withColumn("T_BIOME", F.get_json_object("properties", "$.T_BIOME")).drop("properties")
+
+
 def _upsert(spark: SparkSession, a: argparse.Namespace, parts: list[DataFrame], dataset: str) -> DataFrame:
     from terrafold.sources.store import run_id
 

@@ -2,7 +2,7 @@
 
 Means, deviations, class means and covariances come from partial sums (D and D x D numbers a task), so
 those parts take any number of rows. The optimiser needs the training rows in one place, as its rule of
-early stopping is sequential; `max_rows` bounds them and more is an error."""
+early stopping is sequential; `max_bytes` bounds them and more is an error."""
 
 from __future__ import annotations
 
@@ -148,11 +148,12 @@ def loss_weights(counts: np.ndarray, scheme: str) -> np.ndarray:
     return np.maximum(counts, 1.0) ** -SCHEMES.get(scheme, 0.0)
 
 
-def train(df: DataFrame, arch: str = "linear", weight: str = "balanced", hidden: int = 256, epochs: int = 500, lr: float = 0.05, decay: float = 1e-4, patience: int = 60, seed: int = 42, max_rows: int = 2_000_000) -> Head:
+def train(df: DataFrame, arch: str = "linear", weight: str = "balanced", hidden: int = 256, epochs: int = 500, lr: float = 0.05, decay: float = 1e-4, patience: int = 60, seed: int = 42, max_bytes: int = 1 << 30) -> Head:
     """df: embedding, label, fold (train, val, test). Full-batch Adam; the weights of the best validation macro-F1 stay."""
     rows = df.where("label is not null and fold is not null").select("embedding", "label", "fold")
-    if rows.limit(max_rows + 1).count() > max_rows:
-        raise ValueError(f"more than {max_rows} rows to fit; sample them first")
+    n, dim = rows.agg(F.count(F.lit(1)), F.max(F.size("embedding"))).first()
+    if n * (dim or 0) * 8 > max_bytes:
+        raise ValueError(f"{n} embeddings of {dim} doubles are more than {max_bytes} bytes; sample them first")
     pdf = rows.toPandas()
     classes = sorted(int(c) for c in pdf["label"].unique())
     index = {c: i for i, c in enumerate(classes)}

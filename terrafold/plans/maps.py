@@ -119,6 +119,17 @@ def tta_map(spark, d):
     return inference.blend_map(inference.predict_windows(tiles, score, views=8), [3, 5])
 
 
+_CENTRES = "SELECT l_suppkey AS raster, 300005e0 + 1e1 * (l_linenumber % 5) AS x, 6239995e0 - 2e1 * (CAST(l_quantity AS INT) % 10) AS y FROM lineitem"
+
+
+@query(
+    f"SELECT raster, x0 - (x1 - x0) / nullif(w - 1, 0) / 2 AS west, y1 + (y1 - y0) / nullif(h - 1, 0) / 2 AS north, (x1 - x0) / nullif(w - 1, 0) AS dx, (y1 - y0) / nullif(h - 1, 0) AS dy, w AS width, h AS height "
+    f"FROM (SELECT raster, min(x) AS x0, max(x) AS x1, min(y) AS y0, max(y) AS y1, count(DISTINCT x) AS w, count(DISTINCT y) AS h FROM ({_CENTRES}) GROUP BY raster)"
+)
+def affine_from_centres(spark, d):
+    return raster.pixel_grid(table(spark, d, _CENTRES), ["raster"])
+
+
 #: A part is a pixel of a UTM raster that is 64 wide; a customer is a place in and around it, off the pixels' edges.
 _PLACES = "SELECT c_custkey, 300003e0 + 1e1 * (c_custkey * 29 % 70) AS sx, 6239997e0 - 1e1 * (c_custkey * 13 % 40) AS sy FROM customer"
 _RASTER = "SELECT CAST(floor(p_partkey / 64) AS INT) AS y, CAST(p_partkey % 64 AS INT) AS x, CAST(p_size AS INT) AS class_id, CAST(p_partkey % 101 AS INT) AS confidence, CAST(p_partkey % 7 AS INT) AS ood FROM part"

@@ -56,7 +56,8 @@ def read_geojson(spark: SparkSession, path: str) -> DataFrame:
 
 class ShapefileSource(DataSource):
     """`spark.read.format("shapefile").load(path)`: x and y of points, or the rings of a polygon, a null
-    between them, and the attributes as text. Options: columns, a comma list of attributes to read."""
+    between them, and the attributes as text. Options: columns, a comma list of attributes to read; bbox (four numbers, in the file's own
+    coordinates), beyond which polygons are skipped."""
 
     @classmethod
     def name(cls) -> str:
@@ -70,7 +71,23 @@ class ShapefileSource(DataSource):
         return ", ".join([shape, *(f"`{n}` string" for n in names)])
 
     def reader(self, schema) -> DataSourceReader:
-        return _ShapefileReader(self.options["path"], schema)
+        return _ShapefileReader(self.options["path"], schema, self.options.get("bbox"))
+
+
+def declared_crs(path: str) -> str | None:
+    """The projection that a shapefile states, as text; None where it states none."""
+    prj = Path(path).with_suffix(".prj")
+    return prj.read_text().strip() or None if prj.exists() else None
+
+
+def shapefile_in(path: str) -> str:
+    """A shapefile by name, or the first one of a folder that isn't about data integrity."""
+    if not Path(path).is_dir():
+        return path
+    found = sorted(p for p in Path(path).glob("*.shp") if "integrity" not in p.name.lower())
+    if not found:
+        raise FileNotFoundError(f"no shapefile of points in {path}")
+    return str(found[0])
 
 
 def _header(path: str) -> tuple[int, list[tuple[str, int]]]:
@@ -91,8 +108,15 @@ class _ShapefileReader(DataSourceReader):
 
     ROWS = 50_000
 
-    def __init__(self, path: str, schema):
+    def __init__(self, path: str, schema, bbox: str | None = None):
         self.path, self.names = path, schema.names
+        self.bbox = tuple(float(v) for v in bbox.split(",")) if bbox else None
+
+    def _near(self, raw: bytes, kind: int) -> bool:
+        if self.bbox is None or kind in (1, 11, 21) or len(raw) < 36:
+            return True
+        x0, y0, x1, y1 = struct.unpack("<4d", raw[4:36])
+        return x0 <= self.bbox[2] and x1 >= self.bbox[0] and y0 <= self.bbox[3] and y1 >= self.bbox[1]
 
     def partitions(self) -> list[InputPartition]:
         n = struct.unpack("<I", Path(self.path).with_suffix(".dbf").read_bytes()[4:8])[0]
@@ -108,7 +132,10 @@ class _ShapefileReader(DataSourceReader):
             dbf.seek(head + lo * width)
             for at, size in places.tolist():
                 shp.seek(at + 8)
-                shape, row = _shape(shp.read(size), kind), dbf.read(width)
+                raw, row = shp.read(size), dbf.read(width)
+                if not self._near(raw, kind):
+                    continue
+                shape = _shape(raw, kind)
                 pos, values = 1, []
                 for name, length in fields:
                     if name in self.names:

@@ -8,7 +8,9 @@ from pyspark.sql import functions as F
 
 from terrafold import cli
 from terrafold.operators import filters, spatial
+from terrafold.schema import OBSERVATION
 from terrafold.sources import files
+from terrafold.sources.store import Store
 
 OUTER = [(18.0, -34.0), (22.0, -34.0), (22.0, -30.0), (18.0, -30.0), (18.0, -34.0)]
 HOLE = [(19.0, -33.0), (21.0, -33.0), (21.0, -31.0), (19.0, -31.0), (19.0, -33.0)]
@@ -53,27 +55,58 @@ def test_an_outline_of_many_vertices(spark):
     assert got == {r.obs_id for r in points.collect() if math.hypot(r.lon - 20, r.lat + 32) < 1}
 
 
-def test_shapefile_rings(spark, places, tmp_path):
-    def record(*rings):
-        starts = [sum(map(len, rings[:i])) for i in range(len(rings))]
-        points = [p for r in rings for p in r]
-        return struct.pack("<i4d2i", 5, 0, 0, 0, 0, len(rings), len(points)) + struct.pack(f"<{len(rings)}i", *starts) + b"".join(struct.pack("<2d", *p) for p in points)
+def record(*rings):
+    starts, points = [sum(map(len, rings[:i])) for i in range(len(rings))], [p for r in rings for p in r]
+    box = (min(x for x, _ in points), min(y for _, y in points), max(x for x, _ in points), max(y for _, y in points))
+    return struct.pack("<i4d2i", 5, *box, len(rings), len(points)) + struct.pack(f"<{len(rings)}i", *starts) + b"".join(struct.pack("<2d", *p) for p in points)
+
 
-    bodies, names = [record(OUTER, HOLE, ISLE), struct.pack("<i", 0)], ["a", "b"]
+def write_shapefile(path, kind, bodies, field, names):
     records, index, at = b"", b"", 100
     for i, body in enumerate(bodies, 1):
         index += struct.pack(">2i", at // 2, len(body) // 2)
         records += struct.pack(">2i", i, len(body) // 2) + body
         at += 8 + len(body)
-    head = struct.pack("<i", 9994) + b"\0" * 28 + struct.pack("<i", 5) + b"\0" * 64
-    (tmp_path / "p.shp").write_bytes(head + records)
-    (tmp_path / "p.shx").write_bytes(head + index)
-    dbf = struct.pack("<4BIHH20x", 3, 124, 1, 1, 2, 65, 13) + b"N".ljust(11, b"\0") + b"C" + b"\0" * 4 + bytes([12, 0]) + b"\0" * 14 + b"\r"
-    (tmp_path / "p.dbf").write_bytes(dbf + b"".join(b" " + n.encode().ljust(12) for n in names))
+    head = struct.pack("<i", 9994) + b"\0" * 28 + struct.pack("<i", kind) + b"\0" * 64
+    path.with_suffix(".shp").write_bytes(head + records)
+    path.with_suffix(".shx").write_bytes(head + index)
+    dbf = struct.pack("<4BIHH20x", 3, 124, 1, 1, len(names), 65, 1 + 30) + field.encode().ljust(11, b"\0") + b"C" + b"\0" * 4 + bytes([30, 0]) + b"\0" * 14 + b"\r"
+    path.with_suffix(".dbf").write_bytes(dbf + b"".join(b" " + n.encode().ljust(30) for n in names))
+    return str(path)
+
+
+def test_shapefile_rings(spark, places, tmp_path):
+    at = write_shapefile(tmp_path / "p.shp", 5, [record(OUTER, HOLE, ISLE), struct.pack("<i", 0), record([(60.0, 1.0), (61.0, 1.0), (61.0, 2.0), (60.0, 1.0)])], "N", ["a", "b", "c"])
     spark.dataSource.register(files.ShapefileSource)
-    shapes = spark.read.format("shapefile").load(str(tmp_path / "p.shp"))
-    assert {r.N: r.ring is None for r in shapes.collect()} == {"a": False, "b": True}
+    shapes = spark.read.format("shapefile").load(at)
+    assert {r.N: r.ring is None for r in shapes.collect()} == {"a": False, "b": True, "c": False}
     assert {r.obs_id for r in filters.clip(places, shapes.where("ring is not null"), False).collect()} == {"in", "isle"}
+    assert {r.N for r in spark.read.format("shapefile").option("bbox", "17,-35,27,-29").load(at).where("ring is not null").collect()} == {"a"}
+
+
+def test_accuracy_points_from_folders(spark, tmp_path):
+    """The folder's points, not its integrity file; biomes of a shapefile; points out of the area and in holes go."""
+    def point(x, y):
+        return struct.pack("<i2d", 1, x, y)
+
+    (tmp_path / "2020").mkdir()
+    write_shapefile(tmp_path / "2020" / "a_integrity.shp", 1, [point(18.5, -32.0)], "Class_name", ["Mines"])
+    write_shapefile(tmp_path / "2020" / "points.shp", 1, [point(18.5, -32.0), point(18.6, -32.0), point(20.0, -32.0), point(50.0, 3.0)], "Class_name", ["Mines", "Mangrove Wetlands", "Mines", "Mines"])
+    biomes = write_shapefile(tmp_path / "veg.shp", 5, [record(OUTER)], "T_BIOME", ["Fynbos"])
+    aoi = geojson(tmp_path / "aoi.geojson", [OUTER, HOLE])
+    a = cli.parser().parse_args(["labels-sanlc-ingest", "--root", str(tmp_path / "s"), "--points", f"2020={tmp_path / '2020'}", "--aoi", aoi, "--biomes", biomes])
+    Store(spark, a.root).upsert(spark.createDataFrame([], OBSERVATION), "mapwaps_tugela")
+    assert [r.n for r in a.run(spark, a).collect()] == [2]
+    (tmp_path / "none").mkdir()
+    with pytest.raises(FileNotFoundError):
+        files.shapefile_in(str(tmp_path / "none"))
+
+
+def test_a_survey_without_a_projection(spark, tmp_path):
+    at = write_shapefile(tmp_path / "t.shp", 1, [struct.pack("<i2d", 1, 30.0, -29.0)], "LULC_Class", ["Alien_Pine"])
+    a = cli.parser().parse_args(["labels-mapwaps-ingest", "--root", str(tmp_path / "s"), "--points", at, "--catchment", "mapwaps_tugela"])
+    with pytest.raises(ValueError, match="projection"):
+        a.run(spark, a)
 
 
 def test_grid_leaves_holes_out(spark, tmp_path):

@@ -21,14 +21,21 @@ def scenes_for(windows: DataFrame, catalog: DataFrame, cloud_max: float, most: i
         & (F.col("s_miny") <= F.col("maxy"))
         & (F.col("s_maxy") >= F.col("miny"))
     )
-    # an equi-key on the calendar month keeps this a hash join; a window spans at most three of them
+    # equal keys, the calendar month and square cells of a degree, keep this a hash join of near things; a window spans
+    # at most three months and a scene a few cells
     months = F.sequence(F.trunc("win_start", "month"), F.trunc("win_end", "month"), F.expr("interval 1 month"))
-    keyed = windows.withColumn("_month", F.explode(months))
-    met = keyed.join(catalog.withColumn("_month", F.trunc("day", "month")), "_month").where(overlap)
+    keyed = _cells(windows.withColumn("_month", F.explode(months)), "minx", "maxx", "miny", "maxy")
+    met = keyed.join(_cells(catalog.withColumn("_month", F.trunc("day", "month")), "s_minx", "s_maxx", "s_miny", "s_maxy"), ["_month", "_cx", "_cy"]).where(overlap)
     found = met.select("group", "month_label", "scene", "cloud").distinct()
     return found if most is None else clearest_scenes(found, ["group", "month_label"], most)
 
 
+def _cells(df: DataFrame, x0: str, x1: str, y0: str, y1: str) -> DataFrame:
+    """A row for each square cell of a degree that a box touches."""
+    df = df.withColumn("_cx", F.explode(F.sequence(F.floor(x0), F.floor(x1))))
+    return df.withColumn("_cy", F.explode(F.sequence(F.floor(y0), F.floor(y1))))
+
+
 def extract(
     points: DataFrame, pixels: DataFrame, x0: float, y0: float, dx: float, dy: float, width: int, height: int, size: int = 64, least: float = 0.5, by: tuple[str, ...] = ("month_label",)
 ) -> DataFrame:

@@ -6,6 +6,8 @@ early stopping is sequential; `max_bytes` bounds them and more is an error."""
 
 from __future__ import annotations
 
+import json
+from collections.abc import Callable
 from dataclasses import dataclass, field
 
 import numpy as np
@@ -19,10 +21,20 @@ def feature_moments(df: DataFrame, emb: str = "embedding") -> DataFrame:
     return rows.groupBy("pos").agg(F.avg("v").alias("mean"), (F.stddev_pop("v") + 1e-6).alias("sd"))
 
 
+def constant(values: np.ndarray | list) -> Column:
+    """A vector or matrix as one literal, which stays small in the plan while it is built."""
+    values = np.asarray(values, float)
+    return F.from_json(F.lit(json.dumps(values.tolist())), "array<double>" if values.ndim == 1 else "array<array<double>>")
+
+
+def once(value: Column, f: Callable[[Column], Column]) -> Column:
+    """f of a value that is computed once, however often f names it."""
+    return F.transform(F.array(value), f)[0]
+
+
 def standardise(emb: Column | str, mean: list[float], sd: list[float]) -> Column:
     e = F.col(emb) if isinstance(emb, str) else emb
-    m, s = (F.array(*[F.lit(float(x)) for x in v]) for v in (mean, sd))
-    return F.transform(F.arrays_zip(e.alias("e"), m.alias("m"), s.alias("s")), lambda z: (z["e"] - z["m"]) / z["s"])
+    return F.zip_with(F.zip_with(e, constant(mean), lambda v, m: v - m), constant(sd), lambda v, s: v / s)
 
 
 def dot(a: Column, b: Column) -> Column:
@@ -30,23 +42,25 @@ def dot(a: Column, b: Column) -> Column:
 
 
 def linear_scores(x: Column, weights: list[list[float]], bias: list[float]) -> Column:
-    return F.array(*[dot(x, F.array(*[F.lit(float(v)) for v in row])) + F.lit(float(b)) for row, b in zip(weights, bias, strict=True)])
+    return F.zip_with(once(x, lambda v: F.transform(constant(weights), lambda row: dot(v, row))), constant(bias), lambda s, b: s + b)
 
 
 def softmax(scores: Column) -> Column:
-    e = F.transform(scores, lambda s: F.exp(s - F.array_max(scores)))
-    return F.transform(e, lambda v: v / F.aggregate(e, F.lit(0e0), lambda acc, y: acc + y))
+    e = once(scores, lambda v: once(F.array_max(v), lambda top: F.transform(v, lambda s: F.exp(s - top))))
+    return once(e, lambda v: once(F.aggregate(v, F.lit(0e0), lambda acc, y: acc + y), lambda total: F.transform(v, lambda y: y / total)))
 
 
 def mahalanobis(z: Column, means: list[list[float]], precision: np.ndarray) -> Column:
-    """Least squared distance to the class means under one shared precision matrix."""
-    rows = [F.array(*[F.lit(float(v)) for v in row]) for row in precision]
+    """Least squared distance to the class means under one shared precision matrix, which must be positive definite: it is
+    the plain distance after a product with the matrix's root, so a row meets the matrix once and not once a class."""
+    root = np.linalg.cholesky(np.asarray(precision, float)).T
+    centres = constant(np.asarray(means, float) @ root.T)
+    placed = once(z, lambda v: F.transform(constant(root), lambda row: dot(v, row)))
 
-    def one(mean: list[float]) -> Column:
-        diff = F.zip_with(z, F.array(*[F.lit(float(v)) for v in mean]), lambda a, b: a - b)
-        return dot(F.array(*[dot(diff, row) for row in rows]), diff)
+    def squared(a: Column, b: Column) -> Column:
+        return F.aggregate(F.zip_with(a, b, lambda x, y: (x - y) * (x - y)), F.lit(0e0), lambda acc, v: acc + v)
 
-    return F.array_min(F.array(*[one(m) for m in means]))
+    return once(placed, lambda v: F.array_min(F.transform(centres, lambda m: squared(v, m))))
 
 
 def ood_score(distance: Column, threshold: float) -> Column:

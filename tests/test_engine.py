@@ -281,6 +281,20 @@ def test_head_learns_and_round_trips(spark):
         head.gaussian_fit(df, [0, 1, 2], 8)
 
 
+def test_scores_and_distances_of_wide_vectors(spark):
+    rng = np.random.default_rng(3)
+    dim, k = 200, 5
+    x, means, w, b = rng.normal(size=(20, dim)), rng.normal(size=(k, dim)), rng.normal(size=(k, dim)) / 10, rng.normal(size=k)
+    a = rng.normal(size=(dim, dim)) / 10
+    precision = a @ a.T + np.eye(dim)
+    rows = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "i int, v array<double>")
+    z, mean, sd = F.col("v"), means[0], np.abs(means[1]) + 1
+    got = rows.select("i", head.mahalanobis(z, means, precision).alias("d"), head.softmax(head.linear_scores(z, w, b)).alias("p"), head.standardise("v", mean, sd).alias("s")).orderBy("i").toPandas()
+    want = np.min([(((x - m) @ precision) * (x - m)).sum(1) for m in means], axis=0)
+    scores = np.exp(x @ w.T + b)
+    assert np.allclose(got.d, want) and np.allclose(np.stack(got.p), scores / scores.sum(1, keepdims=True)) and np.allclose(np.stack(got.s), (x - mean) / sd)
+
+
 def test_macro_f1_uses_rounded_values(spark):
     df = spark.createDataFrame([(0, 0)] * 2 + [(0, 1)] + [(1, 1)] * 3, "y_true int, y_pred int")
     got = stats.prf(df, [0, 1, 2]).orderBy("class_id").collect()

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from terrafold.operators.raster import BAD_SCL, chip_status, clearest_scenes, pixel_window
@@ -42,24 +42,36 @@ def extract(
     """A row a point and month: status, valid_frac and, if ok, chip (medians in order of band, row, column).
 
     points: obs_id, month_label, x, y in metres and the columns `by`, one row for each of their values that the window
-    takes (a null takes none). pixels: `by`, scene, band, col, row, value, scl. Windows and pixels meet on cells of 64
-    pixels, so each pixel meets only the windows near it."""
+    takes (a null takes none). pixels: `by`, scene, band, col, row, value, scl. Points on one pixel with the same values of
+    `by` share a window, which is made once. Pixels are dealt by cells of 64 pixels, each to the sets of values that
+    windows on its cell take; a pixel's median is made once a set, and a cell's medians travel as one row to each window on it."""
     window = pixel_window(F.col("x"), F.col("y"), x0, y0, dx, dy, width, height, size)
-    placed = points.withColumns(window)
-    inside = placed.where("not oob").select("obs_id", "month_label", *[b for b in by if b != "month_label"], "col0", "row0")
+    named = F.when(F.forall(F.array(*[F.col(b).isNotNull() for b in by]), lambda known: known), F.struct(*by))
+    placed = points.withColumns(window).groupBy("obs_id", "month_label", "oob", "col0", "row0").agg(F.array_sort(F.collect_set(named)).alias("_by"))
+    placed = placed.withColumns({"_set": F.xxhash64("_by"), "_set2": F.xxhash64(F.lit(1), "_by")})  # 128 bits of the values
+    key = ["_set", "_set2", "col0", "row0"]
+    windows = placed.where("not oob and size(_by) > 0").dropDuplicates(key).select(*key, "_by")
     for axis, cell in (("col0", "_cx"), ("row0", "_cy")):
-        inside = inside.withColumn(cell, F.explode(F.sequence(F.floor(F.col(axis) / CELL), F.floor((F.col(axis) + size - 1) / CELL))))
+        windows = windows.withColumn(cell, F.explode(F.sequence(F.floor(F.col(axis) / CELL), F.floor((F.col(axis) + size - 1) / CELL))))
+    takes = windows.select("_cx", "_cy", "_set", "_set2", F.explode("_by").alias("_v")).distinct()
+    takes = takes.groupBy("_cx", "_cy", "_v").agg(F.collect_list(F.struct("_set", "_set2")).alias("_sets"))
+    takes = takes.groupBy("_cx", "_cy").agg(F.map_from_entries(F.collect_list(F.struct("_v", "_sets"))).alias("_takes"))
     clear = F.when(~F.coalesce(F.col("scl").isin(*BAD_SCL), F.lit(False)) & ~F.isnan("value"), F.col("value"))
     keyed = pixels.select(*by, "band", "col", "row", clear.alias("_v"), F.floor(F.col("col") / CELL).alias("_cx"), F.floor(F.col("row") / CELL).alias("_cy"))
-    met = inside.join(keyed, [*by, "_cx", "_cy"]).where(F.col("col").between(F.col("col0"), F.col("col0") + size - 1) & F.col("row").between(F.col("row0"), F.col("row0") + size - 1))
-    place = [(F.col("row") - F.col("row0")).cast("int").alias("r"), (F.col("col") - F.col("col0")).cast("int").alias("c")]
-    median = met.groupBy("obs_id", "month_label", "band", *place).agg(F.median("_v").cast("float").alias("v"))
-    by_pixel = median.groupBy("obs_id", "month_label", "r", "c").agg(F.bool_and(F.col("v").isNotNull()).alias("_ok"), F.collect_list(F.struct("band", "r", "c", "v")).alias("_b"))
-    chips = by_pixel.groupBy("obs_id", "month_label").agg(
-        (F.sum(F.col("_ok").cast("int")) / F.lit(float(size * size))).alias("valid_frac"),
-        F.transform(F.array_sort(F.flatten(F.collect_list("_b"))), lambda p: F.coalesce(p["v"], F.lit(float("nan")).cast("float"))).alias("chip"),
-    )
-    out = placed.select("obs_id", "month_label", "oob").distinct().join(chips, ["obs_id", "month_label"], "left")
+    taken = keyed.join(takes, ["_cx", "_cy"]).select("_cx", "_cy", "band", "col", "row", "_v", F.explode(F.element_at("_takes", F.struct(*by))).alias("_s"))
+    cell = ["_cx", "_cy", "_set", "_set2"]
+    median = taken.select("*", "_s.*").groupBy(*cell, "band", "col", "row").agg(F.median("_v").cast("float").alias("v"))
+    medians = median.groupBy(*cell).agg(F.collect_list(F.struct("band", F.col("row").alias("r"), F.col("col").alias("c"), "v")).alias("_px"))
+    inside = F.filter("_px", lambda p: p["c"].between(F.col("col0"), F.col("col0") + size - 1) & p["r"].between(F.col("row0"), F.col("row0") + size - 1))
+    met = windows.drop("_by").join(medians, cell).select(*key, inside.alias("_px"))
+    chips = met.groupBy(*key).agg(F.array_sort(F.flatten(F.collect_list("_px"))).alias("_px")).where("size(_px) > 0")
+
+    def places(px: Column) -> Column:
+        return F.size(F.array_distinct(F.transform(px, lambda p: (p["r"] - F.col("row0")) * size + p["c"] - F.col("col0"))))
+
+    valid = (places(F.col("_px")) - places(F.filter("_px", lambda p: p["v"].isNull()))) / F.lit(float(size * size))
+    chips = chips.select(*key, valid.alias("valid_frac"), F.transform("_px", lambda p: F.coalesce(p["v"], F.lit(float("nan")).cast("float"))).alias("chip"))
+    out = placed.drop("_by").join(chips, key, "left")
     status = chip_status(F.col("valid_frac"), F.col("oob"), least)
     return out.select("obs_id", "month_label", status.alias("status"), "valid_frac", F.when(status == "ok", F.col("chip")).alias("chip"))
 

@@ -27,6 +27,27 @@ def test_chips_are_medians_of_clear_pixels(spark):
     assert got["a"].valid_frac == pytest.approx(np.isfinite(want).all(axis=0).mean())
 
 
+def joined_rows(node):
+    """Rows that each join of a plan that has run gave."""
+    name, metrics = node.nodeName(), node.metrics()
+    below = [node.executedPlan()] if name.startswith("Adaptive") else [node.plan()] if "QueryStage" in name else [node.children().apply(i) for i in range(node.children().size())]
+    own = [metrics.apply("numOutputRows").value()] if "Join" in name else []
+    return own + [n for b in below for n in joined_rows(b)]
+
+
+def test_points_on_one_pixel_share_their_window(spark):
+    rows = [("feb", s, b, c, r, float(7 * s + c + r), 4) for s in range(3) for b in ("B02", "B03") for r in range(12) for c in range(12)]
+    pixels = spark.createDataFrame(rows, "month_label string, scene int, band string, col long, row long, value double, scl int")
+    points = spark.createDataFrame([(f"a{i}", "feb", 65.0, 55.0) for i in range(40)] + [("b", "feb", 25.0, 75.0), ("n", None, 65.0, 55.0)], "obs_id string, month_label string, x double, y double")
+    df = chips.extract(points, pixels, 0.0, 120.0, 10.0, -10.0, 12, 12, size=4, least=0.1)
+    got = {r.obs_id: r for r in df.collect()}
+    assert len(got) == 42 and got["n"].status == "no_scene_overlap"
+    for name, c0, r0 in [(f"a{i}", 4, 4) for i in range(40)] + [("b", 0, 2)]:
+        assert got[name].valid_frac == 1.0 and got[name].chip == [7.0 + c + r for _ in range(2) for r in range(r0, r0 + 4) for c in range(c0, c0 + 4)]
+    found = joined_rows(df._jdf.queryExecution().executedPlan())
+    assert found and max(found) <= len(rows)  # each pixel once, not once a point
+
+
 def test_constant_scores_blend_to_themselves(spark):
     data = np.arange(2 * 3 * 20 * 30, dtype=float).ravel().tolist()
     tile = spark.createDataFrame([("t", 20, 30, 2, 3, data)], "tile string, height int, width int, months int, bands int, data array<double>")

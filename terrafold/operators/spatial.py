@@ -83,12 +83,15 @@ def lower_corner(ring: Outline) -> tuple[float, float]:
     return min(p[0] for p in ring if p), min(p[1] for p in ring if p)
 
 
-def assign_blocks(points: DataFrame, blocks: DataFrame, km: float, slack: float = 2.0, origin: tuple[float, float] | None = None) -> DataFrame:
-    """Adds block_id; points in no block, or on an edge between blocks, go. `origin` is the `lower_corner` of the grid's area;
-    without it, a look at the blocks finds it.
-
-    A point's cell comes from its Albers place. Block edges are straight in degrees, so within `slack`
-    metres of a cell's edge the neighbouring cells are candidates too and the block's ring decides."""
+def assign_blocks(points: DataFrame, blocks: DataFrame, km: float, slack: float = 2.0, origin: tuple[float, float] | None = None, straight: str = "degrees") -> DataFrame:
+    """Adds block_id; points in no block go. `origin` is the `lower_corner` of the grid's area; without it, a look at the
+    blocks finds it.
+
+    A point's cell comes from its Albers place. `straight` says where block edges are straight lines. In "degrees", within
+    `slack` metres of a cell's edge the neighbouring cells are candidates too and the block's ring decides; points
+    on an edge between blocks go. In "metres" the cell is the block, and its lower edges belong to it."""
+    if straight not in ("degrees", "metres"):
+        raise ValueError(f"straight: {straight}")
     step = km * 1000.0
     if origin is None:
         low = blocks.agg(F.min("minx"), F.min("miny"), F.min("ix"), F.min("iy")).first()
@@ -97,6 +100,9 @@ def assign_blocks(points: DataFrame, blocks: DataFrame, km: float, slack: float
         origin = (low[0] - low[2] * step, low[1] - low[3] * step)
     x0, y0 = origin
     placed = geo.apply(points, geo.albers("lon", "lat", "ax_", "ay_"))
+    if straight == "metres":
+        at = {n: F.floor((F.col(axis) - base) / step).cast("int") for n, axis, base in (("ix", "ax_", x0), ("iy", "ay_", y0))}
+        return placed.withColumns(at).join(blocks.select("block_id", "ix", "iy"), ["ix", "iy"]).select(*points.columns, "block_id")
 
     def cells(axis: str, base: float) -> Column:
         v = (F.col(axis) - base) / step

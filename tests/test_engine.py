@@ -194,6 +194,16 @@ def test_grid_counts_and_blocks(spark):
     assert spatial.clip_area(square, 5000, -3495000, 30000, -3470000) == pytest.approx(15000 * 15000)
 
 
+def test_blocks_straight_in_metres(spark):
+    """Half way along an edge of 100 km, the chord in degrees lies tens of metres off the line in metres."""
+    square = [(-600000.0, -3700000.0), (-400000.0, -3700000.0), (-400000.0, -3500000.0), (-600000.0, -3500000.0), (-600000.0, -3700000.0)]
+    grid = spatial.grid(spark, square, 100, 0.01)
+    places = [(-550000.0 + 20000 * i, -3600000.0 + off) for i in range(6) for off in (-150.0, -1.0, -0.01, 0.01, 1.0, 150.0)]
+    points = geo.apply(spark.createDataFrame([(k, *p) for k, p in enumerate(places)], "k int, ax double, ay double"), geo.albers_inverse("ax", "ay"))
+    got = {r.k: r.block_id for r in spatial.assign_blocks(points, grid, 100, straight="metres").collect()}
+    assert got == {k: int(x >= -500000) * 2 + int(y >= -3600000) for k, (x, y) in enumerate(places)}
+
+
 # ---- rasters
 
 

@@ -120,14 +120,16 @@ class Swaps:
         self.row, self.gone, self.come = (at[:, i].astype(np.int64) for i in range(3))
         self.new, self.rows, self.features = at[:, 3], rows, features
 
-    def penalty(self, z: np.ndarray, w: np.ndarray) -> tuple[float, np.ndarray, np.ndarray]:
-        """Sum of squared differences of the scores, and its gradients by the rows' sums z and by the weights w directly."""
+    def penalty(self, z: np.ndarray, w: np.ndarray, times: np.ndarray | None = None) -> tuple[float, np.ndarray, np.ndarray]:
+        """Sum of squared differences of the scores, and its gradients by the rows' sums z and by the weights w directly.
+        times: how often each row counts, once if none."""
         s = sigmoid(z[self.row])
         t = sigmoid(z[self.row] - w[self.gone] + self.new * w[self.come])
-        gap, up, down = 2 * (s - t), s * (1 - s), t * (1 - t)
+        often = np.ones(len(self.row)) if times is None else times[self.row]
+        gap, up, down = 2 * often * (s - t), s * (1 - s), t * (1 - t)
         by_row = np.bincount(self.row, gap * (up - down), self.rows)
         by_weight = np.bincount(self.gone, gap * down, self.features) - np.bincount(self.come, gap * down * self.new, self.features)
-        return float(((s - t) ** 2).sum()), by_row, by_weight
+        return float((often * (s - t) ** 2).sum()), by_row, by_weight
 
 
 def likelihood_ratio(bad: np.ndarray, count: np.ndarray, toxic: float, rows: int) -> np.ndarray:
@@ -148,28 +150,35 @@ def chosen_words(words: np.ndarray, count: np.ndarray, bad: np.ndarray, distinct
     return np.unique(np.concatenate([words[best[strength[best] > 0]], *(word_keys(list(kind)) for kind in IDENTITY)]))
 
 
-def descend(keys: np.ndarray, doc: np.ndarray, col: np.ndarray, toxic: np.ndarray, l2: float, penalty: float, steps: int) -> Model:
-    """Adam over the whole sample. doc, col: which row has which of the words `keys`."""
+def descend(keys: np.ndarray, doc: np.ndarray, col: np.ndarray, toxic: np.ndarray, l2: float, penalty: float, steps: int, times: np.ndarray | None = None) -> Model:
+    """Adam over the whole sample. doc, col: which row has which of the words `keys`. times: of how many texts with the same
+    words each row stands, of which `toxic` are toxic; one each if none."""
+    times = np.ones(len(toxic)) if times is None else times
+    total = times.sum()
     swaps = Swaps(doc, col, [np.searchsorted(keys, word_keys(list(kind))) for kind in IDENTITY], len(toxic), len(keys))
     w, m, v = np.zeros(len(keys) + 1), np.zeros(len(keys) + 1), np.zeros(len(keys) + 1)
-    w[-1] = prior(toxic)
+    w[-1] = log_odds(toxic.sum(), total)
     for t in range(1, steps + 1):
         z = np.bincount(doc, w[col], len(toxic)) + w[-1]
-        err = sigmoid(z) - toxic
-        _, by_row, by_weight = swaps.penalty(z, w)
+        err = times * sigmoid(z) - toxic
+        _, by_row, by_weight = swaps.penalty(z, w, times)
         err += penalty * by_row
-        grad = np.append(np.bincount(col, err[doc], len(keys)) + penalty * by_weight, err.sum()) / len(toxic)
+        grad = np.append(np.bincount(col, err[doc], len(keys)) + penalty * by_weight, err.sum()) / total
         grad[:-1] += l2 * w[:-1]
         m, v = 0.9 * m + 0.1 * grad, 0.999 * v + 0.001 * grad**2
         w -= 0.1 * (m / (1 - 0.9**t)) / (np.sqrt(v / (1 - 0.999**t)) + 1e-8)
     return Model(keys, w[:-1], float(w[-1]))
 
 
-def prior(toxic: np.ndarray) -> float:
-    share = (toxic.sum() + 1) / (len(toxic) + 2)
+def log_odds(toxic: float, rows: float) -> float:
+    share = (toxic + 1) / (rows + 2)
     return float(np.log(share / (1 - share)))
 
 
+def prior(toxic: np.ndarray) -> float:
+    return log_odds(toxic.sum(), len(toxic))
+
+
 def one_class(toxic: np.ndarray) -> bool:
     return not len(toxic) or toxic.min() == toxic.max()
 
@@ -201,19 +210,33 @@ def train(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS, mi
                 yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("bad"), words], names=["doc_id", "bad", "words"])
 
     found = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").select("doc_id", (F.col("bad") > 0).cast("double").alias("bad"), "text")
-    rows = cut(found.mapInArrow(step, "doc_id bigint, bad double, words array<bigint>").withColumn("row", F.monotonically_increasing_id()))
-    labelled = rows.select("row", "bad").orderBy("row").toArrow()
-    number, toxic = labelled["row"].to_numpy(), labelled["bad"].to_numpy()
+    rows = cut(found.mapInArrow(step, "doc_id bigint, bad double, words array<bigint>"))
+    toxic = rows.select("bad").toArrow()["bad"].to_numpy()
     if one_class(toxic):
         return Model(np.zeros(0, U64), np.zeros(0), prior(toxic))
-    seen = rows.select("row", "bad", F.explode("words").alias("word"))
+    seen = rows.select("bad", F.explode("words").alias("word"))
     counts = cut(seen.groupBy("word").agg(F.count(F.lit(1)).alias("n"), F.sum("bad").alias("bad")))
     often = counts.where(F.col("n") >= min_rows).toArrow()  # at most the sample's words over min_rows
     words = often["word"].to_numpy().view(U64)
     keys = chosen_words(words, often["n"].to_numpy(), often["bad"].to_numpy(), counts.count(), toxic.sum(), len(toxic), min_rows, features)
-    names = docs.sparkSession.createDataFrame(list(zip(keys.view(np.int64).tolist(), range(len(keys)), strict=True)), "word bigint, col int")
-    has = seen.join(F.broadcast(names), "word").select("row", "col").orderBy("row", "col").toArrow()  # at most rows times words of the model
-    return descend(keys, np.searchsorted(number, has["row"].to_numpy()), has["col"].to_numpy().astype(np.int64), toxic, l2, penalty, steps)
+    held = docs.sparkSession.sparkContext.broadcast(keys)
+
+    def known(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            lists = batch.column("words")
+            flat, of = lists.flatten().to_numpy(zero_copy_only=False).view(U64), np.repeat(np.arange(len(batch)), lists.value_lengths().to_numpy())
+            at = np.minimum(np.searchsorted(held.value, flat), len(held.value) - 1)
+            hit = held.value[at] == flat
+            order = np.lexsort((at[hit], of[hit]))
+            bounds = np.concatenate([[0], np.cumsum(np.bincount(of[hit], minlength=len(batch)))])
+            yield pa.RecordBatch.from_arrays([batch.column("bad"), pa.ListArray.from_arrays(pa.array(bounds, pa.int32()), pa.array(at[hit][order].astype(np.int32)))], names=["bad", "cols"])
+
+    # texts with the same of these words are one row; at most rows of the sample times words of the model
+    alike = rows.select("bad", "words").mapInArrow(known, "bad double, cols array<int>").groupBy("cols").agg(F.count(F.lit(1)).alias("n"), F.sum("bad").alias("bad"))
+    has = alike.orderBy("cols").toArrow()
+    cols = has["cols"].combine_chunks()
+    doc, col = np.repeat(np.arange(len(cols)), cols.value_lengths().to_numpy()), cols.flatten().to_numpy().astype(np.int64)
+    return descend(keys, doc, col, has["bad"].to_numpy(), l2, penalty, steps, has["n"].to_numpy().astype(float))
 
 
 def score(docs: DataFrame, model: Model) -> DataFrame:

@@ -89,6 +89,18 @@ def test_training_in_the_cluster_gives_the_plain_fit(spark):
     assert (got.keys == want.keys).all() and np.allclose(got.weights, want.weights, atol=1e-6) and abs(got.bias - want.bias) < 1e-6
 
 
+def test_copies_are_one_row_of_the_fit(spark, monkeypatch):
+    rows, labels = corpus(random.Random(13), 300)
+    rows += [(300 + i, rows[3][1] + " women") for i in range(200)]  # copies, some of them toxic
+    labels += [(300 + i, int(i % 4 == 0), 1) for i in range(200)]
+    known = spark.createDataFrame(labels, "doc_id long, toxic int, quality int")
+    want, plain, sizes = X.fit(*as_rows(rows, labels)), X.descend, []
+    monkeypatch.setattr(X, "descend", lambda keys, doc, col, toxic, *more: sizes.append((len(toxic), len(col))) or plain(keys, doc, col, toxic, *more))
+    got, texts = X.train(documents(spark, rows), known), [t.encode() for _, t in rows]
+    assert (got.keys == want.keys).all() and np.allclose(got.scores(texts), want.scores(texts), atol=1e-3)  # sums in another order
+    assert sizes and sizes[0][0] <= 301
+
+
 def as_rows(rows, labels):
     doc, key = X.presence([t.encode() for _, t in rows])
     return np.split(key, np.cumsum(np.bincount(doc, minlength=len(rows)))[:-1]), np.array([x[1] for x in labels], float)

@@ -11,7 +11,8 @@ to the smaller vec_id.
 A task gets a block: the buckets of one first axis, split by the second axis and then by a hash of the id into
 parts of about `chunk_rows` rows; buckets of over four times their even size (and 256 rows) are blocks of their own,
 split by the hash. A query goes once to each block with buckets that it probes, and says which; only those are scored, by a
-matrix product for each second axis, and each query's best `k` leave the block, not its pairs. A query that meets
+matrix product for each second axis, and each query's best `k` leave the block, not its pairs. Their scores are summed
+row by row, so they don't depend on the blocks, which follow from the number of rows. A query that meets
 fewer than `k` candidates is put to all buckets of the first table, which hold every row once, so its answer is then
 exact.
 
@@ -33,7 +34,7 @@ from pyspark.sql import functions as F
 
 from terrafold.llm.common import bounded, cut
 
-K, TABLES, CHUNK_ROWS, HEAVY_ROWS, SEED = 5, 8, 4096, 256, 7
+K, TABLES, CHUNK_ROWS, HEAVY_ROWS, SEED, ROUNDING = 5, 8, 4096, 256, 7, 1e-12
 _RESULT = "query_id bigint, vec_id bigint, score double"
 
 
@@ -212,25 +213,21 @@ def best_in_block(dim: int, k: int):
                     if len(here):
                         score[np.ix_(here, mine)] = y[here] @ x[mine].T
                 score[who[:, None] == ids[None, :]] = -np.inf
-                if len(head) < len(ids):
-                    score = np.maximum.reduceat(score, head, axis=1)
-                one = ids[head]
-                top = np.argsort(-score, axis=1, kind="stable")[:, : k + 1] if score.shape[1] <= 4 * k else _top(score, k)
-                for i, cols in enumerate(top):
-                    for c in cols:
-                        if score[i, c] > -np.inf:
-                            q.append(int(who[i])), v.append(int(one[c])), s.append(float(score[i, c]))
+                by_id = np.maximum.reduceat(score, head, axis=1) if len(head) < len(ids) else score
+                last = np.partition(by_id, -k, axis=1)[:, -k] if by_id.shape[1] > k else np.full(len(who), -np.inf)
+                for i in range(len(who)):  # a product's last bits vary with its shape, so what comes near the k-th is summed anew, row by row
+                    near = np.flatnonzero((score[i] > -np.inf) & (score[i] >= last[i] - ROUNDING))
+                    cosine = (x[near] * y[i]).sum(axis=1)
+                    order = np.lexsort((ids[near], -cosine))
+                    best = order[np.sort(np.unique(ids[near][order], return_index=True)[1])[:k]]
+                    q += [int(who[i])] * len(best)
+                    v += ids[near][best].tolist()
+                    s += cosine[best].tolist()
         return pa.table({"query_id": pa.array(q, pa.int64()), "vec_id": pa.array(v, pa.int64()), "score": pa.array(s, pa.float64())})
 
     return step
 
 
-def _top(score: np.ndarray, k: int) -> list[np.ndarray]:
-    """Columns of each row's k largest scores, with all that tie with the last of them."""
-    last = np.partition(score, -k, axis=1)[:, -k]
-    return [np.flatnonzero(row >= x)[np.argsort(-row[row >= x], kind="stable")][:k] for row, x in zip(score, last, strict=True)]
-
-
 def search(vectors: DataFrame, queries: DataFrame, k: int = K, tables: int = TABLES, probes: int | None = None, chunk_rows: int = CHUNK_ROWS) -> DataFrame:
     """query_id, rank, vec_id, score. Both inputs have vec_id and embedding. probes: buckets a table, by `probe_rule` if none."""
     spark = vectors.sparkSession

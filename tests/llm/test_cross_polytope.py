@@ -1,4 +1,5 @@
 import numpy as np
+import pyarrow as pa
 
 from terrafold.llm import cross_polytope as C
 
@@ -100,6 +101,29 @@ def test_an_id_with_many_vectors_is_one_candidate(spark):
     assert got[0][0] == 1 and len(set(got[0])) == 5
 
 
+def test_scores_do_not_depend_on_the_blocks():
+    rng = np.random.default_rng(3)
+    x = rng.normal(size=(900, 64)).astype(np.float32).astype(float)
+    x[450:] = x[:450]  # two ids for each vector
+    every = np.packbits(np.ones(8, bool)).tobytes()
+    asked = np.arange(0, 400, 7)
+    queries = pa.table({"vec_id": asked + 10_000, "emb": list(x[asked]), "probed": [every] * len(asked)})
+
+    def met(ids):
+        out = C.best_in_block(64, 6)(pa.table({"vec_id": ids, "emb": list(x[ids]), "second": np.zeros(len(ids), np.int32)}), queries)
+        return dict(zip(zip(out["query_id"].to_pylist(), out["vec_id"].to_pylist(), strict=True), out["score"].to_pylist(), strict=True))
+
+    whole = met(np.arange(900))
+    for q in asked + 10_000:
+        ranked = sorted((-score, v) for (w, v), score in whole.items() if w == q)
+        assert [v + 450 for _, v in ranked[::2]] == [v for _, v in ranked[1::2]]  # equal vectors have equal scores
+    for parts in (2, 3, 7, 50):
+        merged = {}
+        for p in range(parts):
+            merged |= met(np.arange(p, 900, parts))
+        assert all(merged[pair] == score for pair, score in whole.items())
+
+
 def test_odd_rows_ties_and_few_candidates(spark):
     rows = [(0, [1, 0, 0]), (50, [0, 1, 0]), (3, [1, 0, 0]), (2, [1, 0, 0]), (2, [1, 0, 0]), (4, [-1, 0, 0]), (5, None), (6, []), (100, [0, 0, 0]), (7, [1, None, 0]), (8, [float("nan"), 0, 1]), (9, [float("inf"), 0, 1]), (None, [1, 1, 1]), (10, [1, 2, 3, 4]), (150, [1e-38, 0, 0])]
     df = frame(spark, rows)

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from terrafold.llm import cross_polytope, decontaminate, html_density, langid, licenses, mixing, near_join, sharding, substring_dedup, toxicity
+from terrafold.llm import cross_polytope, decontaminate, html_density, langid, licenses, mixing, near_join, periodic_runs, sharding, substring_dedup, toxicity
 
 QUERIES = {
     "op1_license_scan": licenses.query,
@@ -15,6 +15,7 @@ QUERIES = {
     "op8_toxicity": toxicity.query,
     "op9_ngram_join": near_join.query,
     "op10_language_id": langid.query,
+    "op11_periodic_runs": periodic_runs.query,
 }
 
 ORACLES = {
@@ -22,4 +23,5 @@ ORACLES = {
     "op4_substring_dedup": substring_dedup.ORACLE,
     "op6_mix": mixing.ORACLE,
     "op9_ngram_join": near_join.ORACLE,
+    "op11_periodic_runs": periodic_runs.ORACLE,
 }

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from terrafold.llm import cross_polytope, decontaminate, html_density, langid, licenses, mixing, near_join, periodic_runs, sharding, substring_dedup, toxicity
+from terrafold.llm import cross_polytope, decontaminate, html_density, langid, licenses, mixing, near_join, periodic_runs, sharding, spelling, substring_dedup, suffix_dedup, toxicity
 
 QUERIES = {
     "op1_license_scan": licenses.query,
@@ -16,6 +16,8 @@ QUERIES = {
     "op9_ngram_join": near_join.query,
     "op10_language_id": langid.query,
     "op11_periodic_runs": periodic_runs.query,
+    "op12_spelling": spelling.query,
+    "op13_suffix_dedup": suffix_dedup.query,
 }
 
 ORACLES = {
@@ -24,4 +26,6 @@ ORACLES = {
     "op6_mix": mixing.ORACLE,
     "op9_ngram_join": near_join.ORACLE,
     "op11_periodic_runs": periodic_runs.ORACLE,
+    "op12_spelling": spelling.ORACLE,
+    "op13_suffix_dedup": suffix_dedup.ORACLE,
 }

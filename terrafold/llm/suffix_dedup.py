@@ -5,8 +5,8 @@ smaller doc_id. Equal windows have the same smallest 16-byte gram (by hash, the
 same place; so windows are dealt by anchors, in pieces: the bytes of neighbouring windows with one anchor, each once.
 Documents are dealt to groups of about `group_bytes`, and three steps look at a group:
 
-1. anchors: the group's distinct anchors go to buckets by the top bits of their hashes, 32 more bits each, with a size class;
-   a bucket answers with two bits: is it in another group as well, and is it hot (over `hot` places in all)?
+1. anchors: the group's distinct anchors go to buckets by the top bits of their hashes, 32 more bits each, with a size class, how
+   many different pieces it has; a bucket answers with two bits: is it in another group as well, and is it hot (over `hot` pieces)?
 2. pieces: of anchors that more than one document holds, the group sends each distinct piece once, with its first document.
    Windows round a hot anchor (the end of a line that a third of all texts share, before ever other words) are dealt by 48
    of their bytes, which three neighbouring places of the anchor in the window have in common; so what a bucket gets under
@@ -40,7 +40,7 @@ from terrafold.llm.substring_dedup import answer, masks_of, packed
 WINDOW, GRAM, NEXT = 50, 16, 3
 PLACES = WINDOW - GRAM + 1
 GROUP_BYTES = 8 << 20
-BUCKET_BYTES = 16 << 20
+BUCKET_BYTES = 8 << 20
 SUB_BITS = 4
 HOT = 1 << 14
 _CHUNK = 1 << 18
@@ -87,18 +87,23 @@ class Group:
         np.add.at(whole, self.text_at[long], 1)
         np.add.at(whole, (self.text_at + self.size - WINDOW + 1)[long], -1)
         whole = np.cumsum(whole[:-1], dtype=np.int8).astype(bool)
-        parts = [[], [], [], []]
+        parts = [[], [], [], [], []]
         for at in range(0, len(raw) - WINDOW + 1, _CHUNK):
             anchor, h = least_grams(raw[at : at + _CHUNK + WINDOW - 1])
             start = np.flatnonzero(whole[at : at + len(anchor)])
             anchor = anchor[start]
             head = np.flatnonzero(np.diff(anchor, prepend=-1))
-            for part, values in zip(parts, (start[head] + at, np.diff(head, append=len(start)), anchor[head] + at, h[anchor[head]]), strict=True):
+            count = np.diff(head, append=len(start))
+            ends = mix64(h[start[head]] ^ mix64(h[start[head] + count + PLACES - 2]))  # the piece's first and last gram
+            for part, values in zip(parts, (start[head] + at, count, anchor[head] + at, h[anchor[head]], ends), strict=True):
                 part.append(values)
         self.first, self.count, self.anchor = (np.concatenate([np.zeros(0, np.int64), *p]) for p in parts[:3])
-        self.hash = np.concatenate([np.zeros(0, U64), *parts[3]])
+        self.hash, ends = (np.concatenate([np.zeros(0, U64), *p]) for p in parts[3:])
+        self.hash = mix64(self.hash + U64(0x632BE59BD9B4E019))  # anchors have small hashes; these are spread evenly
         self.of = np.searchsorted(self.text_at, self.first, "right") - 1
-        self.anchors, self.inverse, self.often = np.unique(self.hash, return_inverse=True, return_counts=True)
+        self.anchors, self.inverse = np.unique(self.hash, return_inverse=True)
+        _, one = np.unique(mix64(self.hash) ^ ends, return_index=True)
+        self.often = np.bincount(self.inverse[one], minlength=len(self.anchors))  # of each anchor its different pieces
         low, high = np.full(len(self.anchors), _LAST_ID), np.full(len(self.anchors), np.iinfo(np.int64).min)
         np.minimum.at(low, self.inverse, self.key[self.of])
         np.maximum.at(high, self.inverse, self.key[self.of])
@@ -173,8 +178,10 @@ class Group:
         inside = ranges(self.windows)
         dup = np.repeat(self.doc > self.least[self.number], self.windows) | earlier[np.repeat(begin[self.number], self.windows) + inside]
         start = (np.repeat(self.at, self.windows) + inside)[dup]
-        edge = np.bincount(start, minlength=len(self.data) + 1) - np.bincount(start + WINDOW, minlength=len(self.data) + 1)
-        return np.cumsum(edge)[:-1] > 0
+        edge = np.zeros(len(self.data) + 1, np.int8)  # a place starts one window at most
+        edge[start] += 1
+        edge[start + WINDOW] -= 1
+        return np.cumsum(edge, dtype=np.int8)[:-1] > 0
 
 
 def ranges(sizes: np.ndarray) -> np.ndarray:
@@ -194,40 +201,57 @@ def hot_anchors(table: pa.Table, hot: int) -> pa.Table:
     return answer(table, 1, [np.concatenate(x) for x in zip(shared, heavy, strict=True)])
 
 
-def suffix_order(text: np.ndarray, depth: int) -> np.ndarray:
-    """Places of the text's suffixes in the order of their first `depth` bytes or more, by doubling ranks."""
+def suffix_order(text: np.ndarray, depth: int) -> tuple[np.ndarray, np.ndarray]:
+    """Places of the text's suffixes in the order of their first `depth` bytes or more, and their first 8 bytes in that
+    order as numbers. Ranks are doubled, and only what still has equals is sorted again."""
     n = len(text)
-    key, have = loads(np.concatenate([text, np.zeros(7, np.uint8)]), n, ">"), 8
-    while True:
-        order = np.argsort(key)
-        if have >= depth:
-            return order
-        key = key[order]
-        rank = np.empty(n, U64)
-        rank[order] = np.cumsum(np.concatenate([[1], key[1:] != key[:-1]])).astype(U64)
-        after = np.zeros(n, U64)
-        after[: max(0, n - have)] = rank[have:]
-        key, have = rank << U64(32) | after, 2 * have
+    key = loads(np.concatenate([text, np.zeros(7, np.uint8)]), n, ">")
+    order = np.argsort(key)
+    first = key[order]
+    fresh = np.concatenate([[True], first[1:] != first[:-1]])
+    rank, have = np.empty(n + 1, np.int64), 8
+    rank[n] = -1  # past the end
+    while have < depth:
+        head = np.flatnonzero(fresh)
+        rank[order] = np.repeat(head, np.diff(np.append(head, n)))
+        tied = np.flatnonzero(~(fresh & np.append(fresh[1:], True)))
+        if not len(tied):
+            break
+        at = order[tied]
+        key = (rank[at] << 32) | (rank[np.minimum(at + have, n)] + 1)
+        sort = np.argsort(key)
+        order[tied], key = at[sort], key[sort]
+        fresh[tied[1:]] |= key[1:] != key[:-1]
+        have *= 2
+    return order, first
 
 
 def prefix_classes(text: np.ndarray, least: int) -> tuple[np.ndarray, np.ndarray]:
     """The suffix order, and where in it a suffix shares fewer than `least` bytes with the one before. The text must end
-    with a byte that no compared string holds."""
+    with a byte that no compared string holds.
+
+    Rounds 0 to 7 are read off the first bytes by which the suffixes were sorted; the next begins with the intervals of 8
+    bytes whose right boundary was found last, in round 7."""
     n = len(text)
-    order = suffix_order(text, least + 1)
-    place = np.empty(n, np.int64)
-    place[order] = np.arange(n)
+    order, first = suffix_order(text, max(least, 8) + 1)
+    place = np.empty(n, np.int32)
+    place[order] = np.arange(n, dtype=np.int32)
     before = np.where(order > 0, place[order - 1], -1)  # from a suffix to that of one letter more: the transform's step
     letter = text[order]
+    shared = 7 - np.floor(np.log2(np.maximum(first[1:] ^ first[:-1], 1).astype(np.float64) * (1 + 1e-12))).astype(np.int64) // 8
+    shared[first[1:] == first[:-1]] = 8
     border = np.zeros(n + 1, bool)
     border[[0, n]] = True
-    low, high = np.array([0]), np.array([n])
-    for _ in range(least):
+    border[1:-1] = shared < min(least, 8)
+    edge = np.flatnonzero(border)
+    high = np.flatnonzero(shared == 7) + 1
+    low = edge[np.searchsorted(edge, high) - 1]
+    for _ in range(8, least):
         size = high - low
         at = np.repeat(low, size) + ranges(size)
         to, owner = before[at], np.repeat(np.arange(len(size)), size)
         if len(to) > n // 16:
-            owned = np.full(n, -1)
+            owned = np.full(n, -1, np.int32)
             owned[to[to >= 0]] = owner[to >= 0]
             to = np.flatnonzero(owned >= 0)
             owner = owned[to]
@@ -238,7 +262,7 @@ def prefix_classes(text: np.ndarray, least: int) -> tuple[np.ndarray, np.ndarray
         if not len(to):
             break
         head = np.flatnonzero(np.concatenate([[True], (np.diff(to) > 1) | (owner[1:] != owner[:-1]) | (letter[to[1:]] != letter[to[:-1]])]))
-        low, high = to[head], to[np.append(head[1:], len(to)) - 1] + 1
+        low, high = to[head].astype(np.int64), to[np.append(head[1:], len(to)) - 1].astype(np.int64) + 1
         fresh = ~border[high]
         low, high = low[fresh], high[fresh]
         border[high] = True
@@ -302,7 +326,7 @@ _KEPT = pa.schema(
 
 def kept_rows(group: Group, gone: np.ndarray) -> pa.Table:
     raw, rows = np.frombuffer(group.data, np.uint8), []
-    total = np.concatenate([[0], np.cumsum(gone)])
+    total = np.concatenate([[0], np.cumsum(gone, dtype=np.int32 if len(gone) < 1 << 31 else np.int64)])
     for doc_id, at, size in zip(group.ids.to_pylist(), group.text_at.tolist(), group.size.tolist(), strict=True):
         n = int(total[at + size] - total[at])
         if not n:

@@ -5,6 +5,7 @@ from __future__ import annotations
 import re
 import tempfile
 import uuid
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -206,6 +207,20 @@ def restored(others: list[str]) -> list[Column]:
     return [F.col(f"{ASIDE}.c{i}").alias(c) for i, c in enumerate(others)]
 
 
+def with_results(df: DataFrame, step: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], results: str, *read: str, drop: tuple[str, ...] = ()) -> DataFrame:
+    """`df` and the columns `results` (a schema) that `step` adds to batches of the columns in `read` and one more, which
+    holds all others. Columns of `df` with the names of results, in any case, are replaced; those in `drop` go."""
+    fresh = [r.split()[0] for r in results.split(", ")]
+    df = without(df, *fresh)
+    slim, others = aside(df, *read)
+    slim = slim.toDF(*[c.lower() for c in slim.columns])
+    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in slim.schema)
+    out = slim.mapInArrow(step, f"{schema}, {results}")
+    back, gone = dict(zip(others, restored(others), strict=True)), {d.lower() for d in drop}
+    kept = [back[c] if c in back else F.col(c.lower()).alias(c) for c in df.columns if c.lower() not in gone]
+    return out.select(*kept, *fresh)
+
+
 def keep(df: DataFrame) -> DataFrame:
     """Like `cut`, for wide tables: compressed Parquet in the shared checkpoint folder."""
     at = f"{checkpoint_root(df.sparkSession)}/kept-{uuid.uuid4().hex}"

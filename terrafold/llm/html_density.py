@@ -8,8 +8,8 @@ all of its text, is the core. The smallest density on the path from the body to
 
 Tags, roles, classes and ids are hints that enter the densities: text of what they name as a menu, header, footer,
 sidebar, notice, advert, form or reader comment counts as link text, so its density is next to none, unless that
-holds the only <article> or <main> or most of the page's text outside links; a sum below an <article> or <main>
-counts twice. A core below an <article> grows to it where its density stays near the core's.
+holds the only <article> or <main>, or most of the text outside links of a page that has none with text of its own; a
+short open <article> stands beside comments of any length. A sum below an <article> or <main> counts twice. A core below an <article> grows to it where its density stays near the core's.
 
 Outside the core every block that reaches the threshold, and has a node whose density comes near those of the
 core's children, gives its node of the largest sum; a core whose <article> holds most of the plain text needs
@@ -23,7 +23,8 @@ Defined cases: a null or text-less page gives an empty text; a page whose text i
 markup that is cut off, unclosed or wrongly nested is read as browsers would roughly read it: an open comment,
 script or style runs to the end, an end tag closes the nearest open element of its name, and <p>, <li> and the
 like close their open sibling; very long pages are read whole, and depth is kept on a list, never on the call
-stack; repeated rows each get a result; columns named text or n_chars, in any case, are replaced.
+stack; repeated rows each get a result; columns named text or n_chars, in any case, are replaced, all others stay as they
+are, whatever their names; an empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -36,6 +37,8 @@ from collections.abc import Iterator
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
+from terrafold.llm.common import with_results
+
 # Fixed values of HTML: elements without content, with raw text, that break lines, and that close an open sibling.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 RAW = frozenset("script style textarea title xmp noembed noframes".split())
@@ -189,10 +192,10 @@ def parse(page: str) -> Node:
 
 
 def restore(root: Node) -> None:
-    """Takes back the hints round an <article> or <main> where none stands outside cuts, and round blocks with most of the page's text.
+    """Takes back the hints round an <article> or <main> where none stands outside cuts, and, where the page has no open one
+    with text, round blocks with most of the page's text. Text in links doesn't count.
 
-    Text in links doesn't count. A page whose open <article> or <main> holds a tenth of its text, as those with long
-    reader comments have, keeps its hints."""
+    An open <article> or <main> with text keeps the page's hints however short it is, beside comments or an aside of any length."""
     order, stack = [], [(root, False, False)]
     plain: dict[Node, int] = {}
     marks, open_marks = [], []
@@ -220,7 +223,7 @@ def restore(root: Node) -> None:
         up = max(marks, key=plain.__getitem__)
         while up is not None:
             up.cut, up = False, up.parent
-    if all(shown[n] * 10 < plain[root] for n in open_marks):
+    if not any(shown[n] for n in open_marks):
         for node in order:
             if plain[node] * 2 > plain[root] and any(isinstance(c, Node) and c.tag in BLOCKS and plain.get(c) for c in node.children):
                 node.cut = False
@@ -387,16 +390,13 @@ def extract(page: str | None) -> str:
 
 def extract_pages(pages: DataFrame) -> DataFrame:
     """`pages` without html, and text, n_chars."""
-    names = [c for c in pages.columns if c.lower() not in ("html", "text", "n_chars")]
 
     def step(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             texts = [extract(x) for x in batch.column("html").to_pylist()]
-            cols = [batch.column(n) for n in names] + [pa.array(texts, pa.string()), pa.array([len(t) for t in texts], pa.int64())]
-            yield pa.RecordBatch.from_arrays(cols, names=[*names, "text", "n_chars"])
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(texts, pa.string()), pa.array([len(t) for t in texts], pa.int64())], names=[*batch.schema.names, "text", "n_chars"])
 
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in pages.schema if f.name in names)
-    return pages.select(*names, "html").mapInArrow(step, f"{schema}, text string, n_chars bigint")
+    return with_results(pages, step, "text string, n_chars bigint", "html", drop=("html",))
 
 
 def query(spark, sf_dir: str) -> DataFrame:

@@ -12,7 +12,8 @@ of the best language under a flat prior.
 Defined cases: a null text, or one without a letter, is `und` with score 0; a language with no usable
 row isn't learned; with no learned language every text is `und`; ties go to the smaller name; every row
 gets an answer, and repeated rows the same one; very long texts and words are read whole, words in batches of
-bounded cells; columns named lang_pred or score, in any case, are replaced, all others stay as they are.
+bounded cells; columns named lang_pred or score, in any case, are replaced, all others stay as they are, whatever their
+names; an empty table gives an empty result; a sample or model of more than the stated bytes is an error.
 Prediction reads the text only.
 """
 
@@ -26,13 +27,15 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from terrafold.llm.common import U64, Words, bounded, byte_lists, without
+from terrafold.llm.common import U64, Words, bounded, byte_lists, cut, with_results
 
 VOCABULARY = os.environ.get("TERRAFOLD_PIECES", "/opt/tokenizers/piece_bpe_32k.model")
 SAMPLE_ROWS = 1000
 EM_ROUNDS = 2
 FLOOR = 1e-9
 _MARK = "▁"
+#: Bytes of piece probabilities, which every task holds, and of the sample's distinct words, which the driver holds; more is an error.
+MODEL_BYTES, SAMPLE_BYTES = 256 << 20, 1 << 30
 _MAX_LANGUAGES = 10_000
 _LIFT = 1e4
 _RESCALE = 16
@@ -248,17 +251,20 @@ def train(docs: DataFrame, vocabulary: str, sample_rows: int, em_rounds: int) ->
     first = near.withColumn("r", F.row_number().over(Window.partitionBy("lang").orderBy("h", "doc_id"))).where(F.col("r") <= sample_rows)
     chosen = usable.join(F.broadcast(first.select("lang", "doc_id")), ["lang", "doc_id"])  # sample_rows ids a language
     words = chosen.select("lang", F.explode(F.split(F.lower("text"), r"[\x20\x09-\x0D]+")).alias("word")).where("word <> ''").groupBy("lang", "word").count()
+    pieces = load_pieces(vocabulary)
+    held = cut(words)
+    size = held.agg(F.sum(F.octet_length("word") + 100)).first()[0] or 0  # a word's text and what a dictionary adds
+    if len(many) * len(pieces) * 8 > MODEL_BYTES or size > SAMPLE_BYTES:
+        raise ValueError(f"{len(many)} languages of {len(pieces)} pieces, {size} bytes of sampled words; the bounds are {MODEL_BYTES} and {SAMPLE_BYTES} bytes: lower sample_rows or learn fewer languages")
     samples: dict[str, dict[str, int]] = {}
-    for row in words.toLocalIterator():
+    for row in held.toLocalIterator():
         samples.setdefault(row["lang"], {})[row["word"]] = row["count"]
-    pieces = load_pieces(vocabulary)
     langs, prob = fit(Lattice(pieces), samples, em_rounds)
     return pieces, langs, prob
 
 
 def identify(docs: DataFrame, training: DataFrame, vocabulary: str = VOCABULARY, sample_rows: int = SAMPLE_ROWS, em_rounds: int = EM_ROUNDS) -> DataFrame:
     """`docs` and lang_pred, score. `training` has doc_id, text, lang."""
-    docs = without(docs, "lang_pred", "score")
     held = docs.sparkSession.sparkContext.broadcast(train(training.select("doc_id", "text", "lang"), vocabulary, sample_rows, em_rounds))
 
     def step(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -279,8 +285,7 @@ def identify(docs: DataFrame, training: DataFrame, vocabulary: str = VOCABULARY,
                 cols = [*batch.columns, pa.array(pred, pa.string()), pa.array(score, pa.float64())]
                 yield pa.RecordBatch.from_arrays(cols, names=[*batch.schema.names, "lang_pred", "score"])
 
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema)
-    return docs.mapInArrow(step, f"{schema}, lang_pred string, score double")
+    return with_results(docs, step, "lang_pred string, score double", "text")
 
 
 def query(spark, sf_dir: str) -> DataFrame:

@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from terrafold.llm.common import LOWER_ASCII, U64, Words, aside, byte_lists, cut, restored, without
+from terrafold.llm.common import LOWER_ASCII, U64, Words, aside, byte_lists, cut, restored, with_results, without
 
 THRESHOLD = 0.7
 # Public licence statements and headers, by SPDX identifier.
@@ -144,7 +144,6 @@ def line_frequencies(docs: DataFrame, templates: Templates) -> tuple[int, np.nda
 
 def own_license(docs: DataFrame, threshold: float = THRESHOLD, templates: tuple = TEMPLATES) -> DataFrame:
     """`docs` and own_license, own_score."""
-    docs = without(docs, "own_license", "own_score")
     known = Templates(templates)
     known.weigh(*line_frequencies(docs, known))
 
@@ -169,14 +168,14 @@ def own_license(docs: DataFrame, threshold: float = THRESHOLD, templates: tuple
                 own = [known.names[k] if s >= threshold else None for s, k in zip(score, name, strict=True)]
                 yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(own, pa.string()), pa.array(np.round(score, 6))], names=[*batch.schema.names, "own_license", "own_score"])
 
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema)
-    return docs.mapInArrow(step, f"{schema}, own_license string, own_score double")
+    return with_results(docs, step, "own_license string, own_score double", "text")
 
 
 def inherit(files: DataFrame) -> DataFrame:
     """`files` (path, own_license, own_score, ...) and license, origin (own, directory or none), origin_dir."""
-    names = without(files, "license", "origin", "origin_dir").columns
-    slim, others = aside(without(files, "license", "origin", "origin_dir"), "path", "own_license", "own_score")
+    files = without(files, "license", "origin", "origin_dir")
+    names = files.columns
+    slim, others = aside(files, "path", "own_license", "own_score")
     files = cut(slim.withColumn("dir", directory("path")))  # three reads of it follow, and scoring is dear
     named = F.element_at(F.split("path", "/"), -1).isin(*FILE_NAMES)
     licensed = files.where(named & F.col("own_license").isNotNull()).groupBy("dir").agg(F.min(F.struct(-F.col("own_score"), "own_license")).alias("best"))

@@ -19,7 +19,8 @@ All steps are one plan over one exchange of the documents, which the passes reus
 
 Defined cases: a null text has no words and comes out empty; a null doc_id counts as larger than all
 others; rows that repeat a doc_id are the same document, and equal starts in them are not earlier than
-each other; every row comes out once; an empty table gives an empty result; other columns are left out.
+each other; every row comes out once; very long texts are read whole; an empty table gives an empty result; other columns
+are left out.
 """
 
 from __future__ import annotations

@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from terrafold.llm.common import LOWER_ASCII, U64, Words, byte_lists, cut, without
+from terrafold.llm.common import LOWER_ASCII, U64, Words, byte_lists, cut, with_results
 
 SAMPLE_ROWS, MIN_ROWS, FEATURES, L2, PENALTY, STEPS = 12_000, 8, 400, 0.0002, 10.0, 600
 # Identity terms by kind, in English, German, French and Spanish; terms of one kind are swapped for each other.
@@ -113,9 +113,12 @@ class Swaps:
     """All copies of rows with one identity term swapped. doc, col: which row has which of the features."""
 
     def __init__(self, doc: np.ndarray, col: np.ndarray, kinds: list[np.ndarray], rows: int, features: int):
-        kind_of = {int(c): kind for kind in kinds for c in kind}
+        kind_of: dict[int, set[int]] = {}  # a term of two languages is swapped within both kinds
+        for kind in kinds:
+            for c in kind:
+                kind_of.setdefault(int(c), set()).update(map(int, kind))
         have = set(zip(doc.tolist(), col.tolist(), strict=True))
-        made = [(d, c, int(o), float((d, int(o)) not in have)) for d, c in sorted(have) if c in kind_of for o in kind_of[c] if o != c]
+        made = [(d, c, int(o), float((d, int(o)) not in have)) for d, c in sorted(have) if c in kind_of for o in sorted(kind_of[c]) if o != c]
         at = np.array(made, float).reshape(-1, 4)
         self.row, self.gone, self.come = (at[:, i].astype(np.int64) for i in range(3))
         self.new, self.rows, self.features = at[:, 3], rows, features
@@ -241,7 +244,6 @@ def train(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS, mi
 
 def score(docs: DataFrame, model: Model) -> DataFrame:
     """`docs` and score, predicted."""
-    docs = without(docs, "score", "predicted")
     held = docs.sparkSession.sparkContext.broadcast(model)
 
     def step(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -251,8 +253,7 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
                 s = held.value.scores(byte_lists(batch.column("text")))
                 yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(s), pa.array((s >= 0.5).astype(np.int32))], names=[*batch.schema.names, "score", "predicted"])
 
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema)
-    return docs.mapInArrow(step, f"{schema}, score double, predicted int")
+    return with_results(docs, step, "score double, predicted int", "text")
 
 
 def query(spark, sf_dir: str) -> DataFrame:

@@ -1,11 +1,13 @@
 """Documents with everything that can go wrong: shared by the operators' tests."""
 
-DOCS = "doc_id long, text string, lang string, source string, n_chars long, size long, score double, shard int, n_words long"
+#: Columns of documents, then columns with the names of results, with characters that need quotes, and with names that operators use, in another case.
+DOCS = "doc_id long, text string, lang string, source string, n_chars long, size long, score double, shard int, n_words long, "
+DOCS += ", ".join(f"{n} int" for n in ("`a.b`", "`q``w`", "`two words`", "Grp", "Bucket", "KEY", "Word", "Items", "Spans", "Kept", "Taken", "_Aside2", "Own_License", "LANG_PRED", "Kind", "Row", "H", "N"))
 
 
 def documents(spark, rows):
     """rows: (doc_id, text[, lang, source]); more columns have the names of results."""
-    full = [(r[0], r[1], r[2] if len(r) > 2 else "en", r[3] if len(r) > 3 else "s", len(r[1] or ""), -1, -1.0, -1, -1) for r in rows]
+    full = [(r[0], r[1], r[2] if len(r) > 2 else "en", r[3] if len(r) > 3 else "s", len(r[1] or ""), -1, -1.0, -1, -1, *range(18)) for r in rows]
     return spark.createDataFrame(full, DOCS)
 
 

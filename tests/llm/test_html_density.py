@@ -103,3 +103,27 @@ def test_density_decides(monkeypatch):
     monkeypatch.setattr(H, "density", lambda node, share: float(bool(node.chars)))
     assert H.extract(page) != "\n".join(told())
     assert H.extract(marked.replace("article>", "div>")) != "\n".join(told())
+
+
+def test_a_short_article_stands_beside_comments_of_any_length():
+    said = "A reader wrote this at some length, and went on about it for a while. "
+    for times in (1, 10, 100):
+        comments = "".join(f"<p>{said * 3}</p>" for _ in range(times))
+        page = f"<body><article><h1>Head</h1><p>{'What happened is told here in brief. ' * 5}</p><section class='comments'>{comments}</section></article><footer>The end</footer></body>"
+        assert H.extract(page) == "Head\n" + ("What happened is told here in brief. " * 5).strip(), times
+        page = f"<body><article><h1>Head</h1><p>Short.</p></article><section id='comments'>{comments}</section></body>"
+        assert H.extract(page) == "Head\nShort.", times
+
+
+def test_an_aside_of_any_length_stays_out():
+    for times in (1, 5, 50):
+        page = f"<body><article><h1>T</h1><p>Short.</p></article><aside>{'<p>Other matters that the site would have you read now.</p>' * times}</aside></body>"
+        assert H.extract(page) == "T\nShort.", times
+
+
+def test_page_columns_of_any_name_stay(spark):
+    pages = spark.createDataFrame([(1, "u", "<p>hello there</p>", 3, 4, 5, "old")], "page_id long, url string, html string, `a.b` int, `q``w` int, `two words` int, Text string")
+    out = H.extract_pages(pages)
+    assert out.columns == ["page_id", "url", "a.b", "q`w", "two words", "text", "n_chars"]
+    assert tuple(out.first()) == (1, "u", 3, 4, 5, "hello there", 11)
+    assert H.extract_pages(pages.limit(0)).collect() == []

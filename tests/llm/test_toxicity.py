@@ -114,3 +114,13 @@ def test_odd_rows_and_no_labels(spark):
     one = spark.createDataFrame([(4, 0), (4, 0), (5, None), (None, 1)], "doc_id long, toxic int")
     assert all(0 <= r.score < 0.5 for r in X.score(documents(spark, ODD), X.train(documents(spark, ODD), one)).collect())
     assert X.score(documents(spark, []), model).count() == 0
+
+
+def test_a_term_of_two_languages_is_swapped_in_both():
+    """"hindus" is English and German."""
+    words = np.concatenate([X.word_keys(list(kind)) for kind in X.IDENTITY if "hindus" in kind])
+    keys = np.unique(words)
+    kinds = [np.searchsorted(keys, X.word_keys(list(kind))) for kind in X.IDENTITY if "hindus" in kind]
+    here = np.searchsorted(keys, X.word_keys(["hindus"]))
+    swaps = X.Swaps(np.zeros(1, np.int64), here, kinds, 1, len(keys))
+    assert len(kinds) == 2 and len(swaps.come) == len(keys) - 1

@@ -25,8 +25,10 @@ MIN_SCORE = 0.5
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without a letter, or whose best language isn't likelier than all others together, go."""
     ship(spark)
-    found = langid.identify(docs, docs.where("lang is not null and text is not null"))
-    return found.where((F.col("lang_pred") != "und") & (F.col("score") >= MIN_SCORE)).select(docs.columns)
+    slim, others = aside(docs, "text")
+    found = langid.identify(slim, docs.where("lang is not null and text is not null"))
+    back = dict(zip(others, restored(others), strict=True))
+    return found.where((F.col("lang_pred") != "und") & (F.col("score") >= MIN_SCORE)).select(*[back.get(c, F.col(c)) for c in docs.columns])
 
 
 def ngram_join(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -43,8 +45,10 @@ def ngram_join(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold a window of a benchmark item go."""
     ship(spark)
-    found = decontaminate.decontaminate(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
-    return found.where("n_hit = 0").select(docs.columns)
+    slim, others = aside(docs, "text")
+    found = decontaminate.decontaminate(slim, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+    back = dict(zip(others, restored(others), strict=True))
+    return found.where("n_hit = 0").select(*[back.get(c, F.col(c)) for c in docs.columns])
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -1,8 +1,7 @@
-"""Classifier head and novelty: distributed moments, a small fit in one place, scoring in tasks.
+"""Classifier head and novelty: moments, gradients and distances as sums over tasks, scoring in tasks.
 
-Means, deviations, class means and covariances come from partial sums (D and D x D numbers a task), so
-those parts take any number of rows. The optimiser needs the training rows in one place, as its rule of
-early stopping is sequential; `max_bytes` bounds them and more is an error."""
+Means, deviations, gradients, class means and covariances come from partial sums, so a fit takes any number of rows: each
+step is one pass over a kept table, and the driver gets sums of the model's size, `GROUPS` of them at most."""
 
 from __future__ import annotations
 
@@ -11,6 +10,7 @@ from collections.abc import Callable
 from dataclasses import dataclass, field
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -140,20 +140,11 @@ def _forward(layers: list, x: np.ndarray) -> list[np.ndarray]:
     out = [x]
     for i, (w, b) in enumerate(layers):
         x = x @ w + b
-        out.append(np.maximum(x, 0) if i < len(layers) - 1 else x)
+        x = np.maximum(x, 0) if i < len(layers) - 1 else x
+        out.append(x)
     return out
 
 
-def macro_f1(truth: np.ndarray, pred: np.ndarray, k: int) -> float:
-    f1 = []
-    for c in range(k):
-        tp, fp, fn = ((pred == c) & (truth == c)).sum(), ((pred == c) & (truth != c)).sum(), ((pred != c) & (truth == c)).sum()
-        if tp + fn:
-            p, r = (tp / (tp + fp) if tp + fp else 0.0), tp / (tp + fn)
-            f1.append(round(2 * p * r / (p + r) if p + r else 0.0, 3))
-    return float(np.mean(f1)) if f1 else 0.0
-
-
 #: Power of a class's row count by which its rows count less in the loss; `train` sets the scale.
 SCHEMES = {"balanced": 1.0, "sqrt": 0.5}
 
@@ -162,63 +153,165 @@ def loss_weights(counts: np.ndarray, scheme: str) -> np.ndarray:
     return np.maximum(counts, 1.0) ** -SCHEMES.get(scheme, 0.0)
 
 
-def train(df: DataFrame, arch: str = "linear", weight: str = "balanced", hidden: int = 256, epochs: int = 500, lr: float = 0.05, decay: float = 1e-4, patience: int = 60, seed: int = 42, max_bytes: int = 1 << 30) -> Head:
-    """df: embedding, label, fold (train, val, test). Full-batch Adam; the weights of the best validation macro-F1 stay."""
-    rows = df.where("label is not null and fold is not null").select("embedding", "label", "fold")
-    n, dim = rows.agg(F.count(F.lit(1)), F.max(F.size("embedding"))).first()
-    if n * (dim or 0) * 8 > max_bytes:
-        raise ValueError(f"{n} embeddings of {dim} doubles are more than {max_bytes} bytes; sample them first")
-    pdf = rows.toPandas()
-    classes = sorted(int(c) for c in pdf["label"].unique())
-    index = {c: i for i, c in enumerate(classes)}
+#: Rows of the kept table that one task takes, in bytes, and how many sums the driver gets.
+PART_BYTES, GROUPS = 64 << 20, 16
+
+
+class Table:
+    """Embeddings with class number and fold (0 train, 1 validation, 2 test), kept where the executors are, and sums over it."""
+
+    def __init__(self, rows: DataFrame, classes: list[int], folds: tuple[str, ...], dim: int, parts: int):
+        number = F.array_position(F.array(*[F.lit(c) for c in classes]), F.col("label").cast("int")) - 1
+        fold = F.array_position(F.array(*[F.lit(f) for f in folds]), F.col("fold")) - 1
+        slim = rows.where(F.col("fold").isin(*folds)).select(F.col("embedding").cast("array<double>").alias("x"), number.cast("int").alias("y"), fold.cast("int").alias("fold"))
+        self.rows, self.dim, self.parts = slim.repartition(parts).persist(), dim, parts
+
+    def sums(self, f: Callable[[np.ndarray, np.ndarray, np.ndarray], np.ndarray], length: int) -> np.ndarray:
+        """The sum over all batches of f(x, y, fold), a vector."""
+        dim = self.dim
+
+        def partial(batches):
+            total = np.zeros(length)
+            for batch in batches:
+                if batch.num_rows:
+                    lists = batch.column("x")
+                    if not np.array_equal(np.unique(lists.value_lengths().to_numpy(zero_copy_only=False)), [dim]):
+                        raise ValueError(f"an embedding hasn't {dim} numbers")
+                    total += f(lists.flatten().to_numpy(zero_copy_only=False).reshape(-1, dim), *(batch.column(n).to_numpy() for n in ("y", "fold")))
+            yield pa.record_batch([pa.array([total.tobytes()], pa.binary())], names=["v"])
+
+        def added(table: pa.Table) -> pa.Table:
+            return pa.table([pa.array([np.sum([np.frombuffer(v) for v in table["v"].to_pylist()], axis=0).tobytes()], pa.binary())], names=["v"])
+
+        found = self.rows.mapInArrow(partial, "v binary")
+        if self.parts > GROUPS:
+            found = found.groupBy(F.pmod(F.spark_partition_id(), F.lit(GROUPS))).applyInArrow(added, "v binary")
+        return np.sum([np.frombuffer(r.v) for r in found.collect()], axis=0)
 
-    def part(name: str) -> tuple[np.ndarray, np.ndarray]:
-        d = pdf[pdf["fold"] == name]
-        if d.empty:
+
+def _flat(layers: list) -> list[np.ndarray]:
+    return [p for layer in layers for p in layer]
+
+
+def gradients(layers: list, x: np.ndarray, y: np.ndarray, weight: np.ndarray) -> np.ndarray:
+    """Sums over rows of the weighted loss's gradients by all weights, one after another."""
+    acts = _forward(layers, x)
+    g = _softmax(acts[-1])
+    g[np.arange(len(y)), y] -= 1
+    g *= weight[:, None]
+    grads: list[np.ndarray] = []
+    for i in range(len(layers) - 1, -1, -1):
+        grads = [(acts[i].T @ g).ravel(), g.sum(0), *grads]
+        g = (g @ layers[i][0].T) * (acts[i] > 0)
+    return np.concatenate(grads)
+
+
+def macro_f1(table: np.ndarray) -> float:
+    """Of counts by truth and prediction; the mean over the classes that have a row, each rounded to 3 places."""
+    k = len(table)
+    hit, real, said = np.diag(table), table.sum(1), table.sum(0)
+    p, r = (np.divide(hit, d, out=np.zeros(k), where=d > 0) for d in (said, real))
+    f1 = [round(float(x), 3) for x in np.divide(2 * p * r, p + r, out=np.zeros(k), where=p + r > 0)]
+    some = real > 0
+    return float(np.mean(np.array(f1)[some])) if some.any() else 0.0
+
+
+def upper_quantile(values: DataFrame, column: str, q: float) -> float:
+    """The q-quantile, interpolated between its neighbours. Only the values next to it, found from a sketch whose error is a
+    millionth of the rows, come to the driver."""
+    n = values.count()
+    at = q * (n - 1)
+    near = max(3e-6, 2 / n)
+    low, high = values.select(F.percentile_approx(column, [max(0.0, q - near), min(1.0, q + near)], 1_000_000)).first()[0]
+    below = values.where(F.col(column) < low).count()
+    found = sorted(r[0] for r in values.where(F.col(column).between(low, high)).collect())
+    first = found[int(at) - below]
+    return first + (found[min(int(at) + 1 - below, len(found) - 1)] - first) * (at - int(at))
+
+
+def train(df: DataFrame, arch: str = "linear", weight: str = "balanced", hidden: int = 256, epochs: int = 500, lr: float = 0.05, decay: float = 1e-4, patience: int = 60, seed: int = 42, part_bytes: int = PART_BYTES) -> Head:
+    """df: embedding, label, fold (train, val, test). Full-batch Adam; the weights of the best validation macro-F1 stay.
+
+    Every step is a pass over the table: gradients over the training rows of the weights that the last step gave, and
+    the validation counts of the same weights."""
+    rows = df.where("label is not null and fold is not null").select("embedding", "label", "fold")
+    counts = rows.groupBy("label", "fold").agg(F.count(F.lit(1)).alias("n"), F.max(F.size("embedding")).alias("dim")).collect()  # one row a class and fold
+    classes = sorted({int(r.label) for r in counts})
+    k, folds = len(classes), ("train", "val", "test")
+    for name in folds:
+        if not any(r.fold == name for r in counts):
             raise ValueError(f"fold {name} is empty")
-        return np.stack(d["embedding"]).astype(float), d["label"].map(index).to_numpy()
-
-    (x, y), (xv, yv), (xt, yt) = part("train"), part("val"), part("test")
-    mean, sd = x.mean(0), x.std(0) + 1e-6
-    z, zv, zt = ((v - mean) / sd for v in (x, xv, xt))
-    rng = np.random.default_rng(seed)
-    sizes = [z.shape[1], len(classes)] if arch == "linear" else [z.shape[1], hidden, len(classes)]
-    layers = [(rng.uniform(-1, 1, (a, b)) / np.sqrt(a), rng.uniform(-1, 1, b) / np.sqrt(a)) for a, b in zip(sizes, sizes[1:], strict=False)]
-    w = loss_weights(np.bincount(y, minlength=len(classes)).astype(float), weight)[y]
-    w /= w.sum()
-    m = [np.zeros_like(p) for layer in layers for p in layer]
-    v = [np.zeros_like(p) for layer in layers for p in layer]
-    best, best_f1, bad = layers, -1.0, 0
-    for t in range(1, epochs + 1):
-        acts = _forward(layers, z)
-        g = _softmax(acts[-1])
-        g[np.arange(len(y)), y] -= 1
-        g *= w[:, None]
-        grads: list[np.ndarray] = []
-        for i in range(len(layers) - 1, -1, -1):
-            grads = [acts[i].T @ g, g.sum(0), *grads]
-            g = (g @ layers[i][0].T) * (acts[i] > 0)
-        flat = []
-        for i, (p, q) in enumerate(zip([p for layer in layers for p in layer], grads, strict=True)):
-            q = q + decay * p
-            m[i], v[i] = 0.9 * m[i] + 0.1 * q, 0.999 * v[i] + 0.001 * q * q
-            flat.append(p - lr * (m[i] / (1 - 0.9**t)) / (np.sqrt(v[i] / (1 - 0.999**t)) + 1e-8))
-        layers = list(zip(flat[::2], flat[1::2], strict=True))
-        f1 = macro_f1(yv, _forward(layers, zv)[-1].argmax(1), len(classes))
-        if f1 > best_f1:
-            best, best_f1, bad = layers, f1, 0
-        else:
-            bad += 1
-            if bad >= patience:
-                break
-    means = np.stack([z[y == c].mean(0) for c in range(len(classes)) if (y == c).any()])
-    if len(means) < len(classes):
+    have = np.zeros(k)
+    for r in counts:
+        have[classes.index(int(r.label))] += r.n * (r.fold == "train")
+    if (have == 0).any():
         raise ValueError("a class has no training rows")
-    precision = np.linalg.inv(np.cov(z - means[y], rowvar=False) + 1e-3 * np.eye(z.shape[1]))
-    held = zv  # the threshold is out of sample
-    distance = np.min([(((held - c) @ precision) * (held - c)).sum(1) for c in means], axis=0)
-    report = {"val_macro_f1": best_f1, "test_macro_f1": macro_f1(yt, _forward(best, zt)[-1].argmax(1), len(classes))}
-    return Head(classes, mean, sd, best, means, precision, float(np.quantile(distance, 0.975)), report)
+    dim, total = max(r.dim for r in counts), sum(r.n for r in counts)
+    table = Table(rows, classes, folds, dim, max(1, -(-total * dim * 8 // part_bytes)))
+    try:
+        mean = table.sums(lambda x, y, fold: x[fold == 0].sum(0), dim) / have.sum()
+        sd = np.sqrt(table.sums(lambda x, y, fold: ((x[fold == 0] - mean) ** 2).sum(0), dim) / have.sum()) + 1e-6
+        rng = np.random.default_rng(seed)
+        sizes = [dim, k] if arch == "linear" else [dim, hidden, k]
+        layers = [(rng.uniform(-1, 1, (a, b)) / np.sqrt(a), rng.uniform(-1, 1, b) / np.sqrt(a)) for a, b in zip(sizes, sizes[1:], strict=False)]
+        w = loss_weights(have, weight)
+        w = w / (w * have).sum()
+        m, v = ([np.zeros_like(p) for p in _flat(layers)] for _ in range(2))
+        length = sum(p.size for p in _flat(layers))
+
+        def step(layers: list, fold_counted: int) -> Callable:
+            def f(x: np.ndarray, y: np.ndarray, fold: np.ndarray) -> np.ndarray:
+                z, learn, count = (x - mean) / sd, fold == 0, fold == fold_counted
+                said = _forward(layers, z[count])[-1].argmax(1)
+                return np.concatenate([gradients(layers, z[learn], y[learn], w[y[learn]]), np.bincount(y[count] * k + said, minlength=k * k)])
+
+            return f
+
+        best, best_f1, bad = layers, -1.0, 0
+        for t in range(1, epochs + 2):
+            sums = table.sums(step(layers, 1), length + k * k)
+            if t > 1:  # the first weights are no candidates
+                f1 = macro_f1(sums[length:].reshape(k, k))
+                if f1 > best_f1:
+                    best, best_f1, bad = layers, f1, 0
+                else:
+                    bad += 1
+                if bad >= patience or t > epochs:
+                    break
+            flat, at = [], 0
+            for i, p in enumerate(_flat(layers)):
+                q = sums[at : at + p.size].reshape(p.shape) + decay * p
+                at += p.size
+                m[i], v[i] = 0.9 * m[i] + 0.1 * q, 0.999 * v[i] + 0.001 * q * q
+                flat.append(p - lr * (m[i] / (1 - 0.9**t)) / (np.sqrt(v[i] / (1 - 0.999**t)) + 1e-8))
+            layers = list(zip(flat[::2], flat[1::2], strict=True))
+        test = macro_f1(table.sums(step(best, 2), length + k * k)[length:].reshape(k, k))
+
+        def class_sums(x: np.ndarray, y: np.ndarray, fold: np.ndarray) -> np.ndarray:
+            out = np.zeros((k, dim))
+            np.add.at(out, y[fold == 0], (x[fold == 0] - mean) / sd)
+            return out.ravel()
+
+        means = table.sums(class_sums, k * dim).reshape(k, dim) / have[:, None]
+
+        def scatter(x: np.ndarray, y: np.ndarray, fold: np.ndarray) -> np.ndarray:
+            rest = (x[fold == 0] - mean) / sd - means[y[fold == 0]]
+            return (rest.T @ rest).ravel()
+
+        precision = np.linalg.inv(table.sums(scatter, dim * dim).reshape(dim, dim) / (have.sum() - 1) + 1e-3 * np.eye(dim))
+
+        def distances(batches):
+            for batch in batches:
+                x = batch.column("x").flatten().to_numpy(zero_copy_only=False).reshape(-1, dim)
+                z = (x - mean) / sd
+                d = np.min([(((z - c) @ precision) * (z - c)).sum(1) for c in means], axis=0)
+                yield pa.record_batch([pa.array(d)], names=["d"])
+
+        held = table.rows.where("fold = 1").select("x").mapInArrow(distances, "d double")  # the threshold is out of sample
+        threshold = upper_quantile(held, "d", 0.975)
+    finally:
+        table.rows.unpersist()
+    return Head(classes, mean, sd, best, means, precision, threshold, {"val_macro_f1": best_f1, "test_macro_f1": test})
 
 
 def predict(df: DataFrame, head: Head, key: str, emb: str = "embedding") -> DataFrame:

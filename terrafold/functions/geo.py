@@ -184,14 +184,20 @@ def in_edges(x: Column | str, y: Column | str, pairs: Column | str, boundary: bo
         a, b = e["a"], e["b"]
         return ((a["y"] > y) != (b["y"] > y)) & (x < (b["x"] - a["x"]) * (y - a["y"]) / F.when(b["y"] == a["y"], 1e0).otherwise(b["y"] - a["y"]) + a["x"])
 
+    inside, on = F.size(F.filter(pairs, crosses)) % 2 == 1, on_edges(x, y, pairs)
+    return (inside | on) if boundary else (inside & ~on)
+
+
+def on_edges(x: Column | str, y: Column | str, pairs: Column) -> Column:
+    """Whether a point lies on one of the edges."""
+    x, y = (F.col(c) if isinstance(c, str) else c for c in (x, y))
+
     def touches(e: Column) -> Column:
         a, b = e["a"], e["b"]
         flat = (b["x"] - a["x"]) * (y - a["y"]) - (b["y"] - a["y"]) * (x - a["x"]) == 0
         return flat & x.between(F.least(a["x"], b["x"]), F.greatest(a["x"], b["x"])) & y.between(F.least(a["y"], b["y"]), F.greatest(a["y"], b["y"]))
 
-    inside = F.size(F.filter(pairs, crosses)) % 2 == 1
-    on = F.exists(pairs, touches)
-    return (inside | on) if boundary else (inside & ~on)
+    return F.exists(pairs, touches)
 
 
 def in_ring(x: Column | str, y: Column | str, ring: Column | str, boundary: bool = False) -> Column:

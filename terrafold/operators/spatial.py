@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable, Iterator
+
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -117,33 +121,199 @@ def assign_blocks(points: DataFrame, blocks: DataFrame, km: float, slack: float
     return found.select(*points.columns, "block_id")
 
 
-def _cells(lo: Column, hi: Column, size: float) -> Column:
-    return F.sequence(F.floor(lo / size), F.floor(hi / size))
+#: Degrees on a side of the cells of polygons, from the first to the one that every cell comes to, by halves; a cell in
+#: which more than `MOST_EDGES` edges begin is halved `HALVES` times more, down to the last of `LEVELS`.
+ROOT, BASE, HALVES, LEVELS, MOST_EDGES = 16.0, 0.25, 3, 5, 128
+
+
+def _parity(seed: Column, pairs: Column, px: Column, py: Column, x: Column, y: Column) -> Column:
+    """Whether (x, y) is inside, from whether (px, py) is (`seed`), the lower left corner of a cell that holds both, and the
+    edges that meet the cell. The way goes up the cell's left side, then to the right, and turns with each edge that it
+    crosses. All decisions about an edge are made by its x at a latitude, computed as `geo.in_edges` does, so they agree."""
+
+    def turns(e: Column) -> Column:
+        a, b = e["a"], e["b"]
+
+        def spans(v: Column) -> Column:
+            return (a["y"] > v) != (b["y"] > v)
+
+        def at(v: Column) -> Column:
+            return (b["x"] - a["x"]) * (v - a["y"]) / F.when(b["y"] == a["y"], 1e0).otherwise(b["y"] - a["y"]) + a["x"]
+
+        def right(v: Column) -> Column:
+            """Whether the edge, or its nearer end, lies right of the cell's left side at a latitude."""
+            above, below = F.when(a["y"] >= b["y"], a["x"]).otherwise(b["x"]), F.when(a["y"] >= b["y"], b["x"]).otherwise(a["x"])
+            return F.when(spans(v), at(v) > px).when(v >= F.greatest(a["y"], b["y"]), above > px).otherwise(below > px)
+
+        up = ((a["x"] > px) != (b["x"] > px)) & (right(py) != right(y))
+        along = spans(y) & (at(y) > px) & (at(y) <= x)
+        return up != along
+
+    return seed != (F.size(F.filter(pairs, turns)) % 2 == 1)
+
+
+def _inside(e: np.ndarray, seed: bool, px: float, py: float, x: float, y: float) -> bool:
+    """`_parity` of edges in four rows: ax, ay, bx, by."""
+    ax, ay, bx, by = e
+
+    def at(v: float) -> np.ndarray:
+        return (bx - ax) * (v - ay) / np.where(by == ay, 1.0, by - ay) + ax
+
+    def right(v: float) -> np.ndarray:
+        above, below = np.where(ay >= by, ax, bx), np.where(ay >= by, bx, ax)
+        return np.where((ay > v) != (by > v), at(v) > px, np.where(v >= np.maximum(ay, by), above > px, below > px))
+
+    up = ((ax > px) != (bx > px)) & (right(py) != right(y))
+    along = ((ay > y) != (by > y)) & (at(y) > px) & (at(y) <= x)
+    return seed != bool((up != along).sum() % 2)
+
+
+def _cut(e: np.ndarray, cx: int, cy: int, seed: bool, size: float, last: float) -> Iterator[tuple[int, int, bool, np.ndarray]]:
+    """Cells of the `last` size in a cell of this one that a polygon touches, with edges or inside it, and the edges of each. A
+    quarter is made from the edges of the cell it quarters."""
+    stack = [(cx, cy, seed, size, e)]
+    while stack:
+        cx, cy, seed, size, e = stack.pop()
+        if not seed and not e.shape[1]:
+            continue
+        if size <= last:
+            yield cx, cy, seed, e
+            continue
+        half, low, high = size / 2, np.minimum(e[:2], e[2:]), np.maximum(e[:2], e[2:])
+        for i in (2 * cx, 2 * cx + 1):
+            for j in (2 * cy, 2 * cy + 1):
+                x, y = i * half, j * half
+                near = (high[0] >= x) & (low[0] <= x + half) & (high[1] >= y) & (low[1] <= y + half)
+                stack.append((i, j, _inside(e, seed, cx * size, cy * size, x, y), half, e[:, near]))
+
+
+_POINT = pa.struct([("x", pa.float64()), ("y", pa.float64())])
+_EDGE = pa.struct([("a", _POINT), ("b", _POINT)])
+_CELL = "_cx bigint, _cy bigint, _seed boolean, _e array<struct<a:struct<x:double,y:double>,b:struct<x:double,y:double>>>"
+
 
+def _with_cells(df: DataFrame, column: str, cells: Callable[[pa.RecordBatch], Iterator[tuple[int, tuple[int, int, bool, np.ndarray]]]]) -> DataFrame:
+    """Rows of `df` without some columns, once for each cell that `cells` gives for its place in a batch."""
+    kept = [c for c in df.columns if c not in ("_cx", "_cy", "_seed", "_e", column)]
 
-def join_polygons(points: DataFrame, polygons: DataFrame, cell: float = 0.25, boundary: bool = False) -> DataFrame:
-    """Left join of points with the polygon they lie in (`order`, `ring`, attributes); the first wins.
+    def step(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = list(cells(batch))
+            rows, made = [r for r, _ in found], [c for _, c in found]
+            flat = np.concatenate([np.zeros((4, 0)), *[c[3] for c in made]], axis=1)
+            ends = [pa.StructArray.from_arrays([pa.array(flat[k]), pa.array(flat[k + 1])], fields=list(_POINT)) for k in (0, 2)]
+            bounds = pa.array(np.concatenate([[0], np.cumsum([c[3].shape[1] for c in made])]), pa.int32())
+            pairs = pa.ListArray.from_arrays(bounds, pa.StructArray.from_arrays(ends, fields=list(_EDGE)))
+            new = [pa.array([c[k] for c in made], t) for k, t in ((0, pa.int64()), (1, pa.int64()), (2, pa.bool_()))]
+            yield pa.RecordBatch.from_arrays([*(batch.column(n).take(pa.array(rows, pa.int64())) for n in kept), *new, pairs], names=[*kept, "_cx", "_cy", "_seed", "_e"])
 
-    A polygon falls to all square cells that its box touches, and a cell's polygons are one row, in their order; a point
-    joins the one row of its cell, and the rings decide there. So points are moved once at most, and never multiplied."""
+    schema = ", ".join([*(f"`{n}` {df.schema[n].dataType.simpleString()}" for n in kept), _CELL])
+    return df.mapInArrow(step, schema)
+
+
+def polygon_cells(polygons: DataFrame) -> DataFrame:
+    """A row for each polygon and cell of `BASE` degrees that it touches: _cx, _cy, _seed (is the cell's lower left corner
+    inside?), _e (the edges that meet the cell), and the polygon's columns but for its ring. A polygon is cut in the task that
+    reads it, quarter by quarter, so that each edge is looked at about four times a halving."""
+
+    def cells(batch: pa.RecordBatch) -> Iterator[tuple[int, tuple[int, int, bool, np.ndarray]]]:
+        for row, ring in enumerate(batch.column("ring")):
+            if not ring.is_valid or len(ring) < 2:
+                continue
+            v = ring.values
+            x, y = (v.field(n).to_numpy(zero_copy_only=False).astype(float) for n in ("x", "y"))
+            known = v.is_valid().to_numpy(zero_copy_only=False)
+            e = np.stack([x[:-1], y[:-1], x[1:], y[1:]])[:, known[:-1] & known[1:]]
+            if not e.shape[1]:
+                continue
+            x0, y0, x1, y1 = (int(f(e[k::2]) // ROOT) for f, k in ((np.min, 0), (np.min, 1), (np.max, 0), (np.max, 1)))
+            for cx in range(x0, x1 + 1):
+                for cy in range(y0, y1 + 1):
+                    px, py = cx * ROOT, cy * ROOT
+                    with np.errstate(all="ignore"):
+                        crossed = ((e[1] > py) != (e[3] > py)) & (px < (e[2] - e[0]) * (py - e[1]) / np.where(e[3] == e[1], 1.0, e[3] - e[1]) + e[0])
+                        yield from ((row, c) for c in _cut(e, cx, cy, bool(crossed.sum() % 2), ROOT, BASE))
+
+    return _with_cells(polygons, "ring", cells)
+
+
+def _split(cells: DataFrame, size: float, last: float) -> DataFrame:
+    """Cells of this size cut to ones of the `last`."""
+
+    def finer(batch: pa.RecordBatch) -> Iterator[tuple[int, tuple[int, int, bool, np.ndarray]]]:
+        for row, (cx, cy, seed, pairs) in enumerate(zip(*(batch.column(n) for n in ("_cx", "_cy", "_seed", "_e")), strict=True)):
+            v = pairs.values
+            e = np.stack([v.field(n).field(axis).to_numpy(zero_copy_only=False) for n in ("a", "b") for axis in ("x", "y")])
+            yield from ((row, c) for c in _cut(e, cx.as_py(), cy.as_py(), seed.as_py(), size, last))
+
+    return _with_cells(cells, "_e", finer)
+
+
+def _begins(x: Column, y: Column, size: float) -> Callable[[Column], Column]:
+    return lambda e: (e["a"]["x"] >= x) & (e["a"]["x"] < x + size) & (e["a"]["y"] >= y) & (e["a"]["y"] < y + size)
+
+
+def _within(px: Column, py: Column, boundary: bool) -> Callable[[Column], Column]:
+    """Whether a polygon of a cell holds the point of the row."""
+
+    def holds(p: Column) -> Column:
+        inside, on = _parity(p["_seed"], p["_e"], px, py, F.col("lon"), F.col("lat")), geo.on_edges("lon", "lat", p["_e"])
+        return (inside | on) if boundary else (inside & ~on)
+
+    return holds
+
+
+def join_polygons(points: DataFrame, polygons: DataFrame, boundary: bool = False, most_edges: int = MOST_EDGES) -> DataFrame:
+    """Left join of points with the polygon they lie in (`order`, `ring`, attributes); the first wins. boundary: what a point
+    on an edge is.
+
+    Polygons are cut to cells (`polygon_cells`), and a cell's polygons are one row, in their order; a point joins the one
+    row of its cell and meets the edges of that cell only. Cells with too many edges are marked there; they are split
+    again, and their points join once more. So a point is moved once for each level it needs, and never multiplied."""
     extra = [c for c in polygons.columns if c not in ("ring", "order")]
-    xs, ys = F.transform("ring", lambda v: v["x"]), F.transform("ring", lambda v: v["y"])
-    spread = polygons.withColumn("_cx", F.explode(_cells(F.array_min(xs), F.array_max(xs), cell))).withColumn("_cy", F.explode(_cells(F.array_min(ys), F.array_max(ys), cell)))
-    cells = spread.groupBy("_cx", "_cy").agg(F.sort_array(F.collect_list(F.struct("order", "ring", *extra))).alias("_near"))
-    placed = points.withColumn("_cx", F.floor(F.col("lon") / cell)).withColumn("_cy", F.floor(F.col("lat") / cell))
-    met = placed.join(cells, ["_cx", "_cy"], "left")
-    first = F.filter("_near", lambda p: geo.in_ring("lon", "lat", p["ring"], boundary))
-    found = met.withColumn("_first", F.get(first, F.lit(0)))
-    return found.select(*points.columns, *[F.col(f"_first.{c}").alias(c) for c in extra])
+    cells, size, rest, parts = polygon_cells(polygons), BASE, points, []
+    for level in range(LEVELS):
+        here = rest.withColumn("_cx", F.floor(F.col("lon") / size)).withColumn("_cy", F.floor(F.col("lat") / size))
+        heavy = None
+        if level < LEVELS - 1:
+            x, y = F.col("_cx") * F.lit(size), F.col("_cy") * F.lit(size)
+            # edges that begin in the cell: those that only pass would pass its parts too
+            own = F.size(F.filter("_e", _begins(x, y, size)))
+            heavy = cells.groupBy("_cx", "_cy").agg(F.sum(own).alias("_n")).where(F.col("_n") > most_edges).select("_cx", "_cy")
+            heavy = None if heavy.isEmpty() else heavy
+        light = cells if heavy is None else cells.join(heavy, ["_cx", "_cy"], "left_anti")
+        rows = light.groupBy("_cx", "_cy").agg(F.sort_array(F.collect_list(F.struct("order", "_seed", "_e", *extra))).alias("_near")).withColumn("_deeper", F.lit(False))
+        if heavy is not None:
+            rows = rows.unionByName(heavy.withColumn("_deeper", F.lit(True)), allowMissingColumns=True)
+        met = here.join(rows, ["_cx", "_cy"], "left")
+        px, py = F.col("_cx") * F.lit(size), F.col("_cy") * F.lit(size)
+
+        found = met.where(F.coalesce(~F.col("_deeper"), F.lit(True))).withColumn("_first", F.get(F.filter("_near", _within(px, py, boundary)), F.lit(0)))
+        parts.append(found.select(*points.columns, *[F.col(f"_first.{c}").alias(c) for c in extra]))
+        if heavy is None:
+            break
+        rest = met.where("_deeper").select(*points.columns)
+        cells, size = _split(cells.join(heavy, ["_cx", "_cy"], "left_semi"), size, size / 2**HALVES), size / 2**HALVES
+    out = parts[0]
+    for part in parts[1:]:
+        out = out.unionByName(part)
+    return out
 
 
 def away_from(points: DataFrame, others: DataFrame, metres: float, zone: int = 34) -> DataFrame:
-    """Points with no other point within a distance: an anti-join on cells of that size and the ring around."""
+    """Points with no other point within a distance: two anti-joins on cells.
+
+    Of cells whose diagonal is below the distance, a point that shares one with another point is near it, whatever else lies
+    there, so dense places are settled without a pair. What is left meets the cells of the distance around it, and of
+    these the distinct other points, up to the first that is near."""
     here = geo.apply(points, geo.utm("lon", "lat", zone, x="px_", y="py_"))
-    here = here.withColumn("_cx", F.floor(F.col("px_") / metres)).withColumn("_cy", F.floor(F.col("py_") / metres))
     there = geo.apply(others.select("lon", "lat").distinct(), geo.utm("lon", "lat", zone, x="qx_", y="qy_")).select("qx_", "qy_")
+    own = 0.7 * metres  # the diagonal is 0.99 of the distance
+    taken = there.select(F.floor(F.col("qx_") / own).alias("_sx"), F.floor(F.col("qy_") / own).alias("_sy")).distinct()
+    alone = here.withColumns({"_sx": F.floor(F.col("px_") / own), "_sy": F.floor(F.col("py_") / own)}).join(taken, ["_sx", "_sy"], "left_anti")
+    alone = alone.withColumn("_cx", F.floor(F.col("px_") / metres)).withColumn("_cy", F.floor(F.col("py_") / metres))
     around = F.sequence(F.lit(-1), F.lit(1))
     there = there.withColumn("_dx", F.explode(around)).withColumn("_dy", F.explode(around))
     there = there.select("qx_", "qy_", (F.floor(F.col("qx_") / metres) + F.col("_dx")).alias("_ox"), (F.floor(F.col("qy_") / metres) + F.col("_dy")).alias("_oy"))
     near = (F.col("px_") - F.col("qx_")) ** 2 + (F.col("py_") - F.col("qy_")) ** 2 < metres * metres
-    return here.join(there, (F.col("_cx") == F.col("_ox")) & (F.col("_cy") == F.col("_oy")) & near, "left_anti").select(points.columns)
+    return alone.join(there, (F.col("_cx") == F.col("_ox")) & (F.col("_cy") == F.col("_oy")) & near, "left_anti").select(points.columns)

@@ -3,6 +3,7 @@
 import json
 import struct
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -117,3 +118,75 @@ def test_grid_leaves_holes_out(spark, tmp_path):
     at = geojson(tmp_path / "a.geojson", [OUTER, HOLE], [ISLE])
     assert sum(v is None for v in cli._outline(spark, at)) == 3
     assert cli.provinces(files.read_geojson(spark, at), ["A"], south=-33.0).count() == 1
+
+
+def wild_rings(seed, n, x=20.0, y=-30.0, size=3.0):
+    """A wavy, rough outline of n vertices with a hole of n / 2 and an isle in the hole."""
+    rng = np.random.default_rng(seed)
+    rings = []
+    for radius, k in ((size, n), (size / 2, n // 2), (size / 8, 40)):
+        turn = np.sort(rng.random(k)) * 2 * np.pi
+        r = radius * (0.8 + 0.1 * np.sin(7 * turn) + 0.05 * np.sin(31 * turn + seed) + 1e-4 * rng.random(k))
+        points = list(zip((x + r * np.cos(turn)).tolist(), (y + r * np.sin(turn)).tolist(), strict=True))
+        rings.append([*points, points[0]])
+    return rings
+
+
+def crossings(rings, px, py):
+    """Even-odd rule of many points, ring by ring."""
+    odd = np.zeros(len(px), bool)
+    for ring in rings:
+        v = np.array(ring)
+        for k in range(0, len(px), 200):
+            x, y = px[k : k + 200, None], py[k : k + 200, None]
+            (ax, ay), (bx, by) = v[:-1].T, v[1:].T
+            with np.errstate(all="ignore"):
+                odd[k : k + 200] ^= (((ay > y) != (by > y)) & (x < (bx - ax) * (y - ay) / (by - ay) + ax)).sum(1) % 2 == 1
+    return odd
+
+
+def parted(rings):
+    return [None if v is None else {"x": v[0], "y": v[1]} for k, r in enumerate(rings) for v in ([None] if k else []) + r]
+
+
+@pytest.mark.parametrize("most_edges", [10, 128, 10**9])
+def test_points_meet_the_edges_of_their_cells(spark, most_edges):
+    """As many edges as 100,000, holes and isles, overlapping polygons of which the first wins, and vertices on the cells' sides."""
+    shapes = [wild_rings(1, 100_000 if most_edges == 128 else 3000), wild_rings(2, 60, 21.0, -31.0), [[(18.0, -32.0), (18.0, -28.0), (19.5, -28.5), (22.0, -28.0), (22.0, -32.0), (18.0, -32.0)]], [[(16.0, -32.0), (32.0, -32.0), (32.0, -16.0), (16.0, -16.0), (16.0, -32.0)]]]
+    rng = np.random.default_rng(3)
+    x, y = rng.uniform(16, 25, 1500), rng.uniform(-35, -26, 1500)
+    x[:300], y[:300] = np.round(x[:300] * 4) / 4 + 1e-9, np.round(y[:300] * 4) / 4 + 1e-9  # beside the corners of cells
+    points = spark.createDataFrame([(i, float(a), float(b)) for i, (a, b) in enumerate(zip(x, y, strict=True))], "i int, lon double, lat double")
+    polygons = spark.createDataFrame([(k, parted(r), f"p{k}") for k, r in enumerate(shapes)], "order int, ring array<struct<x:double,y:double>>, name string")
+    got = {r.i: r.name for r in spatial.join_polygons(points, polygons, most_edges=most_edges).collect()}
+    inside = np.stack([crossings(r, x, y) for r in shapes])
+    want = {i: f"p{inside[:, i].argmax()}" if inside[:, i].any() else None for i in range(len(x))}
+    assert len(got) == len(x) and got == want and len(set(want.values())) == 5
+    if most_edges == 128:
+        cells = spatial.polygon_cells(polygons.where("order = 0"))
+        assert cells.agg(F.max(F.size("_e"))).first()[0] < 100_000 / 20
+
+
+def test_points_on_edges_and_empty_polygons(spark):
+    polygons = spark.createDataFrame([(0, None, "none"), (1, [], "empty"), (2, parted([[(18.0, -33.0), (19.0, -33.0), (19.0, -32.0), (18.0, -32.0), (18.0, -33.0)]]), "box")], "order int, ring array<struct<x:double,y:double>>, name string")
+    points = spark.createDataFrame([(1, 18.0, -32.5), (2, 18.5, -33.0), (3, 19.0, -32.0), (4, 18.5, -32.5), (5, None, -32.5)], "i int, lon double, lat double")
+    for boundary, want in ((False, {4}), (True, {1, 2, 3, 4})):
+        assert {r.i for r in spatial.join_polygons(points, polygons, boundary).collect() if r.name} == want
+    assert spatial.join_polygons(points, polygons.limit(0)).count() == 5
+
+
+def test_dense_places_are_settled_without_pairs(spark):
+    """100,000 points and as many others in one cell, and points around that are near or far."""
+    rng = np.random.default_rng(4)
+    crowd = spark.range(100_000).select(F.concat(F.lit("c"), "id").alias("obs_id"), (20.0 + F.rand(1) * 1e-3).alias("lon"), (-30.0 + F.rand(2) * 1e-3).alias("lat"))
+    others = spark.range(100_000).select((20.0 + F.rand(3) * 1e-3).alias("lon"), (-30.0 + F.rand(4) * 1e-3).alias("lat"))
+    x, y = rng.uniform(19.99, 20.01, 300), rng.uniform(-30.01, -29.99, 300)
+    ring = spark.createDataFrame([(f"r{i}", float(a), float(b)) for i, (a, b) in enumerate(zip(x, y, strict=True))], "obs_id string, lon double, lat double")
+    got = {r.obs_id for r in spatial.away_from(crowd.unionByName(ring), others, 320.0).collect()}
+    assert not any(k.startswith("c") for k in got)
+    few = spatial.away_from(ring, spark.createDataFrame([(20.0, -30.0), (20.001, -29.999)], "lon double, lat double"), 320.0)
+    metres = lambda a, b, c, d: np.hypot((a - c) * 111_320 * np.cos(np.radians(30)), (b - d) * 110_860)
+    distance = np.minimum(metres(x, y, 20.0, -30.0), metres(x, y, 20.001, -29.999))
+    sure = np.abs(distance - 320) > 5
+    found = {r.obs_id for r in few.collect()}
+    assert all((f"r{i}" in found) == (distance[i] > 320) for i in np.flatnonzero(sure))

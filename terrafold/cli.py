@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from terrafold.operators import adapters, campaign, crosswalk, filters, head, manifest, spatial, split, stats
 from terrafold.shipping import ship
-from terrafold.sources import files, sinks
+from terrafold.sources import files, sinks, tiff
 from terrafold.sources.store import Store
 
 
@@ -77,7 +77,7 @@ def labels_mapwaps_ingest(spark: SparkSession, a: argparse.Namespace) -> DataFra
     survey = adapters.CATCHMENTS[a.catchment]
     if survey.src_zone is None and files.declared_crs(a.points) is None:
         raise ValueError(f"{a.points} declares no projection, and none is known for {a.catchment}")
-    points = spark.read.format("shapefile").load(a.points).withColumn("row", F.monotonically_increasing_id())
+    points = spark.read.format("shapefile").load(a.points).withColumnRenamed("record", "row")
     return _upsert(spark, a, [adapters.mapwaps(points, survey)], a.catchment)
 
 
@@ -101,7 +101,7 @@ def _biomes(spark: SparkSession, path: str, points: DataFrame) -> DataFrame:
     if path.endswith(".shp"):
         box = points.agg(F.min("lon"), F.min("lat"), F.max("lon"), F.max("lat")).first()
         near = spark.read.format("shapefile").option("columns", "T_BIOME").option("bbox", ",".join(str(v) for v in box) if box[0] is not None else "0,0,0,0")
-        return near.load(path).where("ring is not null").withColumn("order", F.monotonically_increasing_id())
+        return near.load(path).where("ring is not null").withColumnRenamed("record", "order")
     return files.read_geojson(spark, path).withColumn("T_BIOME", F.get_json_object("properties", "$.T_BIOME")).drop("properties")
 
 
@@ -224,7 +224,7 @@ def infer(spark: SparkSession, a: argparse.Namespace) -> DataFrame:
         epsg = 32767
     if a.raster:
         left, top, width, height = place
-        files.write_tiff(inference.to_array(rows, width, height), a.raster, (left, top), (box.metres, -box.metres), epsg, inference.NODATA)
+        tiff.write_raster(rows, a.raster, tiff.Grid(left, top, width, height, box.metres, epsg), ("class_id", "confidence", "ood"), nodata=inference.NODATA)
     return rows
 
 

@@ -6,6 +6,7 @@ leaves either rows without a name, which no reader sees, or a shard that the nex
 
 from __future__ import annotations
 
+import time
 import uuid
 from dataclasses import dataclass, field
 from typing import Any
@@ -17,9 +18,12 @@ from terrafold.functions import geo
 from terrafold.operators import chips, manifest
 from terrafold.schema import MANIFEST
 from terrafold.sources import sinks
+from terrafold.sources.tiff import scene_pixels
 
 #: The pixel grid of a UTM zone: 10 m, from the false origin of the south downwards.
 X0, Y0, PIXEL, WIDTH, HEIGHT = 0.0, 1e7, 10.0, 100_000, 1_000_000
+#: The asset of a scene that holds its pixels' classes.
+MASK = "SCL"
 
 
 @dataclass(frozen=True)
@@ -60,12 +64,18 @@ def extract(wanted: DataFrame, catalog: DataFrame, pixels: DataFrame, c: Campaig
     """status, valid_frac and chip of each row of `wanted` (obs_id, month_label, win_start, win_end, lon, lat, grp, epsg, box).
 
     catalog: scene, day, cloud, s_minx, s_maxx, s_miny, s_maxy (degrees). pixels: scene, epsg, band, x, y (centres in
-    metres), value, scl; a scene's pixels in another zone than the group's don't count. A window meets the pixels of its
+    metres), value, scl, or assets of scenes (scene, epsg, band, path; `tiff.scene_pixels`), of which the tiles on
+    windows are read; a scene's pixels in another zone than the group's don't count. A window meets the pixels of its
     group's scenes by scene, zone and cell of 64 pixels, so pixels are moved once and multiplied by the windows on them only."""
     searched = wanted.select("grp", "month_label", "win_start", "win_end", "minx", "maxx", "miny", "maxy").distinct().withColumnRenamed("grp", "group")
     scenes = chips.scenes_for(searched, catalog, c.cloud_max, c.most_scenes).select(F.col("group").alias("grp"), "month_label", "scene")
     placed = geo.apply(wanted.withColumn("_zone", F.col("epsg") % 100), geo.utm("lon", "lat", "_zone", x="x", y="y"))
     points = placed.join(scenes, ["grp", "month_label"], "left").select("obs_id", "month_label", "x", "y", "epsg", "scene")
+    if "path" in pixels.columns:
+        half = (c.size // 2 + 1) * PIXEL
+        edges = [(F.col(axis) + sign * half).alias(f"{axis}{k}") for axis in ("x", "y") for k, sign in enumerate((-1, 1))]
+        assets = pixels.where(F.col("band").isin(*c.bands, MASK)) if c.bands else pixels
+        pixels = scene_pixels(assets, points.where("scene is not null").select("scene", "epsg", *edges), PIXEL, MASK)
     chosen = pixels.where(F.col("band").isin(*c.bands)) if c.bands else pixels
     on_grid = chosen.select("scene", "epsg", "band", F.floor((F.col("x") - X0) / PIXEL).alias("col"), F.floor((Y0 - F.col("y")) / PIXEL).alias("row"), "value", "scl")
     return chips.extract(points, on_grid, X0, Y0, PIXEL, -PIXEL, WIDTH, HEIGHT, c.size, c.least_valid, by=("scene", "epsg"))
@@ -78,7 +88,11 @@ def _write(wanted: DataFrame, catalog: DataFrame, pixels: DataFrame, c: Campaign
     uri = F.concat_ws("/", F.lit(f"run={run}"), "obs_id", "year", "month_label").alias("chip_uri")
     at = f"{c.prefix}/chips/run={run}"
     sinks.write_parquet(made.join(told, ["obs_id", "month_label"]).select(uri, *[n for n in MANIFEST.names if n != "chip_uri"], "chip"), at)
-    sinks.append_shard(wanted.sparkSession.read.parquet(at).select(*[F.col(f.name).cast(f.dataType) for f in MANIFEST]), c.prefix)
+    rows = wanted.sparkSession.read.parquet(at).select(*[F.col(f.name).cast(f.dataType) for f in MANIFEST])
+    if rows.isEmpty():
+        sinks.remove(wanted.sparkSession, at)
+    else:
+        sinks.append_shard(rows, c.prefix)
 
 
 def run(labels: DataFrame, catalog: DataFrame, pixels: DataFrame, c: Campaign, fallback: bool = True, prune: bool = True) -> DataFrame:
@@ -89,6 +103,7 @@ def run(labels: DataFrame, catalog: DataFrame, pixels: DataFrame, c: Campaign, f
     off where the labels are a part of what is kept)."""
     spark = labels.sparkSession
     had = sinks.consolidate_shards(spark, c.prefix)
+    before = runs_of(had)
     fixed = labels.join(manifest.modal_year(had), "obs_id", "left").withColumn("year", F.coalesce("modal_year", "year").cast("int")).drop("modal_year")
     at = f"{c.prefix}/labels"
     sinks.write_parquet(fixed, at)  # the passes and the pruning see the same labels, whatever happens to the store meanwhile
@@ -112,8 +127,9 @@ def run(labels: DataFrame, catalog: DataFrame, pixels: DataFrame, c: Campaign, f
     if prune:
         expected = manifest.windows(fixed.withColumn("months", months_of(F.col("zone"), c.months))).select("obs_id", "month_label")
         kept = manifest.reconcile(now, fixed, expected).where("not stale")
+        before |= runs_of(now)
         now = sinks.replace_manifest(kept, c.prefix)
-        sweep(spark, c.prefix, now)
+        sweep(spark, c.prefix, now, before)
     return now
 
 
@@ -129,15 +145,23 @@ def read_chips(spark: SparkSession, prefix: str) -> DataFrame:
     return table.join(sinks.read_manifest(spark, prefix).select("chip_uri"), "chip_uri", "left_semi")
 
 
-def sweep(spark: SparkSession, prefix: str, rows: DataFrame) -> list[str]:
-    """Removes the chips of runs of which the manifest names none any more; a run's chips go together, when its last one does."""
+def runs_of(rows: DataFrame) -> set[str]:
+    """The runs that manifest rows name; one a run."""
+    return {r[0] for r in rows.select(F.substring_index("chip_uri", "/", 1)).distinct().toLocalIterator()}
+
+
+def sweep(spark: SparkSession, prefix: str, rows: DataFrame, before: set[str], hours: float = 48.0) -> list[str]:
+    """Removes the chips of runs of which the manifest names none any more; a run's chips go together, when its last one does.
+
+    Only runs that the manifest named `before`, and those of no name that are older than `hours`, go: another run may have
+    written chips of which it is yet to write the shard."""
     jvm = spark._jvm
     at = jvm.org.apache.hadoop.fs.Path(f"{prefix}/chips")
     fs = at.getFileSystem(spark._jsc.hadoopConfiguration())
     if not fs.exists(at):
         return []
-    named = {r[0] for r in rows.select(F.substring_index("chip_uri", "/", 1)).distinct().toLocalIterator()}  # one a run
-    gone = [s.getPath() for s in fs.listStatus(at) if s.getPath().getName() not in named]
+    named, limit = runs_of(rows), (time.time() - hours * 3600) * 1000
+    gone = [s.getPath() for s in fs.listStatus(at) if (name := s.getPath().getName()) not in named and (name in before or s.getModificationTime() < limit)]
     for path in gone:
         fs.delete(path, True)
     return sorted(p.getName() for p in gone)

@@ -119,6 +119,29 @@ def tta_map(spark, d):
     return inference.blend_map(inference.predict_windows(tiles, score, views=8), [3, 5])
 
 
+#: A field of 220 by 150 pixels in a box: a line item is a value of a pixel in one of seven scenes, of which the last is too cloudy.
+_VALUES = """SELECT l_linenumber AS scene, 32734 AS epsg, 'B02' AS band, 300005e0 + 1e1 * (l_orderkey * 37 % 220) AS x, 6239995e0 - 1e1 * (l_partkey * 53 % 150) AS y,
+  (CAST(l_extendedprice AS BIGINT) % 100) * 1e2 + 25 AS value, CAST(l_quantity AS INT) % 12 AS scl FROM lineitem"""
+_SEEN = "SELECT DISTINCT l_linenumber AS scene, CAST('2023-02-10' AS DATE) AS day, l_linenumber * 1e1 AS cloud, 17e0 AS s_minx, 20e0 AS s_maxx, -35e0 AS s_miny, -33e0 AS s_maxy FROM lineitem"
+
+
+@query(
+    f"WITH m AS (SELECT CAST((x - 300005) / 10 AS INT) AS x, CAST((6239995 - y) / 10 AS INT) AS y, CAST(median(value) AS FLOAT) / 1e4 AS v FROM ({_VALUES}) WHERE scene * 10 < 65 AND scl NOT IN (0, 1, 3, 8, 9, 10) GROUP BY ALL), "
+    "f AS (SELECT a.y, b.x, coalesce(v, 0e0) AS v FROM range(150) a(y) CROSS JOIN range(220) b(x) LEFT JOIN m ON m.x = b.x AND m.y = a.y) "
+    "SELECT CAST(y AS INT) AS y, CAST(x AS INT) AS x, CASE WHEN v > 5e-1 THEN 3 ELSE 5 END AS class_id, CAST(floor(greatest(v, 1 - v) * 100) AS INT) AS confidence, CAST(floor(v * 100) AS INT) AS ood FROM f"
+)
+def tiled_map(spark, d):
+    """A box's composite in tiles of two windows on a side, mapped and blended; a pixel's own median is its score."""
+    box = inference.Box(34, True, 300000.0, 6240000.0, 220, 150)
+    tiles = inference.composite(table(spark, d, _VALUES), table(spark, d, _SEEN), (18.0, -34.5, 19.0, -33.5), box, [("feb", "2023-02-01", "2023-02-28")], ["B02"], cloud_max=65.0, side=2)
+
+    def score(stacks: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        v = stacks[:, 0, 0].astype(float)
+        return np.stack([v, 1 - v], axis=-1), v
+
+    return inference.blend_map(inference.predict_windows(tiles, score), [3, 5]).drop("tile")
+
+
 _CENTRES = "SELECT l_suppkey AS raster, 300005e0 + 1e1 * (l_linenumber % 5) AS x, 6239995e0 - 2e1 * (CAST(l_quantity AS INT) % 10) AS y FROM lineitem"
 
 

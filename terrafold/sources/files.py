@@ -1,9 +1,8 @@
-"""Readers and writers of files: CSV as text, GeoJSON rings, shapefiles, YAML, rasters as TIFF."""
+"""Readers of files: CSV as text, GeoJSON rings, shapefiles, YAML."""
 
 from __future__ import annotations
 
 import struct
-import zlib
 from collections.abc import Iterator
 from pathlib import Path
 from typing import Any
@@ -56,7 +55,7 @@ def read_geojson(spark: SparkSession, path: str) -> DataFrame:
 
 class ShapefileSource(DataSource):
     """`spark.read.format("shapefile").load(path)`: x and y of points, or the rings of a polygon, a null
-    between them, and the attributes as text. Options: columns, a comma list of attributes to read; bbox (four numbers, in the file's own
+    between them, the attributes as text, and record, the number from 0 in the file. Deleted records are left out. Options: columns, a comma list of attributes to read; bbox (four numbers, in the file's own
     coordinates), beyond which polygons are skipped."""
 
     @classmethod
@@ -68,7 +67,7 @@ class ShapefileSource(DataSource):
         wanted = self.options.get("columns")
         names = [f[0] for f in fields if not wanted or f[0] in wanted.split(",")]
         shape = "x double, y double" if kind in (1, 11, 21) else "ring array<struct<x:double,y:double>>"
-        return ", ".join([shape, *(f"`{n}` string" for n in names)])
+        return ", ".join([shape, *(f"`{n}` string" for n in names), "record bigint"])
 
     def reader(self, schema) -> DataSourceReader:
         return _ShapefileReader(self.options["path"], schema, self.options.get("bbox"))
@@ -92,9 +91,11 @@ def shapefile_in(path: str) -> str:
 
 def _header(path: str) -> tuple[int, list[tuple[str, int]]]:
     """Shape type of the .shp and (name, width) of the .dbf's fields."""
-    kind = struct.unpack("<i", Path(path).read_bytes()[32:36])[0]
-    raw = Path(path).with_suffix(".dbf").read_bytes()
-    size = struct.unpack("<H", raw[8:10])[0]
+    with Path(path).open("rb") as shp, Path(path).with_suffix(".dbf").open("rb") as dbf:
+        kind = struct.unpack("<i", shp.read(36)[32:])[0]
+        raw = dbf.read(12)
+        size = struct.unpack("<H", raw[8:10])[0]
+        raw += dbf.read(size - 12)
     fields = []
     for at in range(32, size - 1, 32):
         if raw[at] == 0x0D:
@@ -119,7 +120,8 @@ class _ShapefileReader(DataSourceReader):
         return x0 <= self.bbox[2] and x1 >= self.bbox[0] and y0 <= self.bbox[3] and y1 >= self.bbox[1]
 
     def partitions(self) -> list[InputPartition]:
-        n = struct.unpack("<I", Path(self.path).with_suffix(".dbf").read_bytes()[4:8])[0]
+        with Path(self.path).with_suffix(".dbf").open("rb") as dbf:
+            n = struct.unpack("<I", dbf.read(8)[4:])[0]
         return [InputPartition((i, min(n, i + self.ROWS))) for i in range(0, n, self.ROWS)] or [InputPartition((0, 0))]
 
     def read(self, partition: InputPartition) -> Iterator[tuple]:
@@ -130,10 +132,10 @@ class _ShapefileReader(DataSourceReader):
             shx.seek(100 + 8 * lo)
             places = np.frombuffer(shx.read(8 * (hi - lo)), ">i4").reshape(-1, 2) * 2
             dbf.seek(head + lo * width)
-            for at, size in places.tolist():
+            for number, (at, size) in enumerate(places.tolist(), lo):
                 shp.seek(at + 8)
                 raw, row = shp.read(size), dbf.read(width)
-                if not self._near(raw, kind):
+                if row[:1] == b"*" or not self._near(raw, kind):
                     continue
                 shape = _shape(raw, kind)
                 pos, values = 1, []
@@ -141,7 +143,7 @@ class _ShapefileReader(DataSourceReader):
                     if name in self.names:
                         values.append(row[pos : pos + length].decode("utf-8", "replace").strip() or None)
                     pos += length
-                yield (*shape, *values)
+                yield (*shape, *values, number)
 
 
 def _shape(raw: bytes, kind: int) -> tuple:
@@ -157,56 +159,3 @@ def _shape(raw: bytes, kind: int) -> tuple:
     for start in reversed(starts[1:]):
         ring.insert(start, None)
     return (ring,)
-
-
-def write_tiff(array: np.ndarray, path: str, origin: tuple[float, float], pixel: tuple[float, float], epsg: int, nodata: float | None = None, tile: int = 256) -> str:
-    """A deflated GeoTIFF of (bands, rows, columns) in square tiles, for the few rasters that leave the engine. One of over
-    4 GB packed is an error: cut it first. epsg 32767 means a projection of one's own."""
-    array = array[None] if array.ndim == 2 else array
-    bands, rows, cols = array.shape
-    form = {"u": 1, "i": 2, "f": 3}[array.dtype.kind]
-    pixels = np.moveaxis(array, 0, -1).astype(array.dtype.newbyteorder("<"))
-    data, offsets, lengths = b"", [], []
-    for r in range(0, rows, tile):
-        for c in range(0, cols, tile):
-            part = pixels[r : r + tile, c : c + tile]
-            full = np.zeros((tile, tile, bands), pixels.dtype)
-            full[: part.shape[0], : part.shape[1]] = part
-            packed = zlib.compress(full.tobytes(), 6)
-            offsets.append(8 + len(data))
-            lengths.append(len(packed))
-            data += packed + b"\0" * (len(packed) % 2)
-    if len(data) >= 1 << 32:
-        raise ValueError(f"{len(data)} bytes don't fit a TIFF of 32-bit offsets")
-    geo = struct.pack("<16H", 1, 1, 0, 3, 1024, 0, 1, 1, 1025, 0, 1, 1, 3072, 0, 1, epsg)
-    tags: list[tuple[int, int, int, bytes]] = [
-        (256, 4, 1, struct.pack("<I", cols)),
-        (257, 4, 1, struct.pack("<I", rows)),
-        (258, 3, bands, struct.pack(f"<{bands}H", *[array.dtype.itemsize * 8] * bands)),
-        (259, 3, 1, struct.pack("<H", 8)),
-        (262, 3, 1, struct.pack("<H", 1)),
-        (277, 3, 1, struct.pack("<H", bands)),
-        (284, 3, 1, struct.pack("<H", 1)),
-        (322, 4, 1, struct.pack("<I", tile)),
-        (323, 4, 1, struct.pack("<I", tile)),
-        (324, 4, len(offsets), struct.pack(f"<{len(offsets)}I", *offsets)),
-        (325, 4, len(lengths), struct.pack(f"<{len(lengths)}I", *lengths)),
-        (339, 3, bands, struct.pack(f"<{bands}H", *[form] * bands)),
-        (33550, 12, 3, struct.pack("<3d", abs(pixel[0]), abs(pixel[1]), 0)),
-        (33922, 12, 6, struct.pack("<6d", 0, 0, 0, origin[0], origin[1], 0)),
-        (34735, 3, 16, geo),
-    ]
-    if nodata is not None:
-        tags.append((42113, 2, len(str(nodata)) + 1, str(nodata).encode() + b"\0"))
-    start = 8 + len(data)
-    entries, extra = b"", b""
-    tail = start + 2 + 12 * len(tags) + 4
-    for tag, kind, count, value in sorted(tags):
-        if len(value) > 4:
-            entries += struct.pack("<HHII", tag, kind, count, tail + len(extra))
-            extra += value + b"\0" * (len(value) % 2)
-        else:
-            entries += struct.pack("<HHI", tag, kind, count) + value.ljust(4, b"\0")
-    Path(path).parent.mkdir(parents=True, exist_ok=True)
-    Path(path).write_bytes(b"II*\0" + struct.pack("<I", start) + data + struct.pack("<H", len(tags)) + entries + b"\0\0\0\0" + extra)
-    return path

@@ -3,14 +3,17 @@
 from __future__ import annotations
 
 import uuid
+import warnings
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from terrafold.operators.dedup import one_per
 from terrafold.operators.head import Head
 from terrafold.operators.manifest import consolidate
 from terrafold.operators.stats import source_summary
 from terrafold.schema import MANIFEST, MANIFEST_KEY
+from terrafold.sources.files import list_parquet
 from terrafold.sources.swap import Swap
 
 HEAD = (
@@ -24,6 +27,11 @@ def exists(spark: SparkSession, path: str) -> bool:
     return at.getFileSystem(spark._jsc.hadoopConfiguration()).exists(at)
 
 
+def remove(spark: SparkSession, path: str) -> None:
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
+
+
 def write_parquet(df: DataFrame, path: str, mode: str = "overwrite") -> str:
     df.write.mode(mode).option("compression", "zstd").parquet(path)
     return path
@@ -37,7 +45,7 @@ def write_summary(store: DataFrame, path: str) -> DataFrame:
 def write_split(split: DataFrame, path: str) -> None:
     """split.parquet, one row an observation, and a sorted list of ids under lists/fold=<fold>."""
     columns = [c for c in ("obs_id", "fold", "class_id") if c in split.columns]
-    write_parquet(split.select(*columns).dropDuplicates(["obs_id"]), f"{path}/split.parquet")
+    write_parquet(one_per(split.select(*columns), ["obs_id"], [F.col(c) for c in columns[1:]]), f"{path}/split.parquet")
     ids = split.select("obs_id", "fold").distinct().repartitionByRange("fold", "obs_id").sortWithinPartitions("fold", "obs_id")
     ids.write.mode("overwrite").partitionBy("fold").text(f"{path}/lists")
 
@@ -84,7 +92,8 @@ def replace_manifest(rows: DataFrame, prefix: str) -> DataFrame:
 
 
 def consolidate_shards(spark: SparkSession, prefix: str) -> DataFrame:
-    """The manifest with its shards, later rows first; shards that can't be read are skipped. The merged table
+    """The manifest with its shards, later rows first; files of shards that can't be read are put aside under `unreadable`
+    and named in a warning. The merged table
     is written beside the old one and swapped in, then the shards go; a replay after a stop merges them again,
     which changes nothing."""
     swap, shards = _manifest(spark, prefix), f"{prefix}/shards"
@@ -95,10 +104,29 @@ def consolidate_shards(spark: SparkSession, prefix: str) -> DataFrame:
     # the time of the shard, then the place in it
     fresh = fresh.withColumn("seq", F.unix_millis("_metadata.file_modification_time") * 1_000_000 + F.pmod(F.col("_metadata.row_index"), F.lit(1_000_000)))
     merged = replace_manifest(consolidate(old, fresh, MANIFEST_KEY).drop("seq"), prefix)
+    for file in _unreadable(spark, shards, {r[0] for r in fresh.select("_metadata.file_path").distinct().toLocalIterator()}):
+        swap.make(f"{prefix}/unreadable")
+        swap.move(file, f"{prefix}/unreadable/{'_'.join(file.split('/')[-2:])}")
+        warnings.warn(f"{file} can't be read; it is now under {prefix}/unreadable", stacklevel=2)
     swap.remove(shards)
     return merged
 
 
+def _unreadable(spark: SparkSession, shards: str, seen: set[str]) -> list[str]:
+    """Files of shards that gave no row because they are broken; those that are merely empty aren't."""
+    names = {f.split("/shards/")[-1] for f in seen}
+    out = []
+    for file in list_parquet(spark, shards, recursive=True):
+        if file.split("/shards/")[-1] not in names:
+            try:
+                spark.read.schema(MANIFEST).parquet(file).collect()  # it has no row, or can't be read
+            except Exception as e:  # whatever a broken file raises
+                if "FAILED_READ_FILE" not in str(e) and "not a Parquet file" not in str(e):
+                    raise
+                out.append(file)
+    return out
+
+
 def save_head(spark: SparkSession, head: Head, path: str) -> None:
     row = head.to_row()
     names = ("classes", "mean", "sd", "layers", "means", "precision", "threshold")

@@ -43,6 +43,9 @@ class Swap:
         self.remove(self.old)
         return self.at
 
+    def make(self, path: str) -> None:
+        self._fs.mkdirs(self._path(path))
+
     def move(self, source: str, target: str) -> None:
         if not self._fs.rename(self._path(source), self._path(target)):
             raise OSError(f"can't move {source} to {target}")

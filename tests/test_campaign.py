@@ -86,7 +86,11 @@ def test_a_stopped_run_is_taken_up(spark, tmp_path, world, monkeypatch):
         campaign.run(rows, catalog, pixels, c)
     monkeypatch.setattr(sinks, "append_shard", whole)
     assert campaign.run(rows, catalog, pixels, c).count() == 1
-    assert campaign.read_chips(spark, c.prefix).count() == 1 and len(list((tmp_path / "z" / "chips").iterdir())) == 1
+    now, folder = sinks.read_manifest(spark, c.prefix), tmp_path / "z" / "chips"
+    # what the stopped run left may be another run's that is yet to name it, until it is old
+    assert campaign.read_chips(spark, c.prefix).count() == 1 and len(list(folder.iterdir())) == 2
+    assert len(campaign.sweep(spark, c.prefix, now, set(), hours=-1)) == 1 and len(list(folder.iterdir())) == 1
+    assert campaign.read_chips(spark, c.prefix).count() == 1
 
 
 def test_no_labels(spark, tmp_path, world):

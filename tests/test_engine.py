@@ -329,24 +329,6 @@ def write_shapefile(path, pts, names):
     path.with_suffix(".dbf").write_bytes(dbf + b"".join(b" " + n.encode().ljust(12) for n in names))
 
 
-def tiff_pixels(raw, kind):
-    """(bands, rows, columns) of a tiled, deflated TIFF."""
-    at = struct.unpack("<I", raw[4:8])[0]
-    tags = {}
-    for i in range(struct.unpack("<H", raw[at : at + 2])[0]):
-        tag, form, count, value = struct.unpack("<HHI4s", raw[at + 2 + 12 * i : at + 14 + 12 * i])
-        letter, size = {3: ("H", 2), 4: ("I", 4)}.get(form, ("B", 1))
-        where = value if count * size <= 4 else raw[struct.unpack("<I", value)[0] :]
-        tags[tag] = struct.unpack(f"<{count}{letter}", where[: count * size])
-    (cols,), (rows,), (side,), (bands,) = (tags[t] for t in (256, 257, 322, 277))
-    out = np.zeros((-(-rows // side) * side, -(-cols // side) * side, bands), kind)
-    across = out.shape[1] // side
-    for i, (start, n) in enumerate(zip(tags[324], tags[325], strict=True)):
-        r, c = i // across * side, i % across * side
-        out[r : r + side, c : c + side] = np.frombuffer(zlib.decompress(raw[start : start + n]), kind).reshape(side, side, bands)
-    return np.moveaxis(out[:rows, :cols], -1, 0)
-
-
 def test_readers(spark, tmp_path):
     spark.dataSource.register(files.ShapefileSource)
     write_shapefile(tmp_path / "p", [(18.5, -33.0), (19.0, -32.5)], ["Alien_Pine", ""])
@@ -358,6 +340,3 @@ def test_readers(spark, tmp_path):
     (tmp_path / "s.csv").write_text("a,b\n1,x\n,2.5\n")
     assert [(r.a, r.b) for r in files.read_csv(spark, str(tmp_path / "s.csv"), ("b",)).collect()] == [("1", None), (None, 2.5)]
     assert files.list_parquet(spark, str(tmp_path / "none")) == []
-    picture = np.arange(2 * 20 * 37, dtype="uint16").reshape(2, 20, 37)
-    at = files.write_tiff(picture, str(tmp_path / "o" / "t.tif"), (0.0, 0.0), (10.0, -10.0), 32734, 255, tile=16)
-    assert np.array_equal(tiff_pixels(open(at, "rb").read(), "<u2"), picture)

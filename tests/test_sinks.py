@@ -21,8 +21,10 @@ def test_shards_merge_and_go(spark, tmp_path):
     sinks.append_shard(spark.createDataFrame([chip("a", "feb", "3"), chip("b", "feb", "4")], MANIFEST), at)
     (tmp_path / "chips" / "shards" / "run=x").mkdir()
     (tmp_path / "chips" / "shards" / "run=x" / "part-0.parquet").write_bytes(b"broken")
-    assert sorted(r.chip_uri for r in sinks.consolidate_shards(spark, at).collect()) == ["2", "3", "4"]
+    with pytest.warns(UserWarning, match="part-0.parquet"):
+        assert sorted(r.chip_uri for r in sinks.consolidate_shards(spark, at).collect()) == ["2", "3", "4"]
     assert not (tmp_path / "chips" / "shards").exists()
+    assert (tmp_path / "chips" / "unreadable" / "run=x_part-0.parquet").read_bytes() == b"broken"
     assert sorted(r.chip_uri for r in sinks.consolidate_shards(spark, at).collect()) == ["2", "3", "4"]
 
 

@@ -14,7 +14,7 @@ from terrafold.schema import OBSERVATION
 from terrafold.sources import sinks
 from terrafold.sources.store import Store
 
-from tests.test_engine import tiff_pixels
+from tests.test_tiff import picture
 
 BANDS = ["B02", "B03"]
 
@@ -96,16 +96,14 @@ def test_box_to_raster(spark, land, tmp_path):
     left, down = int((box.x0 - 300000) / 10), int((6240000 - box.y0) / 10)
     assert len(rows) == box.width * box.height
     assert all(r.class_id == (3 if r.col + left < 50 else 8) for r in rows)
-    picture = tiff_pixels((tmp_path / "n.tif").read_bytes(), "u1")
-    assert picture.shape == (3, box.height, box.width) and set(np.unique(picture[0])) == {3, 8}
+    shown = picture(tmp_path / "n.tif")
+    assert shown.shape == (3, box.height, box.width) and set(np.unique(shown[0])) == {3, 8}
     # in Albers the box leans, so that corners have no data and the rest keeps its two halves
     call(spark, *args, "--raster", tmp_path / "a.tif")
-    turned = tiff_pixels((tmp_path / "a.tif").read_bytes(), "u1")[0]
+    turned = picture(tmp_path / "a.tif")[0]
     counts = dict(zip(*np.unique(turned, return_counts=True), strict=True))
     assert set(counts) == {3, 8, 255}
     assert counts[3] + counts[8] == pytest.approx(len(rows), rel=0.02) and counts[3] == pytest.approx(sum(r.class_id == 3 for r in rows), rel=0.04)
     assert down >= 0
     with pytest.raises(ValueError, match="composites"):
         call(spark, "infer", "--ckpt", tmp_path / "h.json")
-    with pytest.raises(MemoryError):
-        inference.composite(spark.read.parquet(str(at / "pixels")), spark.read.parquet(str(at / "scenes")), (18, -34, 19, -33), inference.Box(34, True, 0.0, 0.0, 10**5, 10**5), [("feb", "2023-02-01", "2023-02-28")], BANDS)

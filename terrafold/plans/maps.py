@@ -121,7 +121,7 @@ def tta_map(spark, d):
 
 #: A field of 220 by 150 pixels in a box: a line item is a value of a pixel in one of seven scenes, of which the last is too cloudy.
 _VALUES = """SELECT l_linenumber AS scene, 32734 AS epsg, 'B02' AS band, 300005e0 + 1e1 * (l_orderkey * 37 % 220) AS x, 6239995e0 - 1e1 * (l_partkey * 53 % 150) AS y,
-  (CAST(l_extendedprice AS BIGINT) % 100) * 1e2 + 25 AS value, CAST(l_quantity AS INT) % 12 AS scl FROM lineitem"""
+  (CAST(floor(l_extendedprice) AS BIGINT) % 100) * 1e2 + 25 AS value, CAST(l_quantity AS INT) % 12 AS scl FROM lineitem"""
 _SEEN = "SELECT DISTINCT l_linenumber AS scene, CAST('2023-02-10' AS DATE) AS day, l_linenumber * 1e1 AS cloud, 17e0 AS s_minx, 20e0 AS s_maxx, -35e0 AS s_miny, -33e0 AS s_maxy FROM lineitem"
 
 

@@ -220,7 +220,7 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, b
             out = keep(out)
         out = _pass(out, Bench(items, block_bytes), window, group_bytes, first=number == 0)
     back = dict(zip(others, restored(others), strict=True))
-    return out.select(*[back.get(c, F.col(c)) for c in docs.columns], "n_words", F.expr("aggregate(spans, 0L, (a, s) -> a + s.words)").alias("n_hit"), "items", F.expr("transform(spans, s -> named_struct('start', s.start, 'stop', s.stop))").alias("spans"))
+    return out.select(*[back[c] if c in back else F.col(c) for c in docs.columns], "n_words", F.expr("aggregate(spans, 0L, (a, s) -> a + s.words)").alias("n_hit"), "items", F.expr("transform(spans, s -> named_struct('start', s.start, 'stop', s.stop))").alias("spans"))
 
 
 _FOUND = "n_words bigint, items array<string>, spans array<struct<start:bigint,stop:bigint,first:bigint,words:bigint>>"

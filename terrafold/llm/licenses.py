@@ -186,7 +186,7 @@ def inherit(files: DataFrame) -> DataFrame:
     out = files.join(nearest, "dir", "left")
     own, back = F.col("own_license").isNotNull(), dict(zip(others, restored(others), strict=True))
     return out.select(
-        *[back.get(c, F.col(c)) for c in names],
+        *[back[c] if c in back else F.col(c) for c in names],
         F.coalesce("own_license", "n.given").alias("license"),
         F.when(own, "own").when(F.col("n").isNotNull() & F.col("path").isNotNull(), "directory").otherwise("none").alias("origin"),
         F.when(~own, F.col("n.up")).alias("origin_dir"),

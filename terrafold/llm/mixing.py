@@ -135,7 +135,7 @@ def mix(docs: DataFrame, shards: int = SHARDS, block_words: int = BLOCK_WORDS, s
     rows = rows.withColumn("pieces", F.expr(piece))
     rows = rows.withColumn("taken", F.expr("aggregate(pieces, 0L, (a, p) -> a + p.stop - p.start)"))
     back = dict(zip(others, restored(others), strict=True))
-    return rows.select(*[back.get(c, F.col(c)) for c in names], *RESULTS)
+    return rows.select(*[back[c] if c in back else F.col(c) for c in names], *RESULTS)
 
 
 def lay_out(mixed: DataFrame, sub_words: int = SUB_WORDS) -> DataFrame:

@@ -1,8 +1,8 @@
 """Documents with everything that can go wrong: shared by the operators' tests."""
 
-#: Columns of documents, then columns with the names of results, with characters that need quotes, and with names that operators use, in another case.
+#: Columns of documents, then columns with the names of results, with characters that need quotes, and with names that operators use within, in another case.
 DOCS = "doc_id long, text string, lang string, source string, n_chars long, size long, score double, shard int, n_words long, "
-DOCS += ", ".join(f"{n} int" for n in ("`a.b`", "`q``w`", "`two words`", "Grp", "Bucket", "KEY", "Word", "Items", "Spans", "Kept", "Taken", "_Aside2", "Own_License", "LANG_PRED", "Kind", "Row", "H", "N"))
+DOCS += ", ".join(f"{n} int" for n in ("`a.b`", "`q``w`", "`two words`", "Grp", "Bucket", "KEY", "Word", "Item", "Span", "Mask", "Quota", "_Aside2", "Up", "Cell", "Kind", "Row", "H", "N"))
 
 
 def documents(spark, rows):

@@ -110,3 +110,10 @@ def test_odd_and_empty(spark):
     got = L.own_license(documents(spark, ODD)).collect()
     assert len(got) == len(ODD) and {r.own_license for r in got} == {None}
     assert L.own_license(documents(spark, [])).count() == 0
+
+
+def test_file_columns_of_any_name_stay(spark):
+    files = spark.createDataFrame([("a/b.txt", "words", 1, 2, 3, 4)], "path string, text string, `a.b` int, `q``w` int, `two words` int, Up int")
+    out = L.inherit(L.own_license(files))
+    assert out.columns == ["path", "text", "a.b", "q`w", "two words", "Up", "own_license", "own_score", "license", "origin", "origin_dir"]
+    assert tuple(out.first())[:6] == ("a/b.txt", "words", 1, 2, 3, 4)

@@ -28,7 +28,7 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     slim, others = aside(docs, "text")
     found = langid.identify(slim, docs.where("lang is not null and text is not null"))
     back = dict(zip(others, restored(others), strict=True))
-    return found.where((F.col("lang_pred") != "und") & (F.col("score") >= MIN_SCORE)).select(*[back.get(c, F.col(c)) for c in docs.columns])
+    return found.where((F.col("lang_pred") != "und") & (F.col("score") >= MIN_SCORE)).select(*[back[c] if c in back else F.col(c) for c in docs.columns])
 
 
 def ngram_join(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -39,7 +39,7 @@ def ngram_join(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     one = Window.partitionBy("doc_id").orderBy("text")
     first = known.where("doc_id is not null").join(stays, "doc_id", "left_semi").withColumn("row", F.row_number().over(one)).where("row = 1").drop("row")
     back = dict(zip(others, restored(others), strict=True))
-    return first.unionByName(known.where("doc_id is null")).select(*[back.get(c, F.col(c)) for c in docs.columns])
+    return first.unionByName(known.where("doc_id is null")).select(*[back[c] if c in back else F.col(c) for c in docs.columns])
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -48,7 +48,7 @@ def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     slim, others = aside(docs, "text")
     found = decontaminate.decontaminate(slim, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
     back = dict(zip(others, restored(others), strict=True))
-    return found.where("n_hit = 0").select(*[back.get(c, F.col(c)) for c in docs.columns])
+    return found.where("n_hit = 0").select(*[back[c] if c in back else F.col(c) for c in docs.columns])
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -58,7 +58,7 @@ def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     out, back = mixing.lay_out(mixing.mix(slim)), dict(zip(others, restored(others), strict=True))
     if "n_chars" in back:
         back["n_chars"] = F.length("text").cast(docs.schema["n_chars"].dataType).alias("n_chars")
-    return out.select(*[back.get(c, F.col(c)) for c in docs.columns])
+    return out.select(*[back[c] if c in back else F.col(c) for c in docs.columns])
 
 
 def shard(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
